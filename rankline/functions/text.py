@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Characters treated as white space, and the full-width digits.
@@ -108,29 +108,28 @@ _CODE_AND_NAME = r"(?U)^([A-Za-z]\d{3,4})(.+)$"
 _CODE_AND_MAJOR = r"(?U)^(\d{1,3})(\S.+)$"
 
 
-def split_school(code: Column, name: Column) -> tuple[Column, Column]:
-    """(code, name) after taking fields such as A001北京大学 apart."""
-    c, n = text_or_null(code), text_or_null(name)
+def with_split_school(df: DataFrame, code: str, name: str, out_code: str, out_name: str) -> DataFrame:
+    """Add code and name after taking fields such as A001北京大学 apart.
 
-    def tail(v: Column) -> Column:
-        return strip(F.regexp_extract(v, _CODE_AND_NAME, 2))
-
-    keep = valid_school_name(n) & c.isNotNull() & ~F.coalesce(c.rlike(_CODE_AND_NAME), F.lit(False))
-    from_code = F.coalesce(valid_school_name(tail(c)), F.lit(False))
-    from_name = F.coalesce(valid_school_name(tail(n)), F.lit(False))
-    out_code = (
-        F.when(keep, c)
-        .when(from_code, F.regexp_extract(c, _CODE_AND_NAME, 1))
-        .when(from_name, F.regexp_extract(n, _CODE_AND_NAME, 1))
-        .otherwise(c)
-    )
-    out_name = (
-        F.when(keep, school_name(n))
-        .when(from_code, school_name(tail(c)))
-        .when(from_name, school_name(tail(n)))
-        .otherwise(F.when(n.isNotNull(), school_name(n)))
+    Done in projections that each read the columns of the one before, so that every pattern runs
+    once per row instead of once per place it is used in.
+    """
+    df = df.withColumns({"_c": text_or_null(F.col(code)), "_n": text_or_null(F.col(name))})
+    df = df.withColumns({
+        "_c_tail": strip(F.regexp_extract("_c", _CODE_AND_NAME, 2)), "_c_head": F.regexp_extract("_c", _CODE_AND_NAME, 1),
+        "_n_tail": strip(F.regexp_extract("_n", _CODE_AND_NAME, 2)), "_n_head": F.regexp_extract("_n", _CODE_AND_NAME, 1),
+    })
+    c, n = F.col("_c"), F.col("_n")
+    keep = valid_school_name(n) & c.isNotNull() & (F.coalesce("_c_head", F.lit("")) == "")
+    df = df.withColumn(
+        "_how",
+        F.when(keep, 0).when(valid_school_name(F.col("_c_tail")), 1).when(valid_school_name(F.col("_n_tail")), 2).otherwise(0),
     )
-    return out_code, out_name
+    picked = F.when(F.col("_how") == 1, F.col("_c_tail")).when(F.col("_how") == 2, F.col("_n_tail")).otherwise(n)
+    return df.withColumns({
+        out_code: F.when(F.col("_how") == 1, F.col("_c_head")).when(F.col("_how") == 2, F.col("_n_head")).otherwise(c),
+        out_name: school_name_or_null(picked),
+    }).drop("_c", "_n", "_c_tail", "_c_head", "_n_tail", "_n_head", "_how")
 
 
 def split_major(code: Column, name: Column) -> tuple[Column, Column]:

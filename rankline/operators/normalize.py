@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import school_name_or_null, split_major, split_school, text_or_empty, text_or_null, to_float, to_int
+from ..functions.text import school_name_or_null, split_major, text_or_empty, text_or_null, to_float, to_int, with_split_school
 
 SCHOOL = (
     "year", "province", "subject_type", "admission_category", "batch", "school_code", "school_name", "major_group",
@@ -56,17 +56,19 @@ def normalize_school(
         # A given value replaces the column for every row.
         return F.coalesce(text_or_null(_as_column(value).cast("string")), text_or_null(F.col(column)))
 
-    code, name = split_school(F.col("school_code"), school_name_or_null(F.col("school_name")))
     major_code = F.col("major_code") if "major_code" in df.columns else nothing
     major_name = F.col("major_name") if "major_name" in df.columns else nothing
     mc, mn = split_major(major_code, major_name)
     work = work.withColumns({
-        "admission_category": F.coalesce(rules.category_name(given(admission_category, "admission_category")), F.lit("")),
-        "batch": F.coalesce(rules.school_batch_name(given(batch, "batch")), F.lit("")),
-        "major_group": F.coalesce(text_or_null(F.col("major_group")), F.nullif(F.concat_ws("-", mc, mn), F.lit(""))),
+        "admission_category": given(admission_category, "admission_category"), "batch": given(batch, "batch"),
+        "_major": F.nullif(F.concat_ws("-", mc, mn), F.lit("")), "school_name": school_name_or_null(F.col("school_name")),
+    })
+    work = with_split_school(work, "school_code", "school_name", "_code", "_name")
+    work = work.withColumns({
+        "admission_category": rules.category_name(F.col("admission_category")), "batch": rules.school_batch_name(F.col("batch")),
+        "major_group": F.coalesce(text_or_null(F.col("major_group")), F.col("_major")),
         "min_score": to_float(F.col("min_score")), "min_rank": to_int(F.col("min_rank")),
         "plan_count": to_int(F.col("plan_count")), "tie_breaker_text": text_or_null(F.col("tie_breaker_text")),
-        "_code": code, "_name": name,
     })
     # A row with a name and no code: the name becomes the code and the name is empty.
     work = work.withColumns({

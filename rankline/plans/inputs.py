@@ -6,6 +6,7 @@ Base tables are written as {name}. Derived tables are plain names and become CTE
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,43 +90,29 @@ SELECT split_part(p_name, ' ', 1) AS standard_name, min(p_name || ' ' || p_brand
        true AS is_985, true AS is_211, true AS is_double_first_class, 'group' AS school_type
 FROM {part} WHERE p_name LIKE 'cold%' OR p_name LIKE 'small%' GROUP BY split_part(p_name, ' ', 1)"""
 
-# Body rows of one sheet per (year, province); rows 0-2 are a title, a note and the header.
-VIEWS["cells_body"] = """
-SELECT file_id, row_idx, col_idx,
-       CASE col_idx WHEN 0 THEN c0 WHEN 1 THEN c1 WHEN 2 THEN c2 ELSE c3 END AS value FROM (
-  SELECT year * 10 + CASE province WHEN 'AFRICA' THEN 0 WHEN 'AMERICA' THEN 1 WHEN 'ASIA' THEN 2 WHEN 'EUROPE' THEN 3 ELSE 4 END AS file_id,
-         CAST(2 + row_number() OVER (PARTITION BY year, province ORDER BY subject_type, score DESC) AS INT) AS row_idx,
-         subject_type AS c0, CAST(score AS STRING) AS c1, CAST(same_score_count AS STRING) || '人' AS c2,
-         CAST(cumulative_count AS STRING) AS c3 FROM rank_fx) b
-CROSS JOIN (SELECT 0 AS col_idx UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) k"""
-
-VIEWS["cells_fx"] = """
-SELECT file_id, row_idx, col_idx, value FROM cells_body
-UNION ALL
-SELECT f.file_id, h.row_idx, h.col_idx, h.value FROM (SELECT DISTINCT file_id FROM cells_body) f
-CROSS JOIN (SELECT 0 AS row_idx, 0 AS col_idx, '逐分段统计表' AS value
-            UNION ALL SELECT 1, 0, '注：样例'
-            UNION ALL SELECT 2, 0, '科类' UNION ALL SELECT 2, 1, '分 数'
-            UNION ALL SELECT 2, 2, '人数' UNION ALL SELECT 2, 3, '累计人数') h"""
-
 VIEWS["items_fx"] = """
 SELECT e.user_id AS image_id, e.event_id, CAST(e.event_id % 12 AS DOUBLE) * 40 + CAST(e.event_id % 7 AS DOUBLE) AS y_center,
        CAST(e.event_id % 5 AS DOUBLE) * 100 AS x_center, e.event_type || '_' || CAST(e.event_id AS STRING) AS text FROM {events} e"""
 
 _DEPENDS = {name: [v for v in VIEWS if re.search(rf"\b{v}\b", sql)] for name, sql in VIEWS.items()}
+# Derived tables whose Spark side is written with DataFrames (their SQL serves the check only).
+_BUILT: dict[str, Callable] = {}
 
 
-def define(name: str, sql: str) -> None:
+def define(name: str, sql: str, build: Callable | None = None) -> None:
     """Add a derived table next to the queries that use it."""
     VIEWS[name] = sql
     _DEPENDS[name] = [v for v in VIEWS if v != name and re.search(rf"\b{v}\b", sql)]
+    if build is not None:
+        _BUILT[name] = build
 
 
-def _closure(names) -> list[str]:
+def _closure(names, stop=()) -> list[str]:
+    """The names and all they depend on, dependencies first; names in ``stop`` are not opened."""
     ordered: list[str] = []
 
     def visit(name: str) -> None:
-        if name in ordered:
+        if name in ordered or name in stop:
             return
         for dep in _DEPENDS[name]:
             if dep != name:
@@ -137,11 +124,14 @@ def _closure(names) -> list[str]:
     return ordered
 
 
+def _named(text: str) -> list[str]:
+    return [v for v in VIEWS if re.search(rf"\b{v}\b", text)]
+
+
 def check_sql(body: str) -> str:
     """Full SQL of a check: the derived tables the body names, as CTEs, then the body."""
-    names = _closure(v for v in VIEWS if re.search(rf"\b{v}\b", body))
     text = body.strip()
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
+    ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in _closure(_named(body)))
     if ctes:
         text = f"WITH {ctes},\n{text[4:].strip()}" if text[:5].upper() == "WITH " else f"WITH {ctes}\n{text}"
     return re.sub(r"\{(%s)\}" % "|".join(BASE), r"\1", text)
@@ -158,17 +148,17 @@ class Inputs:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
-        names = _closure([name])
-        text = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
-        used = {b: self.base(b) for b in BASE if "{%s}" % b in text}
-        return self.spark.sql(f"WITH {text}\nSELECT * FROM {name}", **used)
+        return _BUILT[name](self) if name in _BUILT else self.sql(f"SELECT * FROM {name}")
 
     def sql(self, body: str) -> DataFrame:
         """Input shaping written in SQL over given and derived tables."""
-        names = _closure(v for v in VIEWS if re.search(rf"\b{v}\b", body))
+        names = _closure(_named(body), stop=tuple(_BUILT))
         ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
         text = f"WITH {ctes}\n{body}" if ctes else body
         used = {b: self.base(b) for b in BASE if "{%s}" % b in text}
+        for built in (v for v in _named(text) if v in _BUILT):
+            text = re.sub(rf"\b{built}\b", "{%s}" % built, text)
+            used[built] = self.view(built)
         return self.spark.sql(text, **used)
 
     def __getattr__(self, name: str) -> DataFrame:

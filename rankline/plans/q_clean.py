@@ -145,7 +145,7 @@ def province_defaults(t):
 # ---- validation ----
 
 define("school_dirty", """
-SELECT src_order, src_line, src_supp, year * 10 + length(province) AS file_id, school_code, admission_category, batch, major_group, min_rank, plan_count,
+SELECT src_order, src_line, src_supp, CAST(year * 10 + length(province) AS BIGINT) AS file_id, school_code, admission_category, batch, major_group, min_rank, plan_count,
   CASE WHEN plan_count % 17 = 3 THEN NULL ELSE year END AS year, CASE WHEN plan_count % 13 = 5 THEN ' ' ELSE province END AS province,
   CASE plan_count % 11 WHEN 4 THEN '其他' WHEN 5 THEN NULL ELSE subject_type END AS subject_type,
   CASE WHEN plan_count % 19 = 7 THEN '' ELSE school_name END AS school_name, CASE WHEN plan_count % 7 = 2 THEN NULL ELSE min_score END AS min_score,
@@ -192,7 +192,7 @@ def falling_counts(t):
 
 
 define("rank_file", """
-SELECT year * 10 + length(province) AS file_id, CAST(row_number() OVER (PARTITION BY year * 10 + length(province) ORDER BY province, subject_type, score DESC) AS INT) AS row_idx,
+SELECT CAST(year * 10 + length(province) AS BIGINT) AS file_id, CAST(row_number() OVER (PARTITION BY year * 10 + length(province) ORDER BY province, subject_type, score DESC) AS INT) AS row_idx,
   year, province, CASE WHEN score % 23 = 0 THEN '其他' ELSE subject_type END AS subject_type, score, same_score_count, cumulative_count FROM rank_bad""")
 _RERR = f"m AS (SELECT *, {_missing('year', 'province', 'subject_type', 'score', 'cumulative_count')} AS m FROM rank_file), e AS (SELECT *, {_SUBJECT_ERROR} AS error FROM m)"
 
@@ -218,7 +218,7 @@ define("school_stored", "SELECT * FROM school_fx WHERE plan_count > 40")
 define("school_batch", """
 SELECT src_order, src_line, src_supp, year, province, school_name, school_code, subject_type, admission_category, batch, major_group,
   CASE WHEN src_supp % 11 = 3 THEN 'broken' ELSE CAST(min_score AS STRING) END AS min_score, CAST(min_rank AS STRING) AS min_rank, CAST(plan_count AS STRING) AS plan_count,
-  year * 10 + length(province) AS file_id FROM school_raw""")
+  CAST(year * 10 + length(province) AS BIGINT) AS file_id FROM school_raw""")
 _ORDER = ["src_order", "src_line", "src_supp", "min_score", "min_rank", "plan_count"]
 _OSQL = "src_order, src_line, src_supp, min_score NULLS FIRST, min_rank NULLS FIRST, plan_count"
 _SKEY = "year, province, school_code, subject_type, admission_category, batch, coalesce(major_group, '')"

@@ -114,8 +114,8 @@ split AS (SELECT *, CASE how WHEN 'code' THEN c1 WHEN 'name' THEN n1 ELSE c END
 
 @query("C14_split_school", f"WITH {_SPLIT} SELECT {_IDS}, code_out, name_out FROM split")
 def split_school(t):
-    code, name = text.split_school(F.col("code_raw"), F.col("name_raw"))
-    return t.noise_fields.select(*_ID, code.alias("code_out"), name.alias("name_out"))
+    split = text.with_split_school(t.noise_fields, "code_raw", "name_raw", "code_out", "name_out")
+    return split.select(*_ID, "code_out", "name_out")
 
 
 @query("C15_split_major", f"""
