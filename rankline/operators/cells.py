@@ -8,13 +8,15 @@ equality join with one row per sheet or per header cell.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import digits_only, header_text, school_name, score_cell, squeeze, strip, text_or_empty
+from ..functions.text import digits_only, header_text, school_name, score_cell, strip, text_or_empty
+from ..session import cut_lineage
 
 # Words that mark a header row, note rows and school sheets, and the column aliases, in order.
 HEADER_WORDS = (
@@ -123,26 +125,28 @@ def without_notes(body: DataFrame, sheet: Sequence[str]) -> DataFrame:
     return _on(drop_empty(body), note_rows(body, sheet), [*sheet, "row_idx"], "left_anti")
 
 
-def _best_alias(header: Column, aliases: Sequence[str]) -> Column:
-    """Smallest struct (pass, alias number) of the aliases that fit the header, null when none does."""
-    words = [squeeze(F.lit(a.lower())) if " " in a else F.lit(a.lower()) for a in aliases]
-    h = F.lower(header)
-    exact = F.array_position(F.array(*words), h)
-    part = F.array_min(F.array_compact(F.array(*[F.when(F.contains(h, w), F.lit(i)) for i, w in enumerate(words)])))
-    return (
-        F.when(exact > 0, F.struct(F.lit(1).alias("pass"), (exact - 1).cast("int").alias("alias_no")))
-        .when(part.isNotNull(), F.struct(F.lit(2).alias("pass"), part.cast("int").alias("alias_no")))
-    )
+def _alias_literal(aliases: dict[str, tuple[str, ...]]) -> Column:
+    """The alias lists as one constant array; JSON keeps the expression small until it is folded."""
+    items = [
+        {"canonical": name, "canonical_no": c, "alias_no": i, "alias": "".join(word.split()).lower()}
+        for c, (name, words) in enumerate(aliases.items()) for i, word in enumerate(words)
+    ]
+    schema = "array<struct<canonical:string,canonical_no:int,alias_no:int,alias:string>>"
+    return F.from_json(F.lit(json.dumps(items, ensure_ascii=False)), schema)
 
 
 def column_candidates(headers: DataFrame, sheet: Sequence[str], aliases: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Every (header cell, canonical name) that fits, by a fixed number of expressions per header cell."""
-    fits = F.array(*[
-        F.struct(F.lit(name).alias("canonical"), F.lit(i).alias("canonical_no"), _best_alias(F.col("header"), words).alias("fit"))
-        for i, (name, words) in enumerate(aliases.items())
-    ])
-    found = headers.select(*sheet, "col_idx", "header", F.explode(fits).alias("m")).where("m.fit IS NOT NULL")
-    return found.select(*sheet, "col_idx", "header", "m.canonical", "m.canonical_no", "m.fit.pass", "m.fit.alias_no")
+    """Every (header cell, canonical name) that fits, with the pass (1 exact, 2 contained) and number of the best alias.
+
+    Header texts repeat over files, so each distinct text is matched once and joined back.
+    """
+    texts = headers.select("header").distinct().withColumns({"h": F.lower("header"), "aliases": _alias_literal(aliases)})
+    hits = texts.select("header", "h", F.explode(F.filter("aliases", lambda a: F.contains(F.col("h"), a["alias"]))).alias("a"))
+    fit = F.min(F.struct(F.when(F.col("h") == F.col("a.alias"), 1).otherwise(2).alias("pass"), F.col("a.alias_no").alias("alias_no")))
+    fits = hits.groupBy("header", F.col("a.canonical").alias("canonical"), F.col("a.canonical_no").alias("canonical_no")).agg(fit.alias("fit"))
+    return headers.select(*sheet, "col_idx", "header").join(fits, "header").select(
+        *sheet, "col_idx", "header", "canonical", "canonical_no", "fit.pass", "fit.alias_no"
+    )
 
 
 def resolve_columns(headers: DataFrame, sheet: Sequence[str], aliases: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -162,9 +166,16 @@ def used_columns(resolved: DataFrame, sheet: Sequence[str]) -> DataFrame:
 
 
 def typed_rows(body: DataFrame, columns: DataFrame, sheet: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """One row per body row with a text column per canonical name (names are given, so the schema does not depend on data)."""
+    """One row per body row with a text column per canonical name, without notes and blank rows.
+
+    The names are given, so the schema does not depend on data; notes are found in the same aggregate.
+    """
     long = _on(body.select(*sheet, "row_idx", "col_idx", "value"), columns.select(*sheet, "col_idx", "canonical"), [*sheet, "col_idx"], "left")
-    return long.groupBy(*sheet, "row_idx").agg(*[F.max(F.when(F.col("canonical") == n, F.col("value"))).alias(n) for n in names])
+    rows = long.groupBy(*sheet, "row_idx").agg(
+        F.bool_or(rules.any_in(F.col("value"), NOTE_WORDS)).alias("_note"), F.bool_or(text_or_empty(F.col("value")) != "").alias("_filled"),
+        *[F.max(F.when(F.col("canonical") == n, F.col("value"))).alias(n) for n in names],
+    )
+    return rows.where("_filled AND NOT coalesce(_note, false)").drop("_note", "_filled")
 
 
 def present_columns(columns: DataFrame, sheet: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -218,8 +229,9 @@ def parse_sheets(
     prefer = record_type == "rank" if prefer_sheet is None else prefer_sheet
     names = list(aliases_for(record_type))
     headers, body = split_header(cells, sheet)
-    columns = used_columns(resolve_columns(headers, sheet, aliases_for(record_type)), sheet)
-    rows = typed_rows(without_notes(body, sheet), columns, sheet, names)
+    # The columns of a sheet and its typed rows are each needed twice; they are written once.
+    columns = cut_lineage(used_columns(resolve_columns(headers, sheet, aliases_for(record_type)), sheet))
+    rows = cut_lineage(typed_rows(drop_empty(body), columns, sheet, names))
     facts = _on(files, present_columns(columns, sheet, names), sheet, "left")
     facts = _on(facts, header_subjects(cells, sheet), sheet, "left")
     facts = _on(facts, most_frequent(rows, sheet, "subject_type"), sheet, "left")

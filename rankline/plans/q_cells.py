@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import header_text
 from ..operators import cells, grids
+from ..session import cut_lineage
 from ..sources import html
 from . import sqlbits as q
 from .inputs import define
@@ -12,19 +13,15 @@ from .registry import query
 _K = ["file_id"]
 
 
-def _long(rows, keys, columns):
-    """Cells of typed rows: one array explode, no join."""
-    parts = F.array(*[F.struct(F.lit(i).alias("col_idx"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])
-    return rows.select(*keys, "row_idx", F.explode(parts).alias("c")).select(*keys, "row_idx", "c.col_idx", "c.value")
-
-
-def _fixed(keys, lines):
-    """Fixed rows (row, [values]) for every file of ``keys``."""
-    parts = F.array(*[
-        F.struct(F.lit(r).alias("row_idx"), F.lit(i).alias("col_idx"), (v if not isinstance(v, str) else F.lit(v)).alias("value"))
+def _sheet(rows, keys, first_row, columns, lines):
+    """Cells of typed rows plus fixed rows (row, [values]), which the first row of each file brings along: one explode, no union."""
+    own = [F.struct(F.col("row_idx").alias("row_idx"), F.lit(i).alias("col_idx"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)]
+    extra = [
+        F.struct(F.lit(r).alias("row_idx"), F.lit(i).alias("col_idx"), (F.lit(v) if isinstance(v, str) else v).cast("string").alias("value"))
         for r, values in lines for i, v in enumerate(values)
-    ])
-    return keys.select(*keys.columns, F.explode(parts).alias("c")).select(*keys.columns, "c.row_idx", "c.col_idx", "c.value")
+    ]
+    cells = F.when(F.col("row_idx") == first_row, F.array(*own, *extra)).otherwise(F.array(*own))
+    return rows.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.row_idx", "c.col_idx", "c.value")
 
 
 # One rank sheet per (year, province): title, note, header, body. Its rows are the distinct scores, so a file is small at any scale.
@@ -35,9 +32,8 @@ SELECT year * 10 + CASE province WHEN 'AFRICA' THEN 0 WHEN 'AMERICA' THEN 1 WHEN
 
 
 def _cells_fx(t):
-    rows = t.rank_rows
     head = [(0, ["逐分段统计表"]), (1, ["注：样例"]), (2, ["科类", "分 数", "人数", "累计人数"])]
-    return _long(rows, _K, ["c0", "c1", "c2", "c3"]).unionByName(_fixed(rows.select("file_id").distinct(), head))
+    return _sheet(t.rank_rows, _K, 3, ["c0", "c1", "c2", "c3"], head)
 
 
 define("cells_fx", """
@@ -62,10 +58,7 @@ def _heads():
 
 
 def _school_cells(t):
-    rows = t.school_lines
-    files = rows.select("file_id").distinct()
-    body = _long(rows, _K, [f"c{i}" for i in range(8)])
-    return body.unionByName(_fixed(files, _heads())).unionByName(_fixed(files, [(900, ["备注：仅供参考"])]))
+    return _sheet(t.school_lines, _K, 2, [f"c{i}" for i in range(8)], [*_heads(), (900, ["备注：仅供参考"])])
 
 
 define("school_cells", """
@@ -99,7 +92,7 @@ def cells_of_sheets(t):
 _CLEAN = "regexp_replace(replace(replace(value, '（', '('), '）', ')'), '\\s+', '', 'g')"
 
 
-@query("B2_header_text", f"SELECT file_id, col_idx, {_CLEAN} AS header FROM school_cells WHERE row_idx = 1")
+@query("B2_header_text", f"SELECT file_id, CAST(col_idx AS INT) AS col_idx, {_CLEAN} AS header FROM school_cells WHERE row_idx = 1")
 def header_texts(t):
     return t.school_cells.where("row_idx = 1").select("file_id", "col_idx", header_text(F.col("value")).alias("header"))
 
@@ -122,7 +115,8 @@ fits AS (SELECT h.file_id, h.col_idx, h.header, a.canonical, a.canonical_no, min
 res AS (SELECT file_id, canonical, canonical_no, arg_min(col_idx, (fit, CASE WHEN fit[1] = 1 THEN -col_idx ELSE col_idx END)) AS col_idx,
    arg_min(header, (fit, CASE WHEN fit[1] = 1 THEN -col_idx ELSE col_idx END)) AS header FROM fits GROUP BY ALL),
 used AS (SELECT file_id, header, arg_min(canonical, canonical_no) AS canonical, min(col_idx) AS col_idx FROM res GROUP BY 1, 2)"""
-_HEADS = f"heads AS (SELECT file_id, col_idx, {_CLEAN} AS header FROM school_cells WHERE row_idx = 1)"
+_HEADS = f"""heads AS (SELECT file_id, col_idx, {_CLEAN} AS header FROM school_cells WHERE row_idx = 1
+  AND (file_id, col_idx) IN (SELECT (file_id, col_idx) FROM school_cells WHERE row_idx > 1 AND value IS NOT NULL))"""
 
 
 @query("B3_alias_candidates", f"WITH {_HEADS}, {_alias_values('school')}, {_FITS} SELECT file_id, CAST(col_idx AS INT) AS col_idx, canonical, CAST(fit[1] AS INT) AS pass, CAST(fit[2] AS INT) AS alias_no FROM fits")
@@ -158,17 +152,18 @@ def note_rows(t):
 
 
 def _school_files(t):
-    return t.school_lines.select("file_id").distinct().select(
+    return t.school_lines.where("row_idx = 2").select(
         "file_id", F.concat(F.lit("f"), F.col("file_id").cast("string"), F.lit(".xlsx")).alias("file_name"), F.lit("Sheet1").alias("sheet_name"),
         F.lit(2024).alias("default_year"), F.lit(None).cast("string").alias("subject_hint"),
     )
 
 
 @query("B8_parse_school_sheets", f"""
-SELECT file_id, row_idx, '2024' AS year, '江苏' AS province, CASE WHEN file_id % 2 = 1 THEN c0 ELSE c0 END AS school_code, {q.squeeze('c1')} AS school_name,
+WITH md AS (SELECT file_id, arg_min(c7, (-n, c7)) AS mode FROM (SELECT file_id, c7, count(*) AS n FROM school_lines GROUP BY 1, 2) GROUP BY 1)
+SELECT s.file_id, row_idx, '2024' AS year, '江苏' AS province, c0 AS school_code, CASE WHEN file_id % 5 = 0 THEN c0 ELSE {q.squeeze('c1')} END AS school_name,
   c2 AS major_group, CAST(CAST(min_score AS INT) AS DOUBLE) AS min_score, CAST(min_rank AS DOUBLE) AS min_rank, CAST(plan_count AS DOUBLE) AS plan_count,
-  CASE file_id % 3 WHEN 0 THEN '历史类' WHEN 1 THEN '物理类' ELSE (SELECT arg_min(c7, (-n, c7)) FROM (SELECT c7, count(*) AS n FROM school_lines x WHERE x.file_id = s.file_id GROUP BY c7)) END AS subject_type,
-  CASE WHEN file_id % 2 = 0 THEN CASE c6 WHEN '本科批次' THEN '本科批' ELSE '专科批' END ELSE '本科批' END AS batch, 'f' || file_id || '.xlsx' AS source_file FROM school_lines s""")
+  CASE file_id % 3 WHEN 0 THEN '历史类' WHEN 1 THEN '物理类' ELSE mode END AS subject_type,
+  CASE WHEN file_id % 2 = 0 THEN CASE c6 WHEN '本科批次' THEN '本科批' ELSE '专科批' END ELSE '本科批' END AS batch, 'f' || s.file_id || '.xlsx' AS source_file FROM school_lines s JOIN md USING (file_id)""")
 def parse_school_sheets(t):
     rows = cells.parse_sheets(t.school_cells, _K, "school", _school_files(t))
     return rows.select(
@@ -177,22 +172,23 @@ def parse_school_sheets(t):
 
 
 def _rank_files(t):
-    return t.rank_rows.select("file_id", "year").distinct().select(
+    return t.rank_rows.where("row_idx = 3").select(
         "file_id", F.concat(F.lit("r"), F.col("file_id").cast("string"), F.lit(".xlsx")).alias("file_name"), F.lit("Sheet1").alias("sheet_name"),
         F.col("year").alias("default_year"), F.lit(None).cast("string").alias("subject_hint"),
     )
 
 
 @query("B8_parse_rank_sheets", """
-SELECT file_id, row_idx, CAST(year AS VARCHAR) AS year, (SELECT arg_min(subject_type, (-n, subject_type)) FROM (SELECT subject_type, count(*) AS n FROM rank_rows x WHERE x.file_id = r.file_id GROUP BY 1)) AS subject_type,
-  CAST(score AS DOUBLE) AS score, CAST(same_score_count AS DOUBLE) AS same_score_count, CAST(cumulative_count AS DOUBLE) AS cumulative_count FROM rank_rows r""")
+WITH md AS (SELECT file_id, arg_min(subject_type, (-n, subject_type)) AS mode FROM (SELECT file_id, subject_type, count(*) AS n FROM rank_rows GROUP BY 1, 2) GROUP BY 1)
+SELECT file_id, row_idx, CAST(year AS VARCHAR) AS year, mode AS subject_type,
+  CAST(score AS DOUBLE) AS score, CAST(same_score_count AS DOUBLE) AS same_score_count, CAST(cumulative_count AS DOUBLE) AS cumulative_count FROM rank_rows r JOIN md USING (file_id)""")
 def parse_rank_sheets(t):
     rows = cells.parse_sheets(t.cells_fx, _K, "rank", _rank_files(t))
     return rows.select("file_id", "row_idx", "year", "subject_type", "score", "same_score_count", "cumulative_count")
 
 
 # Two sheets per file, named after the subject; the sheet names the subject of its rows.
-define("two_sheets", "SELECT file_id, subject_type || '一分一段' AS sheet, year, row_idx, c1, c2, c3, subject_type, score, cumulative_count FROM rank_rows")
+define("two_sheets", "SELECT file_id, subject_type || '一分一段' AS sheet, year, row_idx, min(row_idx) OVER (PARTITION BY file_id, subject_type) AS first_row, c1, c2, c3, subject_type, score, cumulative_count FROM rank_rows")
 
 
 @query("A15_parse_all_sheets", """
@@ -200,9 +196,8 @@ SELECT file_id, sheet AS source_sheet, row_idx, subject_type, CAST(score AS DOUB
 def parse_all_sheets(t):
     keys = ["file_id", "sheet"]
     rows = t.two_sheets
-    sheets = rows.select(*keys).distinct()
-    long = _long(rows, keys, ["c1", "c2", "c3"]).unionByName(_fixed(sheets, [(2, ["分数", "人数", "累计人数"])]))
-    files = rows.select(*keys, "year").distinct().select(
+    long = _sheet(rows, keys, F.col("first_row"), ["c1", "c2", "c3"], [(2, ["分数", "人数", "累计人数"])])
+    files = rows.where("row_idx = first_row").select(
         *keys, F.lit("表.xlsx").alias("file_name"), F.col("sheet").alias("sheet_name"), F.col("year").alias("default_year"), F.lit(None).cast("string").alias("subject_hint")
     )
     out = cells.parse_sheets(long, keys, "rank", files, prefer_sheet=True)
@@ -223,7 +218,7 @@ def detected_header(t):
 
 
 @query("B9_typed_extracted_rows", f"""
-SELECT file_id, row_idx, c0 AS school_code, {q.squeeze('c1')} AS school_name, CAST(CAST(min_score AS INT) AS DOUBLE) AS min_score, CAST(NULL AS DOUBLE) AS plan_count FROM school_lines""")
+SELECT file_id, row_idx, c0 AS school_code, CASE WHEN file_id % 5 = 0 THEN c0 ELSE {q.squeeze('c1')} END AS school_name, CAST(CAST(min_score AS INT) AS DOUBLE) AS min_score, CAST(NULL AS DOUBLE) AS plan_count FROM school_lines""")
 def typed_extracted_rows(t):
     rows = cells.parse_sheets(_blank_header(t), _K, "school", _school_files(t))
     return rows.select("file_id", "row_idx", "school_code", "school_name", "min_score", "plan_count")
@@ -272,32 +267,29 @@ def cells_of_pages(t):
 @query("B11_rank_header", f"""
 SELECT page, CAST(k AS INT) AS col_idx, CASE WHEN k < 3 THEN '历史等科目类_' ELSE '物理等科目类_' END || ['分数', '人数', '累计人数'][k % 3 + 1] AS header FROM (SELECT DISTINCT {_PAGE} AS page FROM rank_sides), range(6) b(k)""")
 def rank_header(t):
-    headers, _ = grids.rank_header(html.cells_of_pages(_rank_pages(t), "page"), _T)
+    headers, _ = grids.rank_header(cut_lineage(html.cells_of_pages(_rank_pages(t), "page")), _T)
     return headers.select("page", "col_idx", "header")
 
 
 @query("B16_rank_tables_two_subjects", f"""
 SELECT CAST(year AS VARCHAR) || '/' || province || '/' || CAST(floor(score / 25) AS INT) AS page, subject_type, score, same_score_count, cumulative_count FROM rank_fx""")
 def rank_tables_two_subjects(t):
-    rows = grids.rank_tables(html.cells_of_pages(_rank_pages(t), "page"), _T)
+    rows = grids.rank_tables(cut_lineage(html.cells_of_pages(_rank_pages(t), "page")), _T)
     return rows.select("page", "subject_type", "score", "same_score_count", "cumulative_count")
 
 
 # Long rank tables: some scores are out of range, some counts missing; odd years have no subject column.
 define("rank_long", """
-SELECT year * 10 + length(province) AS file_id, 0 AS table_idx, year, CAST(row_number() OVER (PARTITION BY year * 10 + length(province) ORDER BY province, subject_type, score DESC) AS INT) AS row_idx,
+SELECT CAST(year * 10 + length(province) AS BIGINT) AS file_id, 0 AS table_idx, year, CAST(row_number() OVER (PARTITION BY year * 10 + length(province) ORDER BY province, subject_type, score DESC) AS INT) AS row_idx,
   CASE WHEN year % 2 = 0 THEN subject_type END AS c0, CASE WHEN score % 29 = 0 THEN CAST(score * 10 AS STRING) WHEN score % 31 = 0 THEN '以下' ELSE CAST(score AS STRING) || '分' END AS c1,
   CASE WHEN score % 7 < 2 THEN NULL ELSE CAST(same_score_count AS STRING) END AS c2, CASE WHEN score % 7 < 1 THEN '-' ELSE CAST(cumulative_count AS STRING) END AS c3,
   subject_type, score, same_score_count, cumulative_count FROM rank_fx""")
 
 
 def _rank_long(t):
-    rows = t.rank_long
-    keys = ["file_id", "table_idx"]
-    heads = rows.select(*keys, "year").distinct()
     subject = F.when(F.col("year") % 2 == 0, "科类")
-    fixed = _fixed(heads, [(0, [subject, "分数", "人数", "累计人数"])]).drop("year")
-    return _long(rows, keys, ["c0", "c1", "c2", "c3"]).unionByName(fixed).where("NOT (value IS NULL AND row_idx = 0)")
+    head = [(0, [subject, "分数", "人数", "累计人数"])]
+    return _sheet(t.rank_long, ["file_id", "table_idx"], 1, ["c0", "c1", "c2", "c3"], head).where("NOT (value IS NULL AND row_idx = 0)")
 
 
 _LONG_ROWS = """
@@ -312,9 +304,9 @@ def rank_rows(t):
 
 
 @query("B19_finalized_rank_rows", f"""
-SELECT file_id, row_idx, CASE WHEN some THEN y ELSE 2024 END AS year, '江苏' AS province, subject_type, source_file FROM (
-  SELECT r.*, CAST(CASE WHEN row_idx % 2 = 0 THEN file_id // 10 END AS INT) AS y, file_id % 2 = 0 AS some, 'page.html' AS source_file FROM ({_LONG_ROWS}) r) z""".replace(
-    "CASE WHEN some THEN y ELSE 2024 END", "CAST(CASE WHEN some THEN y ELSE 2024 END AS INT)"))
+SELECT file_id, row_idx, CASE WHEN has_any THEN y ELSE 2024 END AS year, '江苏' AS province, subject_type, source_file FROM (
+  SELECT r.*, CAST(CASE WHEN row_idx % 2 = 0 THEN file_id // 10 END AS INT) AS y, file_id % 2 = 0 AS has_any, 'page.html' AS source_file FROM ({_LONG_ROWS}) r) z""".replace(
+    "CASE WHEN has_any THEN y ELSE 2024 END", "CAST(CASE WHEN has_any THEN y ELSE 2024 END AS INT)"))
 def finalized_rank_rows(t):
     rows = grids.rank_tables(_rank_long(t), ["file_id", "table_idx"], hint="理科")
     year = F.when((F.col("file_id") % 2 == 0) & (F.col("row_idx") % 2 == 0), F.floor(F.col("file_id") / 10).cast("int"))
@@ -329,10 +321,8 @@ SELECT year, province, subject_type || '组' AS c0, CAST(CAST(max(CASE WHEN batc
 
 
 def _matrix_cells(t):
-    keys = ["year", "province"]
-    rows = t.control_grid
-    head = _fixed(rows.select(*keys).distinct(), [(0, ["科类", "本科 批次控制分数线", "高职专科", "提前批次"])])
-    return _long(rows, keys, ["c0", "c1", "c2", "c3"]).unionByName(head)
+    head = [(0, ["科类", "本科 批次控制分数线", "高职专科", "提前批次"])]
+    return _sheet(t.control_grid, ["year", "province"], 1, ["c0", "c1", "c2", "c3"], head)
 
 
 _MATRIX = "SELECT year, province, subject_type, batch, score FROM control_fx"
@@ -345,14 +335,11 @@ def control_matrix(t):
 
 define("control_long", """
 SELECT o_orderkey AS file_id, 1 AS row_idx, CASE o_custkey % 3 WHEN 0 THEN '物理类' WHEN 1 THEN NULL ELSE '不分文理' END AS c0, CASE o_orderkey % 5 WHEN 0 THEN '本科一批' WHEN 1 THEN '艺术本科' WHEN 2 THEN ' ' WHEN 3 THEN NULL ELSE '特殊批' END AS c1,
-  CASE o_orderkey % 7 WHEN 0 THEN '无' ELSE CAST(CAST(o_totalprice / 1000 AS INT) AS STRING) || '分' END AS c2, o_custkey, o_totalprice FROM {orders}""")
+  CASE o_orderkey % 7 WHEN 0 THEN '无' ELSE CAST(CAST(floor(o_totalprice / 1000) AS INT) AS STRING) || '分' END AS c2, o_custkey, o_totalprice FROM {orders}""")
 
 
 def _control_long_cells(t):
-    rows = t.control_long
-    long = _long(rows, _K, ["c0", "c1", "c2"])
-    head = _fixed(rows.select("file_id"), [(0, ["科目类别", "录取批次", "控制分数线"])])
-    return long.unionByName(head)
+    return _sheet(t.control_long, _K, 1, ["c0", "c1", "c2"], [(0, ["科目类别", "录取批次", "控制分数线"])])
 
 
 @query("B14_control_long_tables", """
@@ -400,7 +387,7 @@ def most_frequent_subject(t):
 
 # Three parsers see each order's table: the second drops the header words of every third file, the third sees one row only.
 def _candidates(t):
-    base = t.school_cells
+    base = cut_lineage(t.school_cells)
     second = base.withColumn("value", F.when((F.col("file_id") % 3 == 0) & (F.col("row_idx") == 1), F.lit("x")).otherwise(F.col("value")))
     parts = [
         base.where((F.col("file_id") % 4 != 0) & (F.col("row_idx") < 900)).withColumn("parser", F.lit("second")),
@@ -427,7 +414,7 @@ SELECT file_id, CASE WHEN file_id % 11 = 0 THEN 'no_extractable_text' WHEN file_
  CASE WHEN file_id % 11 = 0 OR (file_id % 3 = 0 AND file_id % 4 = 0) THEN NULL WHEN file_id % 3 = 0 THEN 'second' ELSE 'first' END AS parser FROM n""")
 def best_tables(t):
     scores = grids.table_scores(_candidates(t), ["file_id", "parser", "table_idx"], "school")
-    files = t.school_lines.select("file_id").distinct().withColumn("has_text", F.col("file_id") % 11 != 0)
+    files = t.school_lines.where("row_idx = 2").select("file_id").withColumn("has_text", F.col("file_id") % 11 != 0)
     return grids.best_tables(files, scores, ("first", "second", "third")).select("file_id", "status", "parser")
 
 

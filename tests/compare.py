@@ -4,6 +4,8 @@ usage: python tests/compare.py [folder] [name prefix ...]
 """
 
 import math
+import os
+import signal
 import sys
 import time
 
@@ -75,13 +77,16 @@ def main():
     con = duck(folder)
     bad = 0
     builds, sqls = catalog.queries(), catalog.checks()
+    signal.signal(signal.SIGALRM, lambda *_: (_ for _ in ()).throw(TimeoutError('query too slow')))
     for name, build in builds.items():
         if wanted and not any(name.startswith(w) for w in wanted):
             continue
+        signal.alarm(int(os.environ.get('QUERY_SECONDS', '60')))
         try:
             ok, msg, n, took = compare(spark, con, name, build, sqls.get(name), folder)
         except Exception as exc:  # noqa: BLE001
             ok, msg, n, took = False, f"{type(exc).__name__}: {str(exc)[:1500]}", -1, 0
+        signal.alarm(0)
         bad += not ok
         print(f"{'ok ' if ok else 'BAD'} {name} rows={n} {took:.2f}s {'' if ok and msg == 'ok' else msg}", flush=True)
     print("bad:", bad)
