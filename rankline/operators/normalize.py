@@ -23,6 +23,15 @@ def _as_column(value: Default) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
+def settled(df: DataFrame, columns, keep=()) -> DataFrame:
+    """The columns as the output of a one-row generator.
+
+    A later filter on derived columns would otherwise be pushed below this projection and carry a
+    copy of every rule with each mention of a column. A generator stops that without a write.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
 def project(df: DataFrame, columns, keep=()) -> DataFrame:
     """The standard columns, missing ones as null text."""
     return df.select(*keep, *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
@@ -79,26 +88,26 @@ def normalize_school(
     special = F.col("major_group").isNotNull() & F.col("admission_category").isin("艺术类", "体育类")
     unnamed = F.col("school_name").isNull() | (F.col("school_name") == F.col("school_code"))
     work = work.withColumn("school_name", F.when(special & unnamed, F.col("major_group")).otherwise(F.col("school_name")))
-    return work.select(*keep, *SCHOOL)
+    return settled(work, SCHOOL, keep)
 
 
 def normalize_rank(df: DataFrame, year: Default = None, province: Default = None, subject_type: Default = None, keep=()) -> DataFrame:
     work = defaulted(df, RANK, year, province, subject_type, keep=keep)
-    return work.select(*keep, *RANK[:3], *[to_int(F.col(c)).alias(c) for c in RANK[3:]])
+    return settled(work, [*RANK[:3], *[to_int(F.col(c)).alias(c) for c in RANK[3:]]], keep)
 
 
 def normalize_control(df: DataFrame, year: Default = None, province: Default = None, subject_type: Default = None, keep=()) -> DataFrame:
     work = defaulted(df, CONTROL, year, province, subject_type, keep=keep)
     batch = F.nullif(rules.batch_name(text_or_null(F.col("batch"))), F.lit(""))
-    return work.select(*keep, *CONTROL[:3], batch.alias("batch"), to_int(F.col("score")).alias("score"))
+    return settled(work, [*CONTROL[:3], batch.alias("batch"), to_int(F.col("score")).alias("score")], keep)
 
 
 def normalize_major(df: DataFrame, year: Default = None, province: Default = None, subject_type: Default = None, keep=()) -> DataFrame:
     work = defaulted(df, MAJOR, year, province, subject_type, keep=keep)
-    return work.select(
-        *keep, *MAJOR[:3], school_name_or_null(F.col("school_name")).alias("school_name"), text_or_null(F.col("major_name")).alias("major_name"),
+    return settled(work, [
+        *MAJOR[:3], school_name_or_null(F.col("school_name")).alias("school_name"), text_or_null(F.col("major_name")).alias("major_name"),
         to_int(F.col("min_score")).alias("min_score"), to_int(F.col("min_rank")).alias("min_rank"),
-    )
+    ], keep)
 
 
 NORMALIZERS = {"school": normalize_school, "rank": normalize_rank, "control": normalize_control, "major": normalize_major}

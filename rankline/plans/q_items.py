@@ -258,9 +258,9 @@ def first_images(t):
 @query("F13_load_recognised_records")
 def load_recognised_records(t):
     """Records of recognised images through normalisation, validation and the duplicate-free append, with a marked source."""
-    rows = normalize.normalize_school(_records(t), keep=("image_id", "row_id"))
-    valid = validate.checked(rows, "school").where("error IS NULL").drop("error")
+    rows = normalize.normalize_school(cut_lineage(_records(t)), keep=("image_id", "row_id"))
+    # The checked rows are written once; the load reads them for its keys and its rows.
+    valid = cut_lineage(validate.checked(rows, "school")).where("error IS NULL").drop("error")
     source = F.concat(F.lit("ocr_experimental:/img/"), F.col("image_id").cast("string"), F.lit(".png"))
     ready = normalize.enrich_for_load(valid, "school", source)
-    stored = ready.where("school_code = 'A100'").limit(0)
-    return load.new_rows(ready, stored, "school", ["image_id", "row_id"]).select("year", "province", "school_code", "school_name", "major_group", "min_score", "source_url")
+    return load.new_rows(ready, t.school_stored, "school", ["image_id", "row_id"]).select("year", "province", "school_code", "school_name", "major_group", "min_score", "source_url")
