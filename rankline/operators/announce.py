@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import rules, titles
 from ..functions.text import file_name, file_suffix, strip, text_or_empty
 from .search import first_per
+from .settle import settled
 
 # Extensions, words of download links, and parts of site furniture.
 DOWNLOAD_EXTENSIONS = (".xlsx", ".xls", ".pdf", ".csv", ".zip")
@@ -72,8 +73,8 @@ def links(pages: DataFrame, page: str = "page_id", url: str = "url", html: str =
     parts = anchors.select(
         page, "base_url", "link_no", _attribute(F.regexp_extract("a", _ANCHOR, 1), _HREF).alias("href"), plain_text(F.regexp_extract("a", _ANCHOR, 2)).alias("text")
     )
-    kept = parts.where("href <> '' AND NOT startswith(href, '#') AND NOT startswith(lower(href), 'javascript:')")
-    return kept.select(page, "link_no", resolve_url(F.col("base_url"), F.col("href")).alias("url"), "text")
+    kept = settled(parts).where("href <> '' AND NOT startswith(href, '#') AND NOT startswith(lower(href), 'javascript:')")
+    return settled(kept.select(page, "link_no", resolve_url(F.col("base_url"), F.col("href")).alias("url"), "text"))
 
 
 def _extension(path: Column, allowed: Sequence[str]) -> Column:
@@ -86,7 +87,7 @@ def _extension(path: Column, allowed: Sequence[str]) -> Column:
 def download_links(found: DataFrame, page: str = "page_id") -> DataFrame:
     """Links to data files by extension or by words; the first link per URL of a page counts, without extension .xlsx is assumed."""
     path = F.lower(titles.url_path(F.col("url")))
-    rows = found.withColumn("path", path).withColumn("ext", _extension(F.col("path"), DOWNLOAD_EXTENSIONS))
+    rows = settled(settled(found.withColumn("path", path)).withColumn("ext", _extension(F.col("path"), DOWNLOAD_EXTENSIONS)))
     rows = rows.where(F.col("ext").isNotNull() | F.col("text").rlike(DOWNLOAD_WORDS) | F.col("path").rlike(DOWNLOAD_WORDS))
     return first_per(rows, [page, "url"], ["link_no"]).select(page, "url", "text", F.coalesce("ext", F.lit(".xlsx")).alias("ext"))
 
@@ -105,12 +106,12 @@ def attachments(pages: DataFrame, page: str = "page_id", url: str = "url", html:
     rows = tags.withColumn("href", F.when(is_link, _attribute(attrs, _HREF)).otherwise(_attribute(attrs, _SRC))).withColumn(
         "text", F.when(is_link, plain_text(F.regexp_extract("tag", _ANCHOR, 2))).otherwise(F.lit(""))
     )
-    rows = rows.where("href <> '' AND NOT startswith(lower(href), 'javascript:')").withColumn("target", resolve_url(F.col("base_url"), F.col("href")))
-    rows = rows.withColumn("path", titles.url_path(F.col("target")))
+    rows = settled(rows).where("href <> '' AND NOT startswith(lower(href), 'javascript:')").withColumn("target", resolve_url(F.col("base_url"), F.col("href")))
+    rows = settled(settled(rows).withColumn("path", titles.url_path(F.col("target"))))
     script = F.contains(F.lower("target"), F.lit("downfile.jsp"))
     named = _query_file(F.col("target"))
     from_query = F.when(script & named.isNotNull(), F.coalesce(_extension(F.lower(named), (".xlsx", ".xls")), F.lit(".xls")))
-    rows = rows.withColumn("ext", F.coalesce(_extension(F.lower("path"), ATTACHMENT_EXTENSIONS), from_query)).where("ext IS NOT NULL")
+    rows = settled(rows.withColumn("ext", F.coalesce(_extension(F.lower("path"), ATTACHMENT_EXTENSIONS), from_query))).where("ext IS NOT NULL")
     title = F.coalesce(F.nullif("text", F.lit("")), F.nullif(file_name(F.col("path")), F.lit("")), F.lit("attachment"))
     kind = F.regexp_replace(F.when(F.col("ext") == ".jpeg", ".jpg").otherwise(F.col("ext")), r"^\.", "")
     return first_per(rows, [page, "target"], ["tag_no"]).select(page, "tag_no", title.alias("title"), F.col("target").alias("url"), kind.alias("file_type"))
@@ -137,15 +138,16 @@ def is_detail_page(slug: Column, url: Column) -> Column:
 def announcements(found: DataFrame, years: Sequence[int], words: Sequence[str], source: str = "slug") -> DataFrame:
     """Links (slug, link_no, url, text) that are detail pages of a requested year with a keyword; first per URL."""
     rows = found.withColumn("title", strip(F.col("text"))).where((F.col("title") != "") & is_detail_page(F.col(source), F.col("url")))
-    rows = rows.withColumn("year", titles.announcement_year(F.col("title"), F.col("url"), years)).withColumn("matched_keyword", titles.matched_keyword(F.col("title"), words))
+    rows = settled(rows.withColumn("year", titles.announcement_year(F.col("title"), F.col("url"), years)).withColumn("matched_keyword", titles.matched_keyword(F.col("title"), words)))
     rows = rows.where("year IS NOT NULL AND matched_keyword IS NOT NULL")
     return first_per(rows, [source, "url"], ["link_no"]).select(source, "title", F.col("url").alias("page_url"), "matched_keyword", "year")
 
 
 def data_attachments(rows: DataFrame, page: str, record_type: str | Column | None = None) -> DataFrame:
     """Attachments that are data files (images too for control lines) and no site furniture; first per URL."""
-    path = F.lower(titles.url_path(F.col("url")))
-    ext = F.lower(F.regexp_extract(path, r"(\.[^./]+)$", 1))
+    rows = settled(rows.withColumn("_path", F.lower(titles.url_path(F.col("url")))))
+    path = F.col("_path")
+    ext = F.regexp_extract(path, r"(\.[^./]+)$", 1)
     named = _query_file(F.col("url"))
     from_query = F.when(named.isNotNull(), F.coalesce(_extension(F.lower(named), (".xlsx", ".xls")), F.lit(".xls")))
     ext = F.when(~ext.isin(*DATA_EXTENSIONS, *IMAGE_EXTENSIONS) & F.contains(F.lower("url"), F.lit("downfile.jsp")), F.coalesce(from_query, ext)).otherwise(ext)
@@ -153,7 +155,7 @@ def data_attachments(rows: DataFrame, page: str, record_type: str | Column | Non
     allowed = ext.isin(*DATA_EXTENSIONS) | (F.coalesce(kind == "control", F.lit(False)) & ext.isin(*IMAGE_EXTENSIONS))
     furniture = rules.any_in(path, UI_MARKERS) | rules.any_in(F.lower(F.coalesce("title", F.lit(""))), UI_MARKERS)
     good = rows.where((text_or_empty(F.col("url")) != "") & allowed & ~furniture)
-    return first_per(good, [page, "url"], ["tag_no"])
+    return first_per(good.drop("_path"), [page, "url"], ["tag_no"])
 
 
 def image_attachments(rows: DataFrame) -> DataFrame:

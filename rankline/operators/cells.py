@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.text import digits_only, header_text, school_name, score_cell, strip, text_or_empty
 from ..session import cut_lineage
+from .settle import settled
 
 # Words that mark a header row, note rows and school sheets, and the column aliases, in order.
 HEADER_WORDS = (
@@ -94,7 +95,7 @@ def header_rows(cells: DataFrame, sheet: Sequence[str], scan_rows: int = HEADER_
     flags = [F.bool_or(F.contains("value", F.lit(w))).alias(f"w{i}") for i, w in enumerate(HEADER_WORDS)]
     rows = head.groupBy(*sheet, "row_idx").agg(*flags)
     hits = sum((F.coalesce(F.col(f"w{i}").cast("int"), F.lit(0)) for i in range(1, len(HEADER_WORDS))), F.coalesce(F.col("w0").cast("int"), F.lit(0)))
-    rows = rows.select(*sheet, "row_idx", hits.alias("hits"))
+    rows = settled(rows.select(*sheet, "row_idx", hits.alias("hits")))
     best = rows.groupBy(*sheet).agg(F.max(F.struct(F.col("hits"), (-F.col("row_idx")).alias("neg"))).alias("b"))
     return best.select(*sheet, F.when(F.col("b.hits") > 0, -F.col("b.neg")).otherwise(0).cast("int").alias("header_row"), F.col("b.hits").alias("header_hits"))
 
@@ -102,7 +103,7 @@ def header_rows(cells: DataFrame, sheet: Sequence[str], scan_rows: int = HEADER_
 def split_header(cells: DataFrame, sheet: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(header cells with cleaned text, body cells). Columns without a value below the header do not count as present."""
     placed = _on(cells, header_rows(cells, sheet), sheet)
-    headers = placed.where("row_idx = header_row").select(*sheet, "col_idx", header_text(F.col("value")).alias("header"))
+    headers = settled(placed.where("row_idx = header_row").select(*sheet, "col_idx", header_text(F.col("value")).alias("header")))
     body = placed.where("row_idx > header_row").drop("header_row", "header_hits")
     filled = drop_empty(body).select(*sheet, "col_idx").distinct()
     return _on(headers, filled, [*sheet, "col_idx"], "left_semi"), body

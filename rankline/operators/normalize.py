@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import school_name_or_null, split_major, text_or_empty, text_or_null, to_float, to_int, with_split_school
+from .settle import settled
 
 SCHOOL = (
     "year", "province", "subject_type", "admission_category", "batch", "school_code", "school_name", "major_group",
@@ -23,15 +24,6 @@ def _as_column(value: Default) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def settled(df: DataFrame, columns, keep=()) -> DataFrame:
-    """The columns as the output of a one-row generator.
-
-    A later filter on derived columns would otherwise be pushed below this projection and carry a
-    copy of every rule with each mention of a column. A generator stops that without a write.
-    """
-    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
-
-
 def project(df: DataFrame, columns, keep=()) -> DataFrame:
     """The standard columns, missing ones as null text."""
     return df.select(*keep, *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])

@@ -90,7 +90,8 @@ def export_provinces(df: DataFrame, years: list[int] | None = None) -> DataFrame
 
 
 def save_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    out = df.write.mode("overwrite").option("header", True)
+    out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def save_report(frames: dict[int, DataFrame], path: str) -> None:

@@ -1,0 +1,102 @@
+"""Operators against brute force, and properties that must hold on any data."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from rankline.operators import items, load, lookup, metajoin, rangetop
+from rankline.operators.ordered import asof_forward, running_start, with_next
+from rankline.sources.html import page_cells
+
+
+def test_asof_against_brute_force(spark):
+    rng = random.Random(3)
+    table = [("k" + str(rng.randint(0, 2)), rng.randint(0, 400), i) for i in range(120)]
+    table = list({(k, p): (k, p, i) for k, p, i in table}.values())
+    probes = [("k" + str(rng.randint(0, 3)), rng.randint(0, 420)) for _ in range(200)]
+    t = spark.createDataFrame(table, "k string, pos int, i int")
+    p = spark.createDataFrame(probes, "k string, pos int")
+    got = {(r["k"], int(r["pos"])): r["hit"] for r in asof_forward(p, t, ["k"], "pos", F.col("i"), 25).collect()}
+    for k, pos in set(probes):
+        later = [(q, i) for kk, q, i in table if kk == k and q >= pos]
+        assert got[(k, pos)] == (min(later)[1] if later else None)
+
+
+def test_running_start_and_next(spark):
+    rows = [("a", i * 7 % 100, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, pos int, n int")
+    got = {r["pos"]: r["start"] for r in running_start(df, ["k"], "pos", [], "n", 10).collect()}
+    for _, pos, _ in rows:
+        assert got[pos] == sum(n for _, q, n in rows if q < pos)
+    nxt = {r["pos"]: r["next"] for r in with_next(df, ["k"], "pos", ["n"], 10).collect()}
+    for _, pos, _ in rows:
+        later = sorted((q, n) for _, q, n in rows if q > pos)
+        assert (nxt[pos]["n"] if nxt[pos] else None) == (later[0][1] if later else None)
+
+
+def test_range_top_against_brute_force(spark):
+    rng = random.Random(5)
+    rows = [("k" + str(rng.randint(0, 1)), float(rng.randint(0, 30)), f"s{i:03d}") for i in range(150)]
+    asks = [("k" + str(rng.randint(0, 1)), float(lo), float(lo + rng.randint(0, 9)), rng.randint(1, 6)) for lo in range(30)]
+    df = spark.createDataFrame(rows, "k string, v double, name string")
+    requests = spark.createDataFrame(asks, "k string, lo double, hi double, limit int")
+    for descending in (True, False):
+        out = rangetop.range_top(requests, df, ["k"], "v", ["name"], descending=descending, width=4, carry=["v", "name"]).collect()
+        for k, lo, hi, limit in asks:
+            want = sorted([(v, n) for kk, v, n in rows if kk == k and lo <= v <= hi], key=lambda x: (-x[0] if descending else x[0], x[1]))
+            got = sorted([(r["place"], r["v"], r["name"], r["total"]) for r in out if (r["k"], r["lo"], r["hi"], r["limit"]) == (k, lo, hi, limit)])
+            assert [(v, n) for _, v, n, _ in got] == want[:limit]
+            assert all(t == len(want) for *_, t in got)
+
+
+def test_row_without_count_stops_the_search(spark):
+    table = spark.createDataFrame([(2024, "江苏", "物理类", 600.0, None), (2024, "江苏", "物理类", 590.0, 50)], "year int, province string, subject_type string, score double, cumulative_count int")
+    asks = spark.createDataFrame([(2024, "江苏", "物理类", s) for s in (605, 600, 595, 500)], "year int, province string, subject_type string, score int")
+    got = {r["score"]: r["rank"] for r in lookup.score_to_rank(asks, table).collect()}
+    assert got == {605: None, 600: None, 595: 50, 500: None}
+
+
+def _clusters(points, tolerance):
+    rows, mean, n = [], None, 0
+    for y in sorted(points):
+        if mean is None or abs(y - mean) <= tolerance:
+            n += 1
+            mean = y if mean is None else (mean * (n - 1) + y) / n
+        else:
+            rows.append(0)
+            mean, n = y, 1
+        yield y, len(rows)
+
+
+def test_clusters_against_brute_force(spark):
+    rng = random.Random(11)
+    data = [(img, float(rng.randint(0, 300)), i) for img in range(3) for i in range(60)]
+    df = spark.createDataFrame(data, "image_id int, y_center double, item_id int")
+    got = {(r["image_id"], r["y_center"]): r["row_id"] for r in items.line_numbers(df, 18.0).collect()}
+    for img in range(3):
+        for y, row in _clusters([y for k, y, _ in data if k == img], 18.0):
+            assert got[(img, y)] == row
+
+
+def test_append_twice_adds_nothing(spark):
+    rows = [(2024, "江苏", "物理类", "本科批", "600", 1), (2024, "江苏", "物理类", "本科批", "601", 2), (2024, "江苏", "历史类", None, "x", 3), (2024, "江苏", "历史类", None, "500", 4)]
+    batch = spark.createDataFrame(rows, "year int, province string, subject_type string, batch string, score string, n int")
+    empty = spark.createDataFrame([], "year int, province string, subject_type string, batch string, score double")
+    first = load.new_rows(batch, empty, "control", ["n"])
+    assert sorted(r["score"] for r in first.collect()) == [500.0, 600.0]
+    assert load.new_rows(batch, first, "control", ["n"]).count() == 0
+    log = {r["n"]: r["outcome"] for r in load.outcomes(batch, empty, "control", ["n"]).collect()}
+    assert log == {1: "inserted", 2: "skipped", 3: "failed", 4: "inserted"}
+
+
+def test_prefix_join_plan_has_no_nested_loop(spark):
+    schools = spark.createDataFrame([("北京大学医学部",), ("Abc school",), ("other",)], "school_name string")
+    meta = spark.createDataFrame([("北京大学", "北京大学", 1), ("ABC", "abc", 2), ("zzz", "other", 3)], "standard_name string, school_name string, city int")
+    pairs = metajoin.name_pairs(schools, meta)
+    assert "NestedLoop" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in pairs.select("school_name", "standard_name").collect()} == {("北京大学医学部", "北京大学"), ("Abc school", "ABC"), ("other", "zzz")}
+
+
+def test_page_cells_spans():
+    html = "<table><tr><th rowspan=2>a</th><th colspan='2'>b</th></tr><tr><td>c</td><td></td></tr><tr><td></td></tr></table><table></table>"
+    assert page_cells(html) == [(0, 0, 0, "a"), (0, 0, 1, "b"), (0, 0, 2, "b"), (0, 1, 0, "a"), (0, 1, 1, "c"), (0, 1, 2, None)]
