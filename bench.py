@@ -13,7 +13,7 @@ from rankline.session import build_session
 HEADLINE = (
     "H4_score_to_rank", "H5_rank_to_score", "H6_score_between_years", "H7_schools_by_equivalent_score", "G1_search_schools_by_score_range",
     "G2_schools_by_rank", "G12_top_distinct_by_score", "H1_enriched_rows", "H3_tier_reachable", "I2_home_totals", "I9_null_rates", "I13_score_histogram",
-    "J4_monotonic_violations", "D3_normalize_school", "E1_school_row_errors", "F2_append_schools", "B8_parse_school_sheets", "M2_duplicate_rate",
+    "J4_monotonic_violations", "D3_normalize_school", "E1_school_row_errors", "F2_append_schools", "B1_header_rows", "M2_duplicate_rate",
 )
 
 
