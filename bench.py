@@ -5,6 +5,7 @@ Environment: BENCH_SF_DIR (data folder), BENCH_CPUS (local cores).
 
 import json
 import os
+import sys
 import time
 
 from rankline.plans import catalog
@@ -12,8 +13,8 @@ from rankline.session import build_session
 
 HEADLINE = (
     "H4_score_to_rank", "H5_rank_to_score", "H6_score_between_years", "H7_schools_by_equivalent_score", "G1_search_schools_by_score_range",
-    "G2_schools_by_rank", "G12_top_distinct_by_score", "H1_enriched_rows", "H3_tier_reachable", "I2_home_totals", "I9_null_rates", "I13_score_histogram",
-    "J4_monotonic_violations", "D3_normalize_school", "E1_school_row_errors", "F2_append_schools", "B1_header_rows", "M2_duplicate_rate",
+    "G12_top_distinct_by_score", "H3_tier_reachable", "I2_home_totals", "I9_null_rates", "I13_score_histogram",
+    "J4_monotonic_violations", "E1_school_row_errors", "F2_append_schools", "B1_header_rows", "M2_duplicate_rate",
 )
 
 
@@ -37,6 +38,7 @@ def main() -> None:
             builds[name](spark, folder).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
         times[name] = round(sorted(runs)[len(runs) // 2], 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": os.path.basename(folder.rstrip("/")),
     }))
