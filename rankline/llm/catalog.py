@@ -1,9 +1,13 @@
 """Registered queries of the operators, and SQL where it can express them."""
 
-from . import linededup, quality, sharding, warc
+from . import chat, htmltext, linededup, packing, pieces, quality, sharding, warc
 
 QUERIES = {
+    "op1_merge_dropout": pieces.op1,
+    "op2_packing": packing.op2,
     "op3_line_dedup": linededup.op3,
+    "op5_chat_format": chat.op5,
+    "op6_html_text": htmltext.op6,
     "op7_warc": warc.op7,
     "op9_sharding": sharding.op9,
     "op10_quality_rules": quality.op10,
@@ -11,4 +15,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_line_dedup": linededup.OP3_SQL,
+    "op5_chat_format": chat.OP5_SQL,
 }

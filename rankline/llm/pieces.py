@@ -26,6 +26,7 @@ DROPOUT = 0.1
 SEED = 1
 LONG_CHUNK = 20  # up to this many characters the candidates fit in the 64 bits of one mask
 KNOWN_CHUNKS = 300_000  # distinct chunks a task remembers before it starts anew
+LONG_TEXT = 1 << 20
 TURN_CHUNKS = 200_000  # chunks segmented together
 NEVER = np.int64(1 << 36)
 
@@ -88,7 +89,7 @@ class Codec:
         # No piece joins a line break with another character, so merges never cross one.
         alone = "\n" if not any("\n" in p and len(p) > 1 for p in self.ids) else ""
         # A literal mark character is written in bytes, else it would decode as a space.
-        self.chunks = re.compile(f"{MARK}|{'|'.join([alone] if alone else [])}{'|' if alone else ''} +[^ {alone}{MARK}]*|[^ {alone}{MARK}]+").finditer
+        self.chunks = re.compile(f"{MARK}|{'|'.join([alone] if alone else [])}{'|' if alone else ''} +[^ {alone}{MARK}]*|[^ {alone}{MARK}]+")
         size = len(self.surface)
         codes = {}
         for piece, i in self.ids.items():
@@ -260,7 +261,7 @@ class Codec:
         pool = [roots, ids]
         at = len(roots) + len(ids)
         for i in np.flatnonzero(single).tolist():
-            found, n = self._single(chunks[i], int(key[i]), int(place[i]), eighths)
+            found, n = self._single(chunks[i], int(masks[i]), int(key[i]), int(place[i]), eighths)
             pool.append(np.array(found, dtype=np.int64))
             start[i], length[i], plain[i] = at, len(found), n
             at += len(found)
@@ -286,7 +287,9 @@ class Codec:
         for d, text in enumerate(texts):
             if not text:
                 continue
-            found, first = (m[0] for m in self.chunks(" " + text)), 0
+            # A very long text is cut lazily, so that its chunks are never held all at once.
+            found = iter(self.chunks.findall(" " + text)) if len(text) < LONG_TEXT else (m[0] for m in self.chunks.finditer(" " + text))
+            first = 0
             while part := list(islice(found, TURN_CHUNKS)):
                 waiting.append((d, first, part))
                 first, held = first + len(part), held + len(part)
@@ -297,9 +300,11 @@ class Codec:
         none = np.array([], dtype=np.int32)
         return [(np.concatenate(ids) if len(ids) > 1 else ids[0] if ids else none, n) for ids, n in zip(done, plain, strict=True)]
 
-    def _single(self, chunk: str, key: int, number: int, eighths: int):
+    def _single(self, chunk: str, mask: int, key: int, number: int, eighths: int):
         """A chunk with characters outside the vocabulary, or with more candidates than one mask has bits: further masks are hashed for it."""
         plain = len(self.segment(chunk, lambda k: False)[0])
+        if len(chunk) <= LONG_CHUNK:
+            return self.segment(chunk, lambda k: mask >> k & 1)[0], plain
         lanes = skip_masks(key ^ (number + 1) * 0xA0761D6478BD642F & 2**64 - 1, np.arange(3 * len(chunk) // 64 + 1), eighths)
         bits = np.unpackbits(lanes.astype("<u8").view(np.uint8), bitorder="little")
         return self.segment(chunk, lambda k: bits[k])[0], plain
