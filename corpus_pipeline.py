@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankline.llm import common, linededup, quality
+from rankline.llm import common, linededup, omh, packing, quality
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +17,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return linededup.remove_boilerplate(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, with all its columns."""
+    return omh.keep_one(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token of the documents that are left, in sequences of up to 1024; one row per piece, with its ids."""
+    return packing.pack_documents(docs, with_ids=True)
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("packing", pack)]
 
 # Learned rules, sketches of texts and token ids are beyond SQL.
 ORACLE_SQL = None
