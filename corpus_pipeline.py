@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankline.llm import common, linededup, omh, packing, quality
 
@@ -13,8 +14,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines that stand on many sources."""
-    return linededup.remove_boilerplate(docs)
+    """Every document, without the lines that stand on many sources; its length follows its text."""
+    out = linededup.remove_boilerplate(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+    return out
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
