@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import digits_only, header_text, school_name, score_cell, strip, text_or_empty
-from ..session import cut_lineage
 from .settle import settled
 
 # Words that mark a header row, note rows and school sheets, and the column aliases, in order.
@@ -166,40 +165,66 @@ def used_columns(resolved: DataFrame, sheet: Sequence[str]) -> DataFrame:
     return resolved.groupBy(*sheet, "header").agg(F.min_by("canonical", "canonical_no").alias("canonical"), F.min("col_idx").alias("col_idx"))
 
 
-def typed_rows(body: DataFrame, columns: DataFrame, sheet: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """One row per body row with a text column per canonical name, without notes and blank rows.
-
-    The names are given, so the schema does not depend on data; notes are found in the same aggregate.
-    """
-    long = _on(body.select(*sheet, "row_idx", "col_idx", "value"), columns.select(*sheet, "col_idx", "canonical"), [*sheet, "col_idx"], "left")
-    rows = long.groupBy(*sheet, "row_idx").agg(
-        F.bool_or(rules.any_in(F.col("value"), NOTE_WORDS)).alias("_note"), F.bool_or(text_or_empty(F.col("value")) != "").alias("_filled"),
-        *[F.max(F.when(F.col("canonical") == n, F.col("value"))).alias(n) for n in names],
-    )
-    return rows.where("_filled AND NOT coalesce(_note, false)").drop("_note", "_filled")
-
-
-def present_columns(columns: DataFrame, sheet: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Per sheet, whether it has a column for a name (a missing column is not the same as an empty one)."""
-    return columns.groupBy(*sheet).agg(*[F.bool_or(F.col("canonical") == n).alias(f"has_{n}") for n in names])
-
-
 def most_frequent(df: DataFrame, sheet: Sequence[str], column: str) -> DataFrame:
     """Most frequent non-blank value per sheet; the smallest value wins ties."""
     value = strip(F.col(column))
     counts = df.where(text_or_empty(F.col(column)) != "").groupBy(*sheet, value.alias("v")).agg(F.count("*").alias("n"))
-    top = counts.groupBy(*sheet).agg(F.max("n").alias("n"))
-    return _on(counts, top, [*sheet, "n"]).groupBy(*sheet).agg(F.min("v").alias("mode"))
+    return counts.groupBy(*sheet).agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("mode"))
+
 
+def gathered_rows(cells: DataFrame, sheet: Sequence[str]) -> DataFrame:
+    """One row per sheet row with a value: its cells as a map (bounded by the columns of a sheet) and what its text tells.
 
-def header_subjects(cells: DataFrame, sheet: Sequence[str]) -> DataFrame:
-    """Which subject words occur in the rows up to the header."""
-    head = _on(cells.where(F.col("row_idx") < HEADER_SCAN_ROWS), header_rows(cells, sheet), sheet).where("row_idx <= header_row")
-    return head.groupBy(*sheet).agg(
-        F.bool_or(rules.any_in(F.col("value"), ("历史", "文科"))).alias("history"), F.bool_or(rules.any_in(F.col("value"), ("物理", "理科"))).alias("physics"),
+    Everything later reads these rows, so the cells are scanned and shuffled once.
+    """
+    entry = F.when(F.col("value").isNotNull(), F.struct("col_idx", "value"))
+    rows = cells.groupBy(*sheet, "row_idx").agg(F.map_from_entries(F.collect_list(entry)).alias("cells")).where(F.size("cells") > 0)
+    rows = settled(rows, ["row_idx", "cells", F.array_join(F.map_values("cells"), "\n").alias("line")], keep=sheet)
+    line = F.col("line")
+    hits = sum((F.contains(line, F.lit(w)).cast("int") for w in HEADER_WORDS), F.lit(0))
+    return rows.select(
+        *sheet, "row_idx", "cells", F.when(F.col("row_idx") < HEADER_SCAN_ROWS, hits).alias("hits"),
+        rules.any_in(line, NOTE_WORDS).alias("note"), F.exists(F.map_values("cells"), lambda v: text_or_empty(v) != "").alias("filled"),
+        rules.any_in(line, ("历史", "文科")).alias("history"), rules.any_in(line, ("物理", "理科")).alias("physics"),
     )
 
 
+def sheet_facts(rows: DataFrame, sheet: Sequence[str], record_type: str) -> DataFrame:
+    """Per sheet: header row, columns by canonical name, subject words up to the header, and the number of rows and of typed rows.
+
+    ``columns`` maps a canonical name to its column, ``unmapped`` counts the header words that no name took. Headers repeat over sheets: each
+    distinct header (cleaned texts of the columns that hold values below it) is resolved once and joined back.
+    """
+    place = F.struct("hits", (-F.col("row_idx")).alias("neg"))
+    first = [F.min(F.when(F.col(w), F.col("row_idx"))).alias(f"{w}_row") for w in ("history", "physics")]
+    tops = rows.groupBy(*sheet).agg(F.max(F.when(F.col("hits").isNotNull(), place)).alias("top"), F.max_by("cells", F.when(F.col("hits").isNotNull(), place)).alias("head"), F.count("*").alias("raw_rows"), *first)
+    tops = tops.where("top IS NOT NULL").withColumn("header_row", F.when(F.col("top.hits") > 0, -F.col("top.neg")).otherwise(0).cast("int"))
+    last = rows.select(*sheet, "row_idx", F.explode(F.map_keys("cells")).alias("col_idx")).groupBy(*sheet, "col_idx").agg(F.max("row_idx").alias("last"))
+    last = last.groupBy(*sheet).agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "last"))).alias("last"))
+    head = F.when(-F.col("top.neg") == F.col("header_row"), F.map_entries("head")).otherwise(F.array())
+    present = F.filter(head, lambda e: F.try_element_at("last", e["key"]) > F.col("header_row"))
+    texts = F.array_sort(F.transform(present, lambda e: F.struct(e["key"].alias("col_idx"), header_text(e["value"]).alias("header"))))
+    tops = _on(tops, last, sheet).withColumn("header", texts)
+    tops = tops.withColumn("sig", F.to_json("header"))
+
+    signs = tops.groupBy("sig").agg(F.first("header").alias("header"))
+    headers = signs.select("sig", F.inline("header"))
+    used = used_columns(resolve_columns(headers, ["sig"], aliases_for(record_type)), ["sig"])
+    columns = used.groupBy("sig").agg(F.map_from_entries(F.collect_list(F.struct("canonical", "col_idx"))).alias("columns"), F.collect_set("header").alias("taken"))
+    resolved = signs.join(columns, "sig", "left")
+    rest = F.array_join(F.transform(F.filter("header", lambda h: ~F.array_contains(F.coalesce("taken", F.array().cast("array<string>")), h["header"])), lambda h: h["header"]), "\n")
+    unmapped = sum((F.contains(F.col("rest"), F.lit(w)).cast("int") for w in HEADER_WORDS), F.lit(0))
+    resolved = resolved.withColumn("rest", rest).select("sig", "columns", unmapped.alias("unmapped"))
+    up_to = {w: F.coalesce((F.col(f"{w}_row") <= F.col("header_row")) & (F.col(f"{w}_row") < HEADER_SCAN_ROWS), F.lit(False)) for w in ("history", "physics")}
+    return tops.join(resolved, "sig").select(*sheet, "header_row", "raw_rows", "columns", "unmapped", *[c.alias(w) for w, c in up_to.items()])
+
+
+def body_rows(rows: DataFrame, facts: DataFrame, sheet: Sequence[str]) -> DataFrame:
+    """Rows below the header that are neither notes nor blank, with the facts of their sheet."""
+    kept = rows.where("filled AND NOT note").select(*sheet, "row_idx", "cells")
+    return _on(kept, facts, sheet).where("row_idx > header_row")
+
+
 def resolved_subject(
     hint: Column, file_name: Column, sheet_name: Column, header_history: Column, header_physics: Column, mode: Column, *, prefer_sheet: bool,
 ) -> Column:
@@ -229,16 +254,20 @@ def parse_sheets(
     """
     prefer = record_type == "rank" if prefer_sheet is None else prefer_sheet
     names = list(aliases_for(record_type))
-    headers, body = split_header(cells, sheet)
-    # The columns of a sheet and its typed rows are each needed twice; they are written once.
-    columns = cut_lineage(used_columns(resolve_columns(headers, sheet, aliases_for(record_type)), sheet))
-    rows = cut_lineage(typed_rows(drop_empty(body), columns, sheet, names))
-    facts = _on(files, present_columns(columns, sheet, names), sheet, "left")
-    facts = _on(facts, header_subjects(cells, sheet), sheet, "left")
-    facts = _on(facts, most_frequent(rows, sheet, "subject_type"), sheet, "left")
+    gathered = gathered_rows(cells, sheet)
+    facts = sheet_facts(gathered, sheet, record_type)
+    body = body_rows(gathered, facts.select(*sheet, "header_row", "columns"), sheet)
+
+    def cell(name: str) -> Column:
+        return F.try_element_at("cells", F.try_element_at("columns", F.lit(name)))
+
+    modes = most_frequent(body.where(F.map_contains_key("columns", "subject_type")).select(*sheet, cell("subject_type").alias("v")), sheet, "v")
+    whole = _on(_on(files, facts, sheet), modes, sheet, "left")
     subject = resolved_subject(F.col("subject_hint"), F.col("file_name"), F.col("sheet_name"), F.col("history"), F.col("physics"), F.col("mode"), prefer_sheet=prefer)
-    facts = facts.withColumn("whole_subject", subject).drop("history", "physics", "mode")
-    out = _on(rows, facts, sheet)
+    whole = settled(whole, ["file_name", "sheet_name", "default_year", subject.alias("whole_subject")], keep=sheet)
+    out = _on(body, whole, sheet)
+    has_column = {n: F.map_contains_key("columns", n) for n in names}
+    out = settled(out, ["row_idx", "file_name", "sheet_name", "default_year", "whole_subject", *[cell(n).alias(n) for n in names], *[c.alias(f"has_{n}") for n, c in has_column.items()]], keep=sheet)
 
     def has(name: str) -> Column:
         return F.coalesce(F.col(f"has_{name}"), F.lit(False))

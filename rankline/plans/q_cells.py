@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import header_text
 from ..operators import cells, grids
-from ..session import cut_lineage
 from ..sources import html
 from . import sqlbits as q
 from .inputs import define
@@ -50,10 +49,11 @@ SELECT src_order AS file_id, CAST(1 + row_number() OVER (PARTITION BY src_order
 
 def _heads():
     even = F.col("file_id") % 2 == 0
+    exact = F.col("file_id") % 7 == 0  # a column of its own for the major, so that the group column is free
     title = F.when(F.col("file_id") % 3 == 0, "普通类（历史类）投档").when(F.col("file_id") % 3 == 1, "首选物理投档").otherwise("投档表")
     return [(0, [title]), (1, [
-        F.when(even, "院校代号").otherwise("院校 代码"), F.when(F.col("file_id") % 5 == 0, "考试院校全称").otherwise("院校名称"), F.lit("专业组代码"),
-        F.when(even, "投档最低分").otherwise("投档线（分）"), F.lit("投档最低位次"), F.lit("计划数"), F.when(even, "批次").otherwise("附注"), F.lit("科类"),
+        F.when(even, "院校代号").otherwise("院校 代码"), F.when(F.col("file_id") % 5 == 0, "考试院校全称").otherwise("院校名称"), F.when(exact, "专业组").otherwise("专业组代码"),
+        F.when(even, "投档最低分").otherwise("投档线（分）"), F.lit("投档最低位次"), F.when(exact, "专业名称").otherwise("计划数"), F.when(even, "批次").otherwise("附注"), F.lit("科类"),
     ])]
 
 
@@ -64,8 +64,8 @@ def _school_cells(t):
 define("school_cells", """
 SELECT file_id, row_idx, k AS col_idx, [c0, c1, c2, c3, c4, c5, c6, c7][k + 1] AS value FROM school_lines, range(8) v(k)
 UNION ALL SELECT file_id, 0, 0, CASE file_id % 3 WHEN 0 THEN '普通类（历史类）投档' WHEN 1 THEN '首选物理投档' ELSE '投档表' END FROM (SELECT DISTINCT file_id FROM school_lines)
-UNION ALL SELECT file_id, 1, k, [CASE WHEN file_id % 2 = 0 THEN '院校代号' ELSE '院校 代码' END, CASE WHEN file_id % 5 = 0 THEN '考试院校全称' ELSE '院校名称' END, '专业组代码',
-  CASE WHEN file_id % 2 = 0 THEN '投档最低分' ELSE '投档线（分）' END, '投档最低位次', '计划数', CASE WHEN file_id % 2 = 0 THEN '批次' ELSE '附注' END, '科类'][k + 1]
+UNION ALL SELECT file_id, 1, k, [CASE WHEN file_id % 2 = 0 THEN '院校代号' ELSE '院校 代码' END, CASE WHEN file_id % 5 = 0 THEN '考试院校全称' ELSE '院校名称' END, CASE WHEN file_id % 7 = 0 THEN '专业组' ELSE '专业组代码' END,
+  CASE WHEN file_id % 2 = 0 THEN '投档最低分' ELSE '投档线（分）' END, '投档最低位次', CASE WHEN file_id % 7 = 0 THEN '专业名称' ELSE '计划数' END, CASE WHEN file_id % 2 = 0 THEN '批次' ELSE '附注' END, '科类'][k + 1]
   FROM (SELECT DISTINCT file_id FROM school_lines), range(8) v(k)
 UNION ALL SELECT file_id, 900, 0, '备注：仅供参考' FROM (SELECT DISTINCT file_id FROM school_lines)""", _school_cells)
 
@@ -161,16 +161,46 @@ def _school_files(t):
 @query("B8_parse_school_sheets", f"""
 WITH md AS (SELECT file_id, arg_min(c7, (-n, c7)) AS mode FROM (SELECT file_id, c7, count(*) AS n FROM school_lines GROUP BY 1, 2) GROUP BY 1)
 SELECT s.file_id, row_idx, '2024' AS year, '江苏' AS province, c0 AS school_code, CASE WHEN file_id % 5 = 0 THEN c0 ELSE {q.squeeze('c1')} END AS school_name,
-  c2 AS major_group, CAST(CAST(min_score AS INT) AS DOUBLE) AS min_score, CAST(min_rank AS DOUBLE) AS min_rank, CAST(plan_count AS DOUBLE) AS plan_count,
+  CASE WHEN file_id % 7 = 0 THEN c5 ELSE c2 END AS major_name, CASE WHEN file_id % 7 = 0 THEN c2 END AS major_group,
+  CAST(CAST(min_score AS INT) AS DOUBLE) AS min_score, CAST(min_rank AS DOUBLE) AS min_rank, CASE WHEN file_id % 7 <> 0 THEN CAST(plan_count AS DOUBLE) END AS plan_count,
   CASE file_id % 3 WHEN 0 THEN '历史类' WHEN 1 THEN '物理类' ELSE mode END AS subject_type,
   CASE WHEN file_id % 2 = 0 THEN CASE c6 WHEN '本科批次' THEN '本科批' ELSE '专科批' END ELSE '本科批' END AS batch, 'f' || s.file_id || '.xlsx' AS source_file FROM school_lines s JOIN md USING (file_id)""")
 def parse_school_sheets(t):
     rows = cells.parse_sheets(t.school_cells, _K, "school", _school_files(t))
     return rows.select(
-        "file_id", "row_idx", "year", "province", "school_code", "school_name", "major_group", "min_score", "min_rank", "plan_count", "subject_type", "batch", "source_file"
+        "file_id", "row_idx", "year", "province", "school_code", "school_name", "major_name", "major_group", "min_score", "min_rank", "plan_count", "subject_type", "batch",
+        "source_file",
     )
 
 
+@query("B8_parse_major_sheets", f"""
+SELECT file_id, row_idx, '2024' AS year, '江苏' AS province, c0 AS school_code, {q.squeeze('c1')} AS school_name, c6 AS major_name, c0 AS major_code, c2 AS major_group,
+  CAST(CAST(min_score AS INT) AS DOUBLE) AS min_score, CAST(min_rank AS DOUBLE) AS min_rank, '本科批' AS batch FROM school_lines""")
+def parse_major_sheets(t):
+    head = ["院校代号", "院校名称", "专业名称", "专业代号", "专业组", "最低分", "位次"]
+    sheet = _sheet(t.school_lines, _K, 2, ["c0", "c1", "c6", "c0", "c2", "c3", "c4"], [(0, ["录取情况"]), (1, head)])
+    rows = cells.parse_sheets(sheet, _K, "major", _school_files(t))
+    return rows.select("file_id", "row_idx", "year", "province", "school_code", "school_name", "major_name", "major_code", "major_group", "min_score", "min_rank", "batch")
+
+
+# One sheet of control lines per (year, province).
+define("control_lines", """
+SELECT year, province, year || '/' || province AS file_id, CAST(1 + row_number() OVER (PARTITION BY year, province ORDER BY subject_type, batch) AS INT) AS row_idx,
+  subject_type, batch, CAST(CAST(score AS INT) AS STRING) || '分' AS c2, score FROM control_fx""")
+
+
+@query("B8_parse_control_sheets", """
+WITH md AS (SELECT file_id, arg_min(subject_type, (-n, subject_type)) AS mode FROM (SELECT file_id, subject_type, count(*) AS n FROM control_lines GROUP BY 1, 2) GROUP BY 1)
+SELECT file_id, row_idx, CAST(year AS VARCHAR) AS year, mode AS subject_type, batch, score FROM control_lines JOIN md USING (file_id)""")
+def parse_control_sheets(t):
+    lines = t.control_lines
+    sheet = _sheet(lines, _K, 2, ["subject_type", "batch", "c2"], [(0, ["录取线"]), (1, ["科类", "批次", "分数"])])
+    files = lines.where("row_idx = 2").select(
+        "file_id", F.lit("c.xlsx").alias("file_name"), F.lit("Sheet1").alias("sheet_name"), F.col("year").alias("default_year"), F.lit(None).cast("string").alias("subject_hint")
+    )
+    return cells.parse_sheets(sheet, _K, "control", files).select("file_id", "row_idx", "year", "subject_type", "batch", "score")
+
+
 def _rank_files(t):
     return t.rank_rows.where("row_idx = 3").select(
         "file_id", F.concat(F.lit("r"), F.col("file_id").cast("string"), F.lit(".xlsx")).alias("file_name"), F.lit("Sheet1").alias("sheet_name"),
@@ -365,7 +395,7 @@ SELECT file_id, CASE file_id % 3 WHEN 0 THEN '历史类' WHEN 1 THEN '物理类'
   WHEN file_id % 3 = 1 THEN '物理类' END AS by_hint, CASE file_id % 3 WHEN 0 THEN '历史类' WHEN 1 THEN '物理类' ELSE CASE WHEN file_id % 5 = 0 THEN '历史类' WHEN file_id % 7 = 0 THEN '综合改革' END END AS by_sheet
 FROM (SELECT DISTINCT file_id FROM school_lines)""")
 def resolved_subjects(t):
-    heads = cells.header_subjects(t.school_cells, _K)
+    heads = cells.sheet_facts(cells.gathered_rows(t.school_cells, _K), _K, "school")
     hint = F.when(F.col("file_id") % 7 == 0, "不分文理")
     name = F.when(F.col("file_id") % 5 == 0, "文科表").otherwise("f")
     none = F.lit(None).cast("string")
@@ -387,7 +417,7 @@ def most_frequent_subject(t):
 
 # Three parsers see each order's table: the second drops the header words of every third file, the third sees one row only.
 def _candidates(t):
-    base = cut_lineage(t.school_cells)
+    base = t.school_cells
     second = base.withColumn("value", F.when((F.col("file_id") % 3 == 0) & (F.col("row_idx") == 1), F.lit("x")).otherwise(F.col("value")))
     parts = [
         base.where((F.col("file_id") % 4 != 0) & (F.col("row_idx") < 900)).withColumn("parser", F.lit("second")),
@@ -400,15 +430,31 @@ def _candidates(t):
 
 _CAND = """
 n AS (SELECT file_id, count(*) AS n FROM school_lines GROUP BY 1),
-sc AS (SELECT file_id, 'first' AS parser, CASE WHEN file_id % 3 = 0 THEN n ELSE n + 300 + CASE WHEN file_id % 2 = 0 THEN 0 ELSE 0 END END AS score FROM n
-  UNION ALL SELECT file_id, 'second', n + 300 FROM n WHERE file_id % 4 <> 0)"""
+sc AS (SELECT file_id, 'first' AS parser, CASE WHEN file_id % 3 = 0 THEN n + 1 ELSE n + 300 + CASE WHEN file_id % 5 = 0 THEN 5 ELSE 0 END END AS score FROM n
+  UNION ALL SELECT file_id, 'second', n + 300 + CASE WHEN file_id % 5 = 0 THEN 5 ELSE 0 END FROM n WHERE file_id % 4 <> 0)"""
 
 
-@query("B20_table_scores")
+# Rows up to 500, the bonuses of the type, and five for every header word that no name took ('院校' in '考试院校全称').
+# A table without header words takes its title as header, so its second row counts too. The note at the end is no row.
+@query("B20_table_scores", "WITH " + _CAND + """
+SELECT file_id, parser, 0 AS table_idx, CAST(score AS INT) AS score FROM sc""")
 def table_scores(t):
     return grids.table_scores(_candidates(t), ["file_id", "parser", "table_idx"], "school")
 
 
+@query("B20_control_table_scores", """
+SELECT file_id, CAST(count(*) + 200 AS INT) AS score FROM control_lines GROUP BY 1""")
+def control_table_scores(t):
+    sheet = _sheet(t.control_lines, _K, 2, ["subject_type", "batch", "c2"], [(0, ["录取线"]), (1, ["科类", "批次", "分数"])])
+    return grids.table_scores(sheet, _K, "control")
+
+
+@query("B20_rank_table_scores", """
+SELECT file_id, CAST(least(count(*), 500) + 200 AS INT) AS score FROM rank_rows GROUP BY 1""")
+def rank_table_scores(t):
+    return grids.table_scores(t.cells_fx, _K, "rank")
+
+
 @query("B21_best_tables", "WITH " + _CAND + """
 SELECT file_id, CASE WHEN file_id % 11 = 0 THEN 'no_extractable_text' WHEN file_id % 3 = 0 AND file_id % 4 = 0 THEN 'unsupported_pdf_table' ELSE 'parsed' END AS status,
  CASE WHEN file_id % 11 = 0 OR (file_id % 3 = 0 AND file_id % 4 = 0) THEN NULL WHEN file_id % 3 = 0 THEN 'second' ELSE 'first' END AS parser FROM n""")
@@ -418,7 +464,8 @@ def best_tables(t):
     return grids.best_tables(files, scores, ("first", "second", "third")).select("file_id", "status", "parser")
 
 
-define("page_text", "SELECT doc_id % 97 AS file_id, doc_id % 9 AS page_no, CASE WHEN n_chars > 400 THEN '  ' ELSE text END AS text FROM {documents}")
+# Every third file has blank pages first; its text starts on the sixth page, beyond those that count.
+define("page_text", "SELECT doc_id % 97 AS file_id, CAST(floor(doc_id / 97.0) AS BIGINT) % 9 AS page_no, CASE WHEN (doc_id % 97) % 3 = 0 AND CAST(floor(doc_id / 97.0) AS BIGINT) % 9 < 5 THEN '  ' ELSE text END AS text FROM {documents}")
 
 
 @query("B22_text_layer", "SELECT file_id, coalesce(sum(length(trim(text, E' \\n\\t\\r'))) FILTER (page_no < 5), 0) >= 30 AS has_text FROM page_text GROUP BY 1")
