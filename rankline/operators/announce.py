@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, titles
 from ..functions.text import file_name, file_suffix, strip, text_or_empty
+from ..sources.html import links_of_pages
 from .search import first_per
 from .settle import settled
 
@@ -27,27 +28,14 @@ DETAIL_PAGES = {
 }
 ANY_DETAIL_PAGE = r"^[^?#]*\.(html|htm|shtml|jhtml)([?#]|$)"
 
-_TAG = r"(?is)<(a|img)\b([^>]*)>"
-_ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a\s*>"
-_HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-_SRC = r"(?is)\bsrc\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 
-
-def unescape(c: Column) -> Column:
-    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(code), F.lit(char))
-    return c
-
-
-def plain_text(c: Column) -> Column:
-    """Text of an HTML fragment with each piece stripped and joined without blanks."""
-    pieces = F.transform(F.split(F.regexp_replace(c, r"(?s)<!--.*?-->", ""), r"(?s)<[^>]*>"), lambda p: strip(unescape(p)))
-    return F.array_join(pieces, "")
-
-
-def _attribute(attrs: Column, pattern: str) -> Column:
-    found = [F.nullif(F.regexp_extract(attrs, pattern, i), F.lit("")) for i in (1, 2, 3)]
-    return strip(unescape(F.coalesce(*found)))
+def folded(path: Column) -> Column:
+    """Absolute path without empty and dot segments; ``..`` takes away the segment before it, at the root nothing."""
+    parts = F.filter(F.split(path, "/"), lambda x: x != "")
+    step = lambda kept, x: F.when(x == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(x == ".", kept).otherwise(F.concat(kept, F.array(x)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    end = F.when((F.size(kept) > 0) & path.rlike(r"/\.{0,2}$"), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), end)
 
 
 def resolve_url(base: Column, href: Column) -> Column:
@@ -55,25 +43,20 @@ def resolve_url(base: Column, href: Column) -> Column:
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*:)", 1)
     root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
     path = F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/]*", "")
-    folder = F.concat(root, F.regexp_replace(F.when(path == "", F.lit("/")).otherwise(path), r"[^/]*$", ""))
-    full = (
+    tail = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    own = F.regexp_extract(href, r"^([^?#]*)", 1)
+    whole = F.when(F.startswith(href, F.lit("/")), own).otherwise(F.concat(F.regexp_replace(F.when(path == "", F.lit("/")).otherwise(path), r"[^/]*$", ""), own))
+    return (
         F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), href).when(F.startswith(href, F.lit("//")), F.concat(scheme, href))
-        .when(F.startswith(href, F.lit("/")), F.concat(root, href)).when(F.startswith(href, F.lit("?")), F.concat(F.regexp_replace(base, r"[?#].*$", ""), href))
-        .otherwise(F.concat(folder, href))
+        .when(own == "", F.concat(F.regexp_replace(base, F.when(F.startswith(href, F.lit("?")), r"[?#].*$").otherwise(r"#.*$"), F.lit("")), href))
+        .otherwise(F.concat(root, folded(whole), tail))
     )
-    plain = F.regexp_replace(full, r"/(\./)+", "/")
-    for _ in range(3):
-        plain = F.regexp_replace(plain, r"(?<=[^:/])/(?!\.\.)[^/?#]+/\.\./", "/")
-    return plain
 
 
 def links(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Links of every page in order: absolute URL and text. Empty, fragment and script links are left out."""
-    anchors = pages.select(page, F.col(url).alias("base_url"), F.posexplode(F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(0))).alias("link_no", "a"))
-    parts = anchors.select(
-        page, "base_url", "link_no", _attribute(F.regexp_extract("a", _ANCHOR, 1), _HREF).alias("href"), plain_text(F.regexp_extract("a", _ANCHOR, 2)).alias("text")
-    )
-    kept = settled(parts).where("href <> '' AND NOT startswith(href, '#') AND NOT startswith(lower(href), 'javascript:')")
+    parts = links_of_pages(pages, page, url, html).where("tag = 'a'").withColumnRenamed("tag_no", "link_no")
+    kept = parts.where("href <> '' AND NOT startswith(href, '#') AND NOT startswith(lower(href), 'javascript:')")
     return settled(kept.select(page, "link_no", resolve_url(F.col("base_url"), F.col("href")).alias("url"), "text"))
 
 
@@ -92,25 +75,21 @@ def download_links(found: DataFrame, page: str = "page_id") -> DataFrame:
     return first_per(rows, [page, "url"], ["link_no"]).select(page, "url", "text", F.coalesce("ext", F.lit(".xlsx")).alias("ext"))
 
 
-def _query_file(url: Column) -> Column:
-    """File name given to a download script in its query, null when there is none."""
-    raw = F.nullif(F.regexp_extract(url, r"(?i)[?&]filename=([^&#]*)", 1), F.lit(""))
-    return F.try_url_decode(raw)
+def _query_suffix(url: Column) -> Column:
+    """Suffix of the file that a download script is asked for in its query: of ``filename``, else of ``showname``, else .xls if there is a
+    ``filename``; null without these."""
+    raw = [F.nullif(F.regexp_extract(url, rf"[?&]{name}=([^&#]*)", 1), F.lit("")) for name in ("filename", "showname")]
+    found = [_extension(F.lower(F.coalesce(F.try_url_decode(r), r)), (".xlsx", ".xls")) for r in raw]
+    return F.coalesce(*found, F.when(raw[0].isNotNull(), ".xls"))
 
 
 def attachments(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Attachments of every page from links and images: title, URL, file type; first per URL."""
-    tags = pages.select(page, F.col(url).alias("base_url"), F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<a\b[^>]*>.*?</a\s*>|<img\b[^>]*>"), F.lit(0))).alias("tag_no", "tag"))
-    is_link = F.lower(F.substring("tag", 1, 2)) == "<a"
-    attrs = F.regexp_extract("tag", _TAG, 2)
-    rows = tags.withColumn("href", F.when(is_link, _attribute(attrs, _HREF)).otherwise(_attribute(attrs, _SRC))).withColumn(
-        "text", F.when(is_link, plain_text(F.regexp_extract("tag", _ANCHOR, 2))).otherwise(F.lit(""))
-    )
-    rows = settled(rows).where("href <> '' AND NOT startswith(lower(href), 'javascript:')").withColumn("target", resolve_url(F.col("base_url"), F.col("href")))
+    tags = links_of_pages(pages, page, url, html).withColumn("text", F.when(F.col("tag") == "a", F.col("text")).otherwise(F.lit("")))
+    rows = tags.where("href <> '' AND NOT startswith(lower(href), 'javascript:')").withColumn("target", resolve_url(F.col("base_url"), F.col("href")))
     rows = settled(settled(rows).withColumn("path", titles.url_path(F.col("target"))))
     script = F.contains(F.lower("target"), F.lit("downfile.jsp"))
-    named = _query_file(F.col("target"))
-    from_query = F.when(script & named.isNotNull(), F.coalesce(_extension(F.lower(named), (".xlsx", ".xls")), F.lit(".xls")))
+    from_query = F.when(script, _query_suffix(F.col("target")))
     rows = settled(rows.withColumn("ext", F.coalesce(_extension(F.lower("path"), ATTACHMENT_EXTENSIONS), from_query))).where("ext IS NOT NULL")
     title = F.coalesce(F.nullif("text", F.lit("")), F.nullif(file_name(F.col("path")), F.lit("")), F.lit("attachment"))
     kind = F.regexp_replace(F.when(F.col("ext") == ".jpeg", ".jpg").otherwise(F.col("ext")), r"^\.", "")
@@ -148,8 +127,7 @@ def data_attachments(rows: DataFrame, page: str, record_type: str | Column | Non
     rows = settled(rows.withColumn("_path", F.lower(titles.url_path(F.col("url")))))
     path = F.col("_path")
     ext = F.regexp_extract(path, r"(\.[^./]+)$", 1)
-    named = _query_file(F.col("url"))
-    from_query = F.when(named.isNotNull(), F.coalesce(_extension(F.lower(named), (".xlsx", ".xls")), F.lit(".xls")))
+    from_query = _query_suffix(F.col("url"))
     ext = F.when(~ext.isin(*DATA_EXTENSIONS, *IMAGE_EXTENSIONS) & F.contains(F.lower("url"), F.lit("downfile.jsp")), F.coalesce(from_query, ext)).otherwise(ext)
     kind = record_type if isinstance(record_type, Column) else F.lit(record_type)
     allowed = ext.isin(*DATA_EXTENSIONS) | (F.coalesce(kind == "control", F.lit(False)) & ext.isin(*IMAGE_EXTENSIONS))

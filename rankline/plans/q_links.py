@@ -1,11 +1,10 @@
 """Links, attachments, discovery, routing and sinks."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from ..functions import titles
 from ..operators import announce, cells, load
+from ..session import shared_folder
 from ..sources import files
 from . import sqlbits as q
 from .inputs import define
@@ -20,24 +19,38 @@ raw AS (SELECT page_id, base_url, unnest({_HREF.format(i=1)}) AS href, unnest({_
 ln AS (SELECT page_id, CAST(link_no AS INT) AS link_no, regexp_extract(base_url, '^[a-z]+://[^/?#]*', 0) || href AS url, text FROM raw)"""
 
 
-@query("A4_page_links", f"WITH {_LINKS} SELECT * FROM ln")
-def page_links(t):
-    return announce.links(t.pages)
-
-
 # The given pages with links to files added: the kind of file depends on the page.
 define("page_files", """
 SELECT page_id, url, '<a href="/files/' || CAST(page_id AS STRING) || '.xlsx">表</a><a href=''down/list?x=1''>投档 下载</a><a href="#top">x</a><a href="javascript:go()">录取</a>'
-  || '<img src="/uploadfile/p' || CAST(page_id AS STRING) || '.PNG"><img src="/images/logo.png"><a href="../a/downfile.jsp?filename=%E8%A1%A8.xls">导出</a><a href="/files/' || CAST(page_id AS STRING) || '.xlsx">again</a>' || html AS html FROM {pages}""")
+  || '<img src="/uploadfile/p' || CAST(page_id AS STRING) || '.PNG"><img src="/images/logo.png"><a href="../a/downfile.jsp?filename=%E8%A1%A8.xls">导出</a><a href="/files/' || CAST(page_id AS STRING) || '.xlsx">again</a>'
+  || '<!-- <a href="/old.xlsx">旧</a> --><script>var s = "<a href=/js.xlsx>脚本</a>";</script><a data-href="/wrong.xlsx" href="/files/right.pdf" title="1>0">&#20013;&ldquo;x&rdquo;</a><img data-src="/lazy.png" src="/uploadfile/real.jpg">'
+  || '<a href="../../../../../../../up/top.zip">上</a><a href="/a/b/c/d/e/f/../../../../../deep.xls">深</a><a href="downfile.jsp?showname=%E5%9B%BE.xlsx&amp;id=3"> 名 <b> 称 </b></a>' || html AS html FROM {pages}""")
 _ROOT = "regexp_extract(url, '^[a-z]+://[^/?#]*', 0)"
 _PATH = "regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[a-z]+://[^/]*(/.*)?$', 1)"
 _DIR = f"regexp_replace(CASE WHEN {_PATH} = '' THEN '/' ELSE {_PATH} END, '[^/]*$', '')"
 _UP = f"regexp_replace({_DIR}, '[^/]+/$', '')"
 
 
+@query("A4_page_links", f"""WITH {_LINKS}
+SELECT page_id, CAST(link_no + 13 AS INT) AS link_no, url, text FROM ln
+UNION ALL SELECT page_id, 0, {_ROOT} || '/files/' || page_id || '.xlsx', '表' FROM page_files
+UNION ALL SELECT page_id, 1, {_ROOT} || {_DIR} || 'down/list?x=1', '投档 下载' FROM page_files
+UNION ALL SELECT page_id, 6, {_ROOT} || {_UP} || 'a/downfile.jsp?filename=%E8%A1%A8.xls', '导出' FROM page_files
+UNION ALL SELECT page_id, 7, {_ROOT} || '/files/' || page_id || '.xlsx', 'again' FROM page_files
+UNION ALL SELECT page_id, 8, {_ROOT} || '/files/right.pdf', '中“x”' FROM page_files
+UNION ALL SELECT page_id, 10, {_ROOT} || '/up/top.zip', '上' FROM page_files
+UNION ALL SELECT page_id, 11, {_ROOT} || '/a/deep.xls', '深' FROM page_files
+UNION ALL SELECT page_id, 12, {_ROOT} || {_DIR} || 'downfile.jsp?showname=%E5%9B%BE.xlsx&id=3', '名称' FROM page_files""")
+def page_links(t):
+    return announce.links(t.page_files)
+
+
 @query("A5_download_links", f"""
 SELECT page_id, {_ROOT} || '/files/' || page_id || '.xlsx' AS url, '表' AS text, '.xlsx' AS ext FROM page_files
-UNION ALL SELECT page_id, {_ROOT} || {_DIR} || 'down/list?x=1', '投档 下载', '.xlsx' FROM page_files""")
+UNION ALL SELECT page_id, {_ROOT} || {_DIR} || 'down/list?x=1', '投档 下载', '.xlsx' FROM page_files
+UNION ALL SELECT page_id, {_ROOT} || '/files/right.pdf', '中“x”', '.pdf' FROM page_files
+UNION ALL SELECT page_id, {_ROOT} || '/up/top.zip', '上', '.zip' FROM page_files
+UNION ALL SELECT page_id, {_ROOT} || '/a/deep.xls', '深', '.xls' FROM page_files""")
 def download_links(t):
     return announce.download_links(announce.links(t.page_files))
 
@@ -46,7 +59,12 @@ _ATT = f"""
 att AS (SELECT page_id, '表' AS title, {_ROOT} || '/files/' || page_id || '.xlsx' AS url, 'xlsx' AS file_type FROM page_files
 UNION ALL SELECT page_id, 'p' || page_id || '.PNG', {_ROOT} || '/uploadfile/p' || page_id || '.PNG', 'png' FROM page_files
 UNION ALL SELECT page_id, 'logo.png', {_ROOT} || '/images/logo.png', 'png' FROM page_files
-UNION ALL SELECT page_id, '导出', {_ROOT} || {_UP} || 'a/downfile.jsp?filename=%E8%A1%A8.xls', 'xls' FROM page_files)"""
+UNION ALL SELECT page_id, '导出', {_ROOT} || {_UP} || 'a/downfile.jsp?filename=%E8%A1%A8.xls', 'xls' FROM page_files
+UNION ALL SELECT page_id, '中“x”', {_ROOT} || '/files/right.pdf', 'pdf' FROM page_files
+UNION ALL SELECT page_id, 'real.jpg', {_ROOT} || '/uploadfile/real.jpg', 'jpg' FROM page_files
+UNION ALL SELECT page_id, '上', {_ROOT} || '/up/top.zip', 'zip' FROM page_files
+UNION ALL SELECT page_id, '深', {_ROOT} || '/a/deep.xls', 'xls' FROM page_files
+UNION ALL SELECT page_id, '名称', {_ROOT} || {_DIR} || 'downfile.jsp?showname=%E5%9B%BE.xlsx&id=3', 'xlsx' FROM page_files)"""
 
 
 @query("A6_page_attachments", f"WITH {_ATT} SELECT * FROM att")
@@ -54,7 +72,7 @@ def page_attachments(t):
     return announce.attachments(t.page_files).drop("tag_no")
 
 
-@query("L2_data_attachments", f"""WITH {_ATT} SELECT page_id, 'control' AS kind, title, url FROM att WHERE title <> 'logo.png' UNION ALL SELECT page_id, 'school', title, url FROM att WHERE file_type LIKE 'xls%'""")
+@query("L2_data_attachments", f"""WITH {_ATT} SELECT page_id, 'control' AS kind, title, url FROM att WHERE title <> 'logo.png' UNION ALL SELECT page_id, 'school', title, url FROM att WHERE file_type IN ('xls', 'xlsx', 'pdf', 'zip')""")
 def data_attachments(t):
     found = announce.attachments(t.page_files)
     parts = [announce.data_attachments(found, "page_id", kind).select("page_id", F.lit(kind).alias("kind"), "title", "url") for kind in ("control", "school")]
@@ -163,11 +181,7 @@ def direct_attachments(t):
 # ---- sources and sinks ----
 
 def _folder(t) -> str:
-    """A folder next to the shared checkpoint folder of the session; a local one only where none is named."""
-    shared = t.spark.conf.get("spark.checkpoint.dir", "")
-    if shared:
-        return f"{shared.rstrip('/')}/rankline-{next(tempfile._get_candidate_names())}"
-    return tempfile.mkdtemp(prefix="run-")
+    return shared_folder(t.spark)
 
 
 define("meta_text", """
@@ -209,7 +223,7 @@ def metadata_csv_upsert(t):
 
 @query("A9_parameterised_sql", "SELECT province, count(*) AS n FROM school_fx WHERE year = 1997 AND min_score >= 300 GROUP BY province")
 def parameterised_sql(t):
-    sql = "SELECT province, count(*) AS n FROM rankline_schools WHERE year = :year AND min_score >= :low GROUP BY province"
+    sql = "SELECT province, count(*) AS n FROM {rankline_schools} WHERE year = :year AND min_score >= :low GROUP BY province"
     return files.query_tables(t.spark, sql, {"rankline_schools": t.school_fx}, year=1997, low=300.0)
 
 
@@ -217,10 +231,10 @@ define("school_export", "SELECT *, CAST(NULL AS STRING) AS tie_breaker_text, 'f.
 
 
 @query("A10_exported_csv", """
-SELECT province, year, CAST(year AS VARCHAR) AS "年份", school_name AS "院校名称", major_group AS "专业组", min_score AS "投档最低分", plan_count AS "计划数" FROM school_fx WHERE year IN (1997, 1998)""")
+SELECT province, year, CAST(year AS VARCHAR) AS "年份", school_name AS "院校名称", major_group AS "专业组", min_score AS "投档最低分", plan_count AS "计划数" FROM school_fx""")
 def exported_csv(t):
     path = _folder(t) + "/export"
-    files.export_csv(t.school_export, "school", path, [1997, 1998])
+    files.export_csv(t.school_export, "school", path)
     back = t.spark.read.option("header", True).csv(path)
     return back.select(
         "province", F.col("year").cast("int").alias("year"), F.col("年份").cast("string").alias("年份"), "院校名称", "专业组", F.col("投档最低分").cast("double").alias("投档最低分"),
@@ -241,11 +255,19 @@ def export_provinces(t):
     return files.export_provinces(t.school_dirty, [1997, 1998])
 
 
-@query("A14_json_report", "SELECT province, count(*) AS n, year AS report_year FROM school_fx WHERE year IN (1997, 1998) GROUP BY province, year")
+@query("A10_exported_years", """SELECT province, CAST(year AS INT) AS year, school_name AS "院校名称", min_score AS "投档最低分" FROM school_fx WHERE year IN (1997, 1998)""")
+def exported_years(t):
+    path = _folder(t) + "/export"
+    files.export_csv(t.school_export, "school", path, [1997, 1998])
+    back = t.spark.read.option("header", True).csv(path)
+    return back.select("province", F.col("year").cast("int").alias("year"), "院校名称", F.col("投档最低分").cast("double").alias("投档最低分"))
+
+
+@query("A14_json_report", "SELECT province, count(*) AS n, year AS report_year FROM school_fx GROUP BY province, year")
 def json_report(t):
     counts = t.school_fx.groupBy("province", "year").agg(F.count("*").alias("n"))
     path = _folder(t) + "/report"
-    files.save_report({y: counts.where(F.col("year") == y).drop("year") for y in (1997, 1998)}, path)
+    files.save_report(counts.withColumnRenamed("year", "report_year"), path)
     return t.spark.read.schema("province string, n bigint, report_year int").json(path)
 
 

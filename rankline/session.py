@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -27,12 +29,24 @@ def build_session(app: str = "rankline", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder of the cluster; a local folder only where none is named (tests)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", "")
-        if not shared and not context.master.startswith("local"):
+def _base_folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="run-"))
+        base = tempfile.mkdtemp(prefix="run-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(base)
+    return base
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name in the folder of the cluster that all executors share; a local one only where none is named (tests)."""
+    return f"{_base_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint in the shared folder; the files go when the frame is no longer referenced."""
+    _base_folder(df.sparkSession)
     return df.checkpoint()

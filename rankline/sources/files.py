@@ -94,13 +94,9 @@ def save_csv(df: DataFrame, path: str) -> None:
     out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def save_report(frames: dict[int, DataFrame], path: str) -> None:
-    """One JSON report of several years."""
-    stack([df.withColumn("report_year", F.lit(year)) for year, df in frames.items()]).write.mode("overwrite").json(path)
-
-
-def combined_report(frames: dict[int, DataFrame]) -> DataFrame:
-    return stack([df.withColumn("report_year", F.lit(year)) for year, df in frames.items()])
+def save_report(report: DataFrame, path: str) -> None:
+    """A report of one or several years (column report_year) as JSON lines."""
+    report.write.mode("overwrite").json(path)
 
 
 def typed_records(df: DataFrame, record_type: str) -> DataFrame:
@@ -109,10 +105,8 @@ def typed_records(df: DataFrame, record_type: str) -> DataFrame:
 
 
 def query_tables(spark: SparkSession, sql: str, tables: dict[str, DataFrame], **args) -> DataFrame:
-    """Read-only SQL with named parameters over the given tables."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=args)
+    """Read-only SQL with named parameters over the given tables, which it names in braces."""
+    return spark.sql(sql, args=args, **tables)
 
 
 def reject_preview(failed: DataFrame, cells: DataFrame, headers: DataFrame, columns: DataFrame) -> DataFrame:

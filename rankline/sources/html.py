@@ -1,4 +1,4 @@
-"""Tables of HTML pages as long cell rows. The one place that runs Python in tasks: per page, Arrow batches."""
+"""Tables and links of HTML pages as rows. The one place that runs Python in tasks: per page, Arrow batches."""
 
 from __future__ import annotations
 
@@ -33,7 +33,7 @@ class _Tables(HTMLParser):
             if not self.open[-1]:
                 self.open[-1].append([])
             spans = dict(attrs)
-            cell = ["", _span(spans.get("rowspan")), _span(spans.get("colspan"))]
+            cell = ["", _span(spans.get("rowspan"), MOST_ROWS), _span(spans.get("colspan"), MOST_COLUMNS)]
             self.open[-1][-1].append(cell)
             self.cells[-1] = cell
 
@@ -49,22 +49,33 @@ class _Tables(HTMLParser):
             self.cells[-1][0] += data
 
 
-def _span(value) -> int:
-    return int(value) if value and value.isdigit() and int(value) > 0 else 1
+# Bounds that the HTML standard sets on the two attributes.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+
+
+def _span(value, most: int) -> int:
+    return min(int(value), most) if value and value.isascii() and value.isdigit() and int(value) > 0 else 1
 
 
 def _grid(rows) -> list[dict[int, str]]:
-    """Rows as {column: text}; a spanning cell repeats its text in every place it covers."""
+    """Rows as {column: text}; a spanning cell repeats its text in every place it covers.
+
+    Cells that span beyond the last row add the rows they reach.
+    """
     grid: list[dict[int, str]] = []
     pending: dict[int, tuple[str, int]] = {}
-    for row in rows:
+    waiting = iter(rows)
+    while True:
+        row = next(waiting, None)
+        if row is None and not pending:
+            return grid
         line, carried = {}, {}
         for col, (text, left) in pending.items():
             line[col] = text
             if left > 1:
                 carried[col] = (text, left - 1)
         col = 0
-        for text, down, across in row:
+        for text, down, across in row or ():
             while col in line:
                 col += 1
             for _ in range(across):
@@ -74,7 +85,6 @@ def _grid(rows) -> list[dict[int, str]]:
                 col += 1
         pending = carried
         grid.append(line)
-    return grid
 
 
 def page_cells(html: str) -> list[tuple[int, int, int, str | None]]:
@@ -108,3 +118,55 @@ def cells_of_pages(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
         yield pd.DataFrame(rows, columns=columns)
 
     return pages.select(key, html).mapInPandas(run, f"{key} {key_type}, {CELL_FIELDS}")
+
+
+class _Links(HTMLParser):
+    """Collects (tag, target, text) of links and images in order; text pieces are stripped and joined without blanks."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found: list[list] = []
+        self.open: list | None = None
+        self.hidden = 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style"):
+            self.hidden += 1
+        elif tag in ("a", "img"):
+            target = next((v for k, v in attrs if k == ("href" if tag == "a" else "src")), None)
+            entry = [tag, target, ""]
+            if target is not None:
+                self.found.append(entry)
+            if tag == "a":  # a link ends where the next begins
+                self.open = entry
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style"):
+            self.hidden = max(0, self.hidden - 1)
+        elif tag == "a":
+            self.open = None
+
+    def handle_data(self, data):
+        if self.open is not None and not self.hidden:
+            self.open[2] += data.strip()
+
+
+def page_links(html: str) -> list[tuple[int, str, str, str]]:
+    """(number, tag, target, text) of the links and images of a page that have a target."""
+    parser = _Links()
+    parser.feed(html or "")
+    parser.close()
+    return [(i, tag, target.strip(), text) for i, (tag, target, text) in enumerate(parser.found)]
+
+
+def links_of_pages(pages: DataFrame, key: str, url: str = "url", html: str = "html") -> DataFrame:
+    """One row per link or image of every page, as a parser sees them: what stands in comments and scripts is none."""
+    key_type = pages.schema[key].dataType.simpleString()
+    columns = [key, "base_url", "tag_no", "tag", "href", "text"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(k, base, *link) for k, base, text in zip(batch[key], batch[url], batch[html]) for link in page_links(text)]
+            yield pd.DataFrame(rows, columns=columns)
+
+    return pages.select(key, url, html).mapInPandas(run, f"{key} {key_type}, base_url string, tag_no int, tag string, href string, text string")
