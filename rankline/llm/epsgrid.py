@@ -197,12 +197,11 @@ def link_embeddings(df: DataFrame, threshold: float = THRESHOLD, sample: int = S
     valid = usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     keys = [F.xxhash64(F.lit(s), "label", "vector").alias(f"g{s}") for s in (1, 2)]
     groups = rows.where(valid).groupBy("label", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-    groups = stored(groups.select("node", "copies", "label", F.size("vector").alias("size"), "vector"))
-
-    axes = directions(groups, sample, count)
-    ordered = with_cells(groups, axes, eps, count)
+    axes = directions(rows.where(valid), sample, count)
+    # Written with their cells, so that sampling the sort order does not project them again.
+    groups = stored(with_cells(groups.select("node", "copies", "label", F.size("vector").alias("size"), "vector"), axes, eps, count))
     order = ["label", "size", "cells", "node"]
-    found = stored(blocks(ordered.repartitionByRange(*order).sortWithinPartitions(*order), axes, count, per_block))
+    found = stored(blocks(groups.repartitionByRange(*order).sortWithinPartitions(*order), axes, count, per_block))
     pairs = near_blocks(found.select("label", "size", "block", "interval", "lo", "hi"), eps, count)
     links = stored(linked_pairs(found, pairs, axes, eps, threshold, count))
 
