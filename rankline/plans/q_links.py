@@ -214,7 +214,8 @@ def cleaned_csv(t):
 
 @query("F8_metadata_csv_upsert", f"""WITH r AS ({_META_ROWS}), s AS (SELECT * FROM r WHERE city <> 'CITY_X' AND province = '江苏')
 SELECT r.standard_name, CASE WHEN EXISTS (SELECT 1 FROM s WHERE s.standard_name = r.standard_name OR s.school_name = r.school_name OR s.school_name = r.standard_name OR s.standard_name = r.school_name) THEN
-  CASE WHEN EXISTS (SELECT 1 FROM s WHERE s.standard_name = r.standard_name) THEN 'skipped' ELSE 'updated' END ELSE 'inserted' END AS outcome FROM r""")
+  CASE WHEN EXISTS (SELECT 1 FROM s WHERE s.standard_name = r.standard_name) AND NOT EXISTS (SELECT 1 FROM r e WHERE e.standard_name < r.standard_name AND e.school_name = r.school_name
+    AND NOT EXISTS (SELECT 1 FROM s WHERE s.standard_name = e.standard_name)) THEN 'skipped' ELSE 'updated' END ELSE 'inserted' END AS outcome FROM r""")
 def metadata_csv_upsert(t):
     rows = _metadata_csv(t)
     stored = rows.where("city <> 'CITY_X' AND province = '江苏'")
