@@ -14,7 +14,7 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, table
@@ -23,10 +23,11 @@ from .pieces import mix
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 32
-SKETCHES = 3  # per band
+BANDS = 48
+SKETCHES = 4  # per band
 MINIMA = 2  # per sketch
 WHOLE = 32  # buckets of at most so many texts are compared fully
+SPARE_PAIRS = 4  # and all that are left, once that makes at most so many pairs per text
 SALTS = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -169,29 +170,39 @@ def _pair(x, y) -> list:
 def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, whole: int) -> DataFrame:
     """Verified links between texts that share a bucket (columns key, node).
 
-    A bucket of at most ``whole`` texts is compared fully. A larger one is compared with one text, the one that shares most buckets with
-    others; texts that do not link to it go on to the next round among themselves, until no bucket is left. Rows of a round grow
-    with its buckets' sizes, not with their squares.
+    A bucket of at most ``whole`` texts is compared fully. A larger one is compared with a few heads, the texts that share most buckets
+    with others; texts that link to no head go on to the next round among themselves, which takes twice as many heads, until what is left makes
+    at most ``SPARE_PAIRS`` pairs per text and is compared fully. The rows of a round grow with the sizes of its buckets, not with their squares.
     """
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
-    active = buckets.join(sizes.where("n > 1"), "key")
-    shared = active.groupBy("node").agg(F.sum("n").alias("shared"))
-    active = stored(active.join(shared, "node"))
-    links = None
+    shared = buckets.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("shared"))
+    active = stored(buckets.join(sizes, "key").join(shared, "node"))
+    links, tested, heads, spare = None, None, 2, SPARE_PAIRS * symbols.count()
     while True:
-        small = active.where(F.col("n") <= whole).select("key", "node")
-        full = small.alias("x").join(small.alias("y"), "key").where("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        large = active.where(F.col("n") > whole)
-        heads = large.groupBy("key").agg(F.max(F.struct("shared", (-F.col("node")).alias("late"))).alias("top")).select("key", (-F.col("top.late")).alias("head"))
-        rest = stored(large.join(heads, "key").where("node <> head").select("key", "node", "shared", "head"))
-        wanted = full.unionByName(rest.select(*_pair(F.col("node"), F.col("head")))).distinct()
-        found = stored(verified(wanted, symbols, threshold))
+        total = active.groupBy("key").agg(F.first("n").alias("n")).agg(F.coalesce(F.sum(F.when(F.col("n") > whole, F.col("n") * (F.col("n") - 1) / 2)), F.lit(0))).first()[0]
+        last = total <= spare
+        fits = F.lit(True) if last else F.col("n") <= whole
+        small = active.where(fits).select("key", "node")
+        wanted = small.alias("x").join(small.alias("y"), "key").where("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        if not last:
+            place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("shared"), "node"))
+            large = active.where(~fits)
+            top = large.withColumn("place", place).where(F.col("place") <= heads).select("key", F.col("node").alias("head"))
+            rest = large.join(top, "key").where("node <> head").select("key", "node", "shared", "head", *_pair(F.col("node"), F.col("head")))
+            wanted = wanted.unionByName(rest.select("a", "b"))
+        wanted = wanted.distinct()
+        wanted = stored(wanted if tested is None else wanted.join(tested, ["a", "b"], "left_anti"))
+        tested = wanted if tested is None else tested.unionByName(wanted)
+        needed = wanted.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        found = stored(verified(wanted, symbols.join(needed, "node", "left_semi"), threshold))
         links = found if links is None else links.unionByName(found)
-        left = rest.select("key", "node", "shared", *_pair(F.col("node"), F.col("head"))).join(found, ["a", "b"], "left_anti").select("key", "node", "shared")
+        if last:
+            return links
+        # Out go the heads, which have met all others, and the texts that linked to one.
+        gone = rest.join(links, ["a", "b"], "left_semi").select("key", "node").unionByName(top.withColumnRenamed("head", "node")).distinct()
+        left = large.join(gone, ["key", "node"], "left_anti").select("key", "node", "shared")
         sizes = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        active = stored(left.join(sizes, "key"))
-        if active.isEmpty():
-            return links.distinct()
+        active, heads = stored(left.join(sizes, "key")), heads * 2
 
 
 def near_duplicates(
