@@ -17,6 +17,14 @@ TRUE_WORDS = ("1", "true", "yes", "y", "是", "t")
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def fold(c: Column) -> Column:
+    """Case folding of ASCII letters only, as prefix matches and keyword searches do."""
+    return F.translate(c, _UPPER, _LOWER)
+
+
 def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 

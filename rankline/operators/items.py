@@ -249,14 +249,14 @@ def audit(images: DataFrame, records: DataFrame, status: DataFrame) -> DataFrame
     return suspicious_flags(joined.fillna(0, ["valid_rows", "invalid_rows"]))
 
 
-def batch_gate(audits: DataFrame, *keys: str) -> DataFrame:
-    """Share of images without flags among those that are not corrupted; passes at 80 %."""
+def batch_gate(audits: DataFrame, *keys: str, ratio: float = PASS_RATIO) -> DataFrame:
+    """Share of images without flags among those that are not corrupted; passes at ``ratio``."""
     good = ~F.col("corrupted")
     sums = audits.groupBy(*keys).agg(
         F.count("*").alias("audited"), F.count_if(good).alias("eligible"), F.count_if(good & (F.size("suspicious_flags") == 0)).alias("clean")
     )
-    ratio = F.coalesce(F.try_divide("clean", "eligible"), F.lit(0.0))
-    return sums.withColumn("clean_ratio", F.round(ratio, 4)).withColumn("passed", (F.col("eligible") > 0) & (ratio >= PASS_RATIO))
+    share = F.coalesce(F.try_divide("clean", "eligible"), F.lit(0.0))
+    return sums.withColumn("clean_ratio", F.round(share, 4)).withColumn("passed", (F.col("eligible") > 0) & (share >= ratio))
 
 
 def allowed_loads(requests: DataFrame, gates: DataFrame, *keys: str) -> DataFrame:

@@ -5,15 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import fold
 from .search import LIMIT_DEFAULT, LIMIT_MAX, TIES, by_rank_order, filtered, limited, school_order
 
 TIERS = {"985": "is_985", "211": "is_211", "双一流": "is_double_first_class"}
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def fold(c: Column) -> Column:
-    """Case folding of ASCII letters only, as the prefix match does."""
-    return F.translate(c, _UPPER, _LOWER)
 
 
 def name_pairs(schools: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import text_or_empty
+from ..functions.text import fold, text_or_empty
 from ..session import cut_lineage
 from . import stats
 from .lookup import KEYS, convert_between_years
@@ -36,7 +36,7 @@ def filtered(
         if value is not None and value != "" and value != ALL:
             df = df.where(F.col(column) == F.lit(value))
     if keyword and keyword.strip():
-        df = df.where(F.contains("school_name", F.lit(keyword.strip())))
+        df = df.where(F.contains(fold(F.col("school_name")), fold(F.lit(keyword.strip()))))
     for column, low, high in (("min_score", min_score, max_score), ("min_rank", rank_min, rank_max)):
         if low is not None:
             df = df.where(F.col(column) >= low)
@@ -107,7 +107,7 @@ def rank_page(ranks: DataFrame, *, year: int, province: str, subject_type: str,
 def control_page(controls: DataFrame, *, batch: str | None = None, limit: int = 100, **equal) -> DataFrame:
     hits = filtered(controls, **equal)
     if batch and batch.strip():
-        hits = hits.where(F.contains("batch", F.lit(batch.strip())))
+        hits = hits.where(F.contains(fold(F.col("batch")), fold(F.lit(batch.strip()))))
     order = [F.desc("year"), F.desc("score"), "province", "subject_type", "batch"]
     return hits.orderBy(*order).limit(limited(limit, 100, 200)).withColumn("total", hits.agg(F.count("*")).scalar())
 

@@ -31,7 +31,7 @@ def search_enriched(t):
 SELECT {_S}, {_M}, count(*) OVER () AS total FROM school_fx s LEFT JOIN meta_fx m ON {_ON} WHERE s.batch = '本科批' AND contains(s.school_name, 'ring') AND s.min_score >= 300
 ORDER BY s.min_score DESC NULLS LAST, {_TIES} LIMIT 500""")
 def search_enriched_by_keyword(t):
-    return metajoin.search_enriched(t.school_fx, t.meta_fx, batch="本科批", keyword="ring", min_score=300, limit=500, default=500, maximum=500)
+    return metajoin.search_enriched(t.school_fx, t.meta_fx, batch="本科批", keyword="Ring", min_score=300, limit=500, default=500, maximum=500)
 
 
 @query("H3_tier_reachable", f"""

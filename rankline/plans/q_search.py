@@ -13,7 +13,7 @@ SELECT {_COLS}, count(*) OVER () AS total FROM school_fx
 WHERE province = 'ASIA' AND min_score >= 400 AND min_score <= 600 AND contains(school_name, 'ring')
 ORDER BY min_score DESC NULLS LAST, {_TIES} LIMIT 200""")
 def search_by_score(t):
-    return search.search_schools(t.school_fx, province="ASIA", subject_type="全部", keyword="ring", min_score=400, max_score=600, limit=1000)
+    return search.search_schools(t.school_fx, province="ASIA", subject_type="全部", keyword="RING", min_score=400, max_score=600, limit=1000)
 
 
 @query("G1_search_schools_by_rank_range", f"""
@@ -35,7 +35,7 @@ SELECT {_COLS}, count(*) OVER () AS total FROM school_fx WHERE admission_categor
 ORDER BY min_score DESC NULLS LAST, {_TIES} LIMIT 500""")
 def search_with_category(t):
     return search.search_schools(
-        t.school_fx, admission_category="普通类", batch="本科批", keyword=" cold ", limit=500, default=500, maximum=500
+        t.school_fx, admission_category="普通类", batch="本科批", keyword=" Cold ", limit=500, default=500, maximum=500
     )
 
 

@@ -12,6 +12,7 @@ NAMES = [
     "H4_score_to_rank", "H5_rank_to_score_not_monotone", "H7_schools_by_equivalent_score", "G2_schools_by_rank", "H1_search_enriched", "I9_null_rates", "I13_score_histogram",
     "J4_monotonic_violations", "M4_regression_gate", "C28_province_metadata", "E6_errors_with_row_numbers", "F2_append_schools", "F6_upsert_metadata", "K1_clustered_rows", "A6_page_attachments",
     "B1_header_rows", "L1_announcements",
+    "B8_parse_school_sheets", "B20_table_scores", "K9_irregular_rows", "K18_fast_engine_gate", "F13_recognised_chain", "A4_page_links",
 ]
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
 
