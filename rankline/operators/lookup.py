@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import asof_backward, asof_forward
+from .ordered import asof_backward, asof_forward, running_max_above
 
 KEYS = ("year", "province", "subject_type")
 SCORE_BAND = 50
@@ -41,14 +41,13 @@ def score_to_rank(requests: DataFrame, table: DataFrame, score: str = "score", y
 
 
 def rank_steps(table: DataFrame) -> DataFrame:
-    """Rows at which the running maximum of the count grows, from the top score down.
+    """Scores at which the running maximum of the count grows, from the top score down.
 
     The answer for a rank is the step with the smallest count at or above it, also when the
-    stored counts are not monotone. A key has one row per score, so its window is small.
+    stored counts are not monotone. One row per score is left first; the maximum runs over score bands.
     """
-    down = Window.partitionBy(*KEYS).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
-    rows = table.where("cumulative_count IS NOT NULL").select(*KEYS, F.col("score").cast("double").alias("score"), "cumulative_count")
-    rows = rows.withColumn("above", F.max("cumulative_count").over(down))
+    rows = table.where("cumulative_count IS NOT NULL").groupBy(*KEYS, F.col("score").cast("double").alias("score")).agg(F.max("cumulative_count").alias("cumulative_count"))
+    rows = running_max_above(rows, KEYS, "score", "cumulative_count", SCORE_BAND)
     return rows.where("above IS NULL OR cumulative_count > above").drop("above")
 
 

@@ -85,3 +85,13 @@ def with_next(df: DataFrame, keys: Sequence[str], pos: str, columns: Sequence[st
     return df.join(bands, [*keys, "band"]).withColumn("next", F.coalesce("local_next", "band_next")).drop(
         "band", "local_next", "is_first", "band_next"
     )
+
+
+def running_max_above(df: DataFrame, keys: Sequence[str], pos: str, value: str, width: float) -> DataFrame:
+    """Add ``above``: the largest value of the rows of the key with a larger pos, null at the top."""
+    keys = list(keys)
+    inside = Window.partitionBy(*keys, "band").orderBy(F.desc(pos)).rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("band", band_of(F.col(pos), width)).withColumn("in_band", F.max(value).over(inside))
+    higher = Window.partitionBy(*keys).orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
+    bands = df.groupBy(*keys, "band").agg(F.max(value).alias("top")).select(*keys, "band", F.max("top").over(higher).alias("carried"))
+    return df.join(bands, [*keys, "band"]).withColumn("above", F.greatest("in_band", "carried")).drop("band", "in_band", "carried")

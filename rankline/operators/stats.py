@@ -20,13 +20,12 @@ def table_summary(tables: dict[str, DataFrame]) -> DataFrame:
     keys = stack([df.select(F.lit(name).alias("table_name"), "year", "province") for name, df in tables.items()])
     per_key = keys.groupBy("table_name", "year", "province").agg(F.count("*").alias("n"))
     counts = per_key.groupBy("table_name").agg(F.sum("n").alias("row_count"))
-    names = per_key.agg(
-        F.array_sort(F.collect_set("year")).alias("years"),
-        F.array_sort(F.collect_set(F.nullif("province", F.lit("")))).alias("provinces"),
-    )
-    years = F.array_join(names.select(F.col("years").cast("array<string>")).scalar(), ",")
-    provinces = F.array_join(names.select("provinces").scalar(), ",")
-    return counts.withColumn("years_available", years).withColumn("provinces_available", provinces)
+    # One value holds both lists, so the tables are read once for them.
+    names = per_key.agg(F.struct(
+        F.array_join(F.array_sort(F.collect_set("year")).cast("array<string>"), ",").alias("years"),
+        F.array_join(F.array_sort(F.collect_set(F.nullif("province", F.lit("")))), ",").alias("provinces"),
+    ).alias("names")).scalar()
+    return counts.withColumn("names", names).select("table_name", "row_count", F.col("names.years").alias("years_available"), F.col("names.provinces").alias("provinces_available"))
 
 
 def home_totals(schools: DataFrame) -> DataFrame:
@@ -131,16 +130,17 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = 20) -> DataFram
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("x")).agg(F.count("*").alias("n"))
     ends = counts.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    pad = F.when(lo == hi, F.when(lo == 0, 0.001).otherwise(F.abs(lo) * 0.001)).otherwise(0.0)
-    spread = (hi + pad) - (lo - pad)
-    width = spread / bins
-    binned = counts.withColumn("bin", F.least(F.greatest(F.ceil((F.col("x") - (lo - pad)) / width), F.lit(1)), F.lit(bins)).cast("int"))
+    pad = F.when(F.col("lo") == F.col("hi"), F.when(F.col("lo") == 0, 0.001).otherwise(F.abs("lo") * 0.001)).otherwise(0.0)
+    ends = ends.withColumn("pad", pad).withColumn("base", F.col("lo") - F.col("pad")).withColumn("spread", (F.col("hi") + F.col("pad")) - F.col("base"))
+    # One value holds all that the bins need, so it is worked out once.
+    scale = ends.select(F.struct("lo", "base", "spread", (F.col("spread") / bins).alias("width"), (F.col("pad") == 0).alias("plain"))).scalar()
+    numbered = counts.withColumn("s", scale)
+    binned = numbered.withColumn("bin", F.least(F.greatest(F.ceil((F.col("x") - F.col("s.base")) / F.col("s.width")), F.lit(1)), F.lit(bins)).cast("int"))
     sums = binned.groupBy("bin").agg(F.sum("n").alias("n"))
-    edges = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin")).where(lo.isNotNull())
+    edges = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"), scale.alias("s")).where("s.lo IS NOT NULL")
     # The outer left edge is drawn a little below the minimum, as the first bin includes it.
-    left = (lo - pad) + (F.col("bin") - 1) * width - F.when((F.col("bin") == 1) & (pad == 0), spread * 0.001).otherwise(0.0)
-    right = (lo - pad) + F.col("bin") * width
+    left = F.col("s.base") + (F.col("bin") - 1) * F.col("s.width") - F.when((F.col("bin") == 1) & F.col("s.plain"), F.col("s.spread") * 0.001).otherwise(0.0)
+    right = F.col("s.base") + F.col("bin") * F.col("s.width")
     return edges.join(sums, "bin", "left").select(
         "bin", left.try_cast("long").alias("left_edge"), right.try_cast("long").alias("right_edge"), F.coalesce("n", F.lit(0)).alias("n")
     )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..operators import load, normalize, validate
+from ..session import shared_folder
 from . import sqlbits as q
 from .inputs import define
 from .q_text import _SPLIT
@@ -230,8 +231,11 @@ o AS (SELECT w.*, CASE WHEN s.year IS NOT NULL THEN 'skipped' WHEN rn = win THEN
    AND w.admission_category = s.admission_category AND w.batch = s.batch AND w.g = coalesce(s.major_group, ''))"""
 
 
-@query("F2_append_schools", f"""WITH {_LOG} SELECT year, province, school_code, subject_type, admission_category, batch, major_group, CAST(min_score AS DOUBLE) AS min_score,
- CAST(min_rank AS INT) AS min_rank, CAST(plan_count AS INT) AS plan_count FROM o WHERE outcome = 'inserted'""")
+_F2 = f"""WITH {_LOG} SELECT year, province, school_code, subject_type, admission_category, batch, major_group, CAST(min_score AS DOUBLE) AS min_score,
+ CAST(min_rank AS INT) AS min_rank, CAST(plan_count AS INT) AS plan_count FROM o WHERE outcome = 'inserted'"""
+
+
+@query("F2_append_schools", _F2)
 def append_schools(t):
     fresh = load.new_rows(t.school_batch, t.school_stored, "school", _ORDER)
     return fresh.select("year", "province", "school_code", "subject_type", "admission_category", "batch", "major_group", "min_score", "min_rank", "plan_count")
@@ -243,6 +247,14 @@ def load_statistics(t):
     return load.load_statistics(load.outcomes(t.school_batch, t.school_stored, "school", _ORDER), "file_id")
 
 
+@query("F5_merged_statistics", f"""WITH {_LOG} SELECT file_id % 10 AS part, count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'skipped') AS skipped,
+ count(*) FILTER (outcome = 'failed') AS failed FROM o GROUP BY 1""")
+def merged_statistics(t):
+    """Statistics of the files of two loads, merged over both."""
+    per_file = load.load_statistics(load.outcomes(t.school_batch, t.school_stored, "school", _ORDER), "file_id").withColumn("part", F.col("file_id") % 10)
+    return load.merge_statistics(per_file.where("file_id % 2 = 0"), per_file.where("file_id % 2 = 1"), by=("part",))
+
+
 define("control_batch", """
 SELECT CAST(year(o_orderdate) AS INT) AS year, CASE WHEN o_custkey % 2 = 0 THEN 'EAST' ELSE 'WEST' END AS province,
   CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN '物理类' ELSE '历史类' END AS subject_type, CASE o_orderstatus WHEN 'F' THEN '本科批' WHEN 'O' THEN NULL ELSE ' 提前批 ' END AS batch,
@@ -250,10 +262,13 @@ SELECT CAST(year(o_orderdate) AS INT) AS year, CASE WHEN o_custkey % 2 = 0 THEN
 define("control_stored", "SELECT DISTINCT year, province, subject_type, '提前批' AS batch, 1.0 AS score FROM control_batch WHERE subject_type = '物理类'")
 
 
-@query("F1_append_controls", """
+_F1 = """
 WITH g AS (SELECT *, coalesce(trim(batch), '') AS b, row_number() OVER (PARTITION BY year, province, subject_type, coalesce(trim(batch), '') ORDER BY row_no) AS rn FROM control_batch WHERE score <> 'x')
 SELECT year, province, subject_type, b AS batch, CAST(score AS DOUBLE) AS score FROM g WHERE rn = 1
- AND NOT EXISTS (SELECT 1 FROM control_stored s WHERE s.year = g.year AND s.province = g.province AND s.subject_type = g.subject_type AND s.batch = g.b)""")
+ AND NOT EXISTS (SELECT 1 FROM control_stored s WHERE s.year = g.year AND s.province = g.province AND s.subject_type = g.subject_type AND s.batch = g.b)"""
+
+
+@query("F1_append_controls", _F1)
 def append_controls(t):
     return load.new_rows(t.control_batch, t.control_stored, "control", ["row_no"]).select("year", "province", "subject_type", "batch", "score")
 
@@ -264,10 +279,13 @@ SELECT src_order, src_line, src_supp, year, province, school_name, school_code,
 define("major_stored", "SELECT DISTINCT year, province, school_name, major_name, subject_type, major_group FROM major_batch WHERE plan_count % 7 = 3")
 
 
-@query("F3_append_majors", """
+_F3 = """
 WITH g AS (SELECT *, row_number() OVER (PARTITION BY year, province, school_name, major_name, subject_type, coalesce(major_group, '')
     ORDER BY src_order, src_line, src_supp, min_score NULLS FIRST, min_rank NULLS FIRST, plan_count) AS rn FROM major_batch WHERE min_score IS NOT NULL)
-SELECT year, province, school_name, major_name, subject_type, major_group, min_score, min_rank FROM g WHERE rn = 1 AND major_name <> '专业3'""")
+SELECT year, province, school_name, major_name, subject_type, major_group, min_score, min_rank FROM g WHERE rn = 1 AND major_name <> '专业3'"""
+
+
+@query("F3_append_majors", _F3)
 def append_majors(t):
     fresh = load.new_rows(t.major_batch, t.major_stored, "major", ["src_order", "src_line", "src_supp", "min_score", "min_rank", "plan_count"])
     return fresh.select("year", "province", "school_name", "major_name", "subject_type", "major_group", "min_score", "min_rank")
@@ -286,12 +304,50 @@ UNION ALL SELECT year, province, subject_type, score, same_score_count, 7, 2 FRO
 define("rank_stored", "SELECT * FROM rank_fx WHERE score % 4 = 0")
 
 
-@query("F4_append_ranks", """
-SELECT year, province, subject_type, CAST(score AS DOUBLE) AS score, same_score_count, CAST(coalesce(cumulative_count, 7) AS INT) AS cumulative_count FROM rank_bad WHERE score % 4 <> 0""")
+_F4 = """
+SELECT year, province, subject_type, CAST(score AS DOUBLE) AS score, same_score_count, CAST(coalesce(cumulative_count, 7) AS INT) AS cumulative_count FROM rank_bad WHERE score % 4 <> 0"""
+
+
+@query("F4_append_ranks", _F4)
 def append_ranks(t):
     return load.new_rows(t.rank_batch, t.rank_stored, "rank", ["part"]).select("year", "province", "subject_type", "score", "same_score_count", "cumulative_count")
 
 
+# ---- the write half: a batch is appended, appended again, and the table read back ----
+
+def _appended_twice(t, batch, stored, record_type, order):
+    path = shared_folder(t.spark) + "/table"
+    fresh = load.new_rows(batch, stored, record_type, order)
+    load.append_table(fresh, path)
+    written = t.spark.read.schema(fresh.schema).parquet(path)
+    both = stored.select(*load.KEYS[record_type]).unionByName(written.select(*load.KEYS[record_type]))
+    load.append_table(load.new_rows(batch, both, record_type, order), path)
+    return t.spark.read.schema(fresh.schema).parquet(path)
+
+
+@query("F1_append_controls_twice", _F1)
+def append_controls_twice(t):
+    return _appended_twice(t, t.control_batch, t.control_stored, "control", ["row_no"]).select("year", "province", "subject_type", "batch", "score")
+
+
+@query("F2_append_schools_twice", _F2)
+def append_schools_twice(t):
+    back = _appended_twice(t, t.school_batch, t.school_stored, "school", _ORDER)
+    return back.select("year", "province", "school_code", "subject_type", "admission_category", "batch", "major_group", "min_score", "min_rank", "plan_count")
+
+
+@query("F3_append_majors_twice", _F3)
+def append_majors_twice(t):
+    back = _appended_twice(t, t.major_batch, t.major_stored, "major", ["src_order", "src_line", "src_supp", "min_score", "min_rank", "plan_count"])
+    return back.select("year", "province", "school_name", "major_name", "subject_type", "major_group", "min_score", "min_rank")
+
+
+@query("F4_append_ranks_twice", _F4)
+def append_ranks_twice(t):
+    back = _appended_twice(t, t.rank_batch, t.rank_stored, "rank", ["part"])
+    return back.select("year", "province", "subject_type", "score", "same_score_count", "cumulative_count")
+
+
 # Batch rows keep, change or add schools; every third one is known by its school name only.
 define("meta_full", "SELECT school_name, standard_name, 'P' AS province, city, is_985, is_211, is_double_first_class, school_type, CAST(NULL AS STRING) AS ownership, 'seed' AS source FROM meta_fx")
 define("meta_stored", """
