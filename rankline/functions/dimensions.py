@@ -25,29 +25,33 @@ STRUCTURED = ("江苏", "浙江", "山东", "广东")
 SOURCE_AWARE = ("河南", "福建", "河北", "湖北", "湖南", "辽宁", "重庆")
 COVERAGE_TYPES = ("school", "rank", "control", "major")
 
-# Province, years, discovery, download, import, format, readable, level, mode, access.
-_AVAILABILITY = (
-    ("江苏", (2021, 2022, 2023, 2024), "discovered", "downloaded", "imported", "Excel", True, None, "score", "available"),
-    ("浙江", (2024,), "discovered", "downloaded", "imported", "Excel", True, None, "score", "available"),
-    ("山东", (2024,), "discovered", "downloaded", "imported", "Excel", True, None, "rank", "available"),
-    ("河南", (2024,), "discovered", "downloaded", "downloaded_not_imported", "RAR + image Word + verification page", False, None, "unsupported_pdf_or_image", "verification_required"),
-    ("广东", (2024,), "discovered", "downloaded", "imported_partial", "ZIP + machine-readable PDF", False, "partial", "score", "partial"),
-    ("福建", (2024,), "discovered", "not_started", "not_started", "Excel / PDF", True, None, "score", "waf_blocked"),
-    ("河北", (2024,), "discovered", "not_started", "not_started", "Excel / PDF", True, None, "score", "connection_reset"),
-    ("湖北", (2024,), "discovered", "downloaded_not_imported", "unsupported_pdf_or_image", "PNG images (hbccks.cn)", False, None, "unsupported_pdf_or_image", "available"),
-    ("湖南", (2024,), "plugin_ready", "pending", "pending", "unknown", False, "unknown", "unknown", "unknown"),
-    ("辽宁", (2024,), "plugin_ready", "pending", "pending", "unknown", False, "unknown", "unknown", "unknown"),
-    ("重庆", (2024,), "plugin_ready", "pending", "pending", "unknown", False, "unknown", "unknown", "unknown"),
+# Province, year, discovery, download, import, format, readable, level, mode, access, notes.
+AVAILABILITY = (
+    ("江苏", 2021, "discovered", "downloaded", "imported", "Excel", True, None, "score", "available", "school / rank / control 均已入库"),
+    ("江苏", 2022, "discovered", "downloaded", "imported", "Excel", True, None, "score", "available", "school / rank / control 均已入库"),
+    ("江苏", 2023, "discovered", "downloaded", "imported", "Excel", True, None, "score", "available", "school / rank / control 均已入库"),
+    ("江苏", 2024, "discovered", "downloaded", "imported", "Excel", True, None, "score", "available", "school / rank / control 均已入库"),
+    ("浙江", 2024, "discovered", "downloaded", "imported", "Excel", True, None, "score", "available", "普通类一、二段平行投档 Excel 已入库"),
+    ("山东", 2024, "discovered", "downloaded", "imported", "Excel", True, None, "rank", "available", "常规批投档表以 min_rank 为主，推荐按位次查询"),
+    ("河南", 2024, "discovered", "downloaded", "downloaded_not_imported", "RAR + image Word + verification page", False, None, "unsupported_pdf_or_image", "verification_required",
+     "公开 RAR 内为图片型 Word；官方数据中心需验证码，不绕过"),
+    ("广东", 2024, "discovered", "downloaded", "imported_partial", "ZIP + machine-readable PDF", False, "partial", "score", "partial", "普通类历史/物理已入库；艺体类已下载但暂不建模"),
+    ("福建", 2024, "discovered", "not_started", "not_started", "Excel / PDF", True, None, "score", "waf_blocked", "普通类本科/专科投档；艺体类 skipped_unsupported_category"),
+    ("河北", 2024, "discovered", "not_started", "not_started", "Excel / PDF", True, None, "score", "connection_reset", "普通类本科/专科专业粒度投档；艺体/对口 skipped_unsupported_category"),
+    ("湖北", 2024, "discovered", "downloaded_not_imported", "unsupported_pdf_or_image", "PNG images (hbccks.cn)", False, None, "unsupported_pdf_or_image", "available",
+     "2024 普通类本科/专科投档线已发现（hbccks 官方页面）；表格为 PNG 图片，无 OCR 不入库"),
+    ("湖南", 2024, "plugin_ready", "pending", "pending", "unknown", False, "unknown", "unknown", "unknown", "Phase 18 插件骨架；待补 seed 或列表页 URL 后验证"),
+    ("辽宁", 2024, "plugin_ready", "pending", "pending", "unknown", False, "unknown", "unknown", "unknown", "Phase 18 插件骨架；待补 seed 或列表页 URL 后验证"),
+    ("重庆", 2024, "plugin_ready", "pending", "pending", "unknown", False, "unknown", "unknown", "unknown", "Phase 18 插件骨架；待补 seed 或列表页 URL 后验证"),
 )
 AVAILABILITY_SCHEMA = (
     "province string, year int, school_discovery_status string, school_download_status string, school_import_status string, "
-    "source_format string, machine_readable boolean, machine_readable_level string, query_mode string, access_status string"
+    "source_format string, machine_readable boolean, machine_readable_level string, query_mode string, access_status string, notes string"
 )
 
 
 def availability(spark: SparkSession) -> DataFrame:
-    rows = [(p, y, *rest) for p, years, *rest in _AVAILABILITY for y in years]
-    return spark.createDataFrame(rows, AVAILABILITY_SCHEMA)
+    return spark.createDataFrame(AVAILABILITY, AVAILABILITY_SCHEMA)
 
 
 def default_access(province: Column) -> Column:
@@ -70,6 +74,7 @@ def display_rows(rows: DataFrame) -> DataFrame:
         "province", "year",
         F.coalesce(labelled(level, READABLE_LABELS, level), F.when(F.col("machine_readable"), "是").otherwise("否")).alias("readable"),
         label("school_import_status", IMPORT_LABELS).alias("import_label"), label("query_mode", MODE_LABELS).alias("mode_label"), "access_status",
+        "source_format", "notes",
     )
 
 

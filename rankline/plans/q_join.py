@@ -69,15 +69,16 @@ def corruption_summary(t):
 define("avail_fx", """
 SELECT province, year, CASE n % 4 WHEN 0 THEN 'imported' WHEN 1 THEN 'not_started' WHEN 2 THEN 'imported_partial' ELSE 'other' END AS school_import_status,
   n % 2 = 0 AS machine_readable, CASE n % 5 WHEN 0 THEN 'partial' WHEN 1 THEN 'unknown' WHEN 2 THEN '' ELSE NULL END AS machine_readable_level,
-  CASE n % 3 WHEN 0 THEN 'score' WHEN 1 THEN 'rank' ELSE 'unsupported_pdf_or_image' END AS query_mode, CASE n % 6 WHEN 0 THEN 'partial' WHEN 1 THEN 'available' WHEN 2 THEN '' ELSE NULL END AS access_status
+  CASE n % 3 WHEN 0 THEN 'score' WHEN 1 THEN 'rank' ELSE 'unsupported_pdf_or_image' END AS query_mode, CASE n % 6 WHEN 0 THEN 'partial' WHEN 1 THEN 'available' WHEN 2 THEN '' ELSE NULL END AS access_status,
+  CASE n % 2 WHEN 0 THEN 'Excel' ELSE 'PDF' END AS source_format, 'n' || CAST(n % 7 AS STRING) AS notes
 FROM (SELECT CASE province WHEN 'AFRICA' THEN '江苏' WHEN 'AMERICA' THEN '广东' WHEN 'ASIA' THEN '福建' WHEN 'EUROPE' THEN '河南' ELSE '湖南' END AS province, year, count(*) AS n
       FROM school_fx GROUP BY 1, 2) x""")
 _ACCESS = "coalesce(nullif(access_status, ''), CASE province WHEN '江苏' THEN 'available' WHEN '广东' THEN 'partial' WHEN '福建' THEN 'waf_blocked' WHEN '河南' THEN 'verification_required' ELSE 'unknown' END)"
 
 
-@query("G4_availability", f"SELECT province, year, school_import_status, query_mode, {_ACCESS} AS access_status FROM avail_fx")
+@query("G4_availability", f"SELECT province, year, school_import_status, query_mode, {_ACCESS} AS access_status, source_format, notes FROM avail_fx")
 def availability(t):
-    return dimensions.with_access(t.avail_fx).select("province", "year", "school_import_status", "query_mode", "access_status")
+    return dimensions.with_access(t.avail_fx).select("province", "year", "school_import_status", "query_mode", "access_status", "source_format", "notes")
 
 
 def _labels(column, labels):
@@ -86,11 +87,24 @@ def _labels(column, labels):
 
 @query("C37_display_labels", f"""
 SELECT province, year, coalesce({_labels("nullif(machine_readable_level, '')", dimensions.READABLE_LABELS)}, CASE WHEN machine_readable THEN '是' ELSE '否' END) AS readable,
- {_labels('school_import_status', dimensions.IMPORT_LABELS)} AS import_label, {_labels('query_mode', dimensions.MODE_LABELS)} AS mode_label, {_ACCESS} AS access_status FROM avail_fx""")
+ {_labels('school_import_status', dimensions.IMPORT_LABELS)} AS import_label, {_labels('query_mode', dimensions.MODE_LABELS)} AS mode_label, {_ACCESS} AS access_status, source_format, notes FROM avail_fx""")
 def display_labels(t):
     return dimensions.display_rows(t.avail_fx)
 
 
+# The stated rows of the provinces with the number of school rows that the tables hold for each, and of years without a statement.
+_STATED = ", ".join(f"({q.lit(r[0])}, {r[1]}, {q.lit(r[9])}, {q.lit(r[5])}, {q.lit(r[10])})" for r in dimensions.AVAILABILITY)
+
+
+@query("G4_stated_availability", f"""
+WITH a(province, year, access_status, source_format, notes) AS (VALUES {_STATED}), n AS (SELECT province, count(*) AS years FROM avail_fx GROUP BY 1)
+SELECT a.province, CAST(a.year AS INT) AS year, access_status, source_format, notes, coalesce(years, 0) AS years_in_tables FROM a LEFT JOIN n USING (province)""")
+def stated_availability(t):
+    held = t.avail_fx.groupBy("province").agg(F.count("*").alias("years_in_tables"))
+    rows = dimensions.display_rows(dimensions.availability(t.spark)).join(held, "province", "left").fillna(0, ["years_in_tables"])
+    return rows.select("province", "year", "access_status", "source_format", "notes", "years_in_tables")
+
+
 @query("I12_overview_distribution", f"""
 SELECT 'access_status' AS field, {_ACCESS} AS value, count(*) AS n FROM avail_fx WHERE year = 1997 GROUP BY 2
 UNION ALL SELECT 'query_mode', query_mode, count(*) FROM avail_fx WHERE year = 1997 GROUP BY 2""")
