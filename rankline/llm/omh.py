@@ -27,7 +27,7 @@ BANDS = 48
 SKETCHES = 4  # per band
 MINIMA = 2  # per sketch
 WHOLE = 32  # buckets of at most so many texts are compared fully
-SPARE_PAIRS = 4  # and all that are left, once that makes at most so many pairs per text
+SPARE_PAIRS = 16  # and all that are left, once that makes at most so many pairs per text
 SALTS = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -66,8 +66,8 @@ class Symbols:
         return mix(h + occurrence * _ODD)
 
 
-def sketch_bands(symbols: np.ndarray, bands: int = BANDS, sketches: int = SKETCHES, seed: int = 1) -> np.ndarray:
-    """One hash per band: of the ordered minima of its sketches. Texts of one symbol repeat it."""
+def sketch_bands(symbols: np.ndarray, bands: int = BANDS, sketches: int = SKETCHES, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """One hash per band, of the ordered minima of its sketches, and one bit per sketch. Texts of one symbol repeat it."""
     count = bands * sketches
     factors = mix(np.arange(1, count + 1, dtype=np.uint64) * _ODD + np.uint64(seed)) | np.uint64(1)
     out = np.empty(count, dtype=np.uint64)
@@ -84,7 +84,18 @@ def sketch_bands(symbols: np.ndarray, bands: int = BANDS, sketches: int = SKETCH
     keys = np.arange(1, bands + 1, dtype=np.uint64)
     for i in range(sketches):
         keys = mix(keys * _ODD + out[i::sketches])
-    return keys
+    bits = np.zeros(-(-count // 64) * 64, dtype=np.uint8)
+    bits[:count] = (out >> np.uint64(17)) & np.uint64(1)
+    return keys, np.packbits(bits, bitorder="little").view("<u8")
+
+
+def most_different_bits(threshold: float, count: int) -> int:
+    """Bits in which two texts of the threshold's similarity differ at most, but for a chance of about 1 in 100,000.
+
+    Two sketches agree with a chance of about t squared (0.95 of it in very short texts), and bits of unequal ones half the time.
+    """
+    q = (1 - 0.95 * threshold**2) / 2
+    return int(np.ceil(count * q + 4.5 * np.sqrt(count * q * (1 - q))))
 
 
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
@@ -116,22 +127,25 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
 
 
 def sketched(df: DataFrame, id_column: str, text_column: str, shingle: int, bands: int) -> DataFrame:
-    """doc_id, digest of the words (d1, d2; null without words) and bands of every document."""
+    """doc_id, digest of the words (d1, d2; null without words), bands and sketch bits of every document."""
 
     def run(batches):
         symbols = Symbols(shingle)
         for batch in batches:
-            digests, keys = [], []
+            digests, keys, bits = [], [], []
             for text in batch["text"].to_pylist():
                 s = symbols(text)
                 value = xxhash.xxh3_128_intdigest(s.tobytes()) if len(s) else None
                 digests.append((None, None) if value is None else tuple(int.from_bytes((value >> 64 * k & 2**64 - 1).to_bytes(8, "little"), "little", signed=True) for k in (0, 1)))
-                keys.append(None if value is None else sketch_bands(s, bands).view(np.int64))
-            columns = [batch["doc_id"], pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "d1", "d2", "bands"])
+                found = (None, None) if value is None else [x.view(np.int64) for x in sketch_bands(s, bands)]
+                keys.append(found[0])
+                bits.append(found[1])
+            longs = pa.list_(pa.int64())
+            columns = [batch["doc_id"], pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), pa.array(keys, longs), pa.array(bits, longs)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "d1", "d2", "bands", "bits"])
 
     rows = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, d1 long, d2 long, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, d1 long, d2 long, bands array<long>, bits array<long>")
 
 
 def symbol_table(df: DataFrame, nodes: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
@@ -167,28 +181,46 @@ def _pair(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, whole: int) -> DataFrame:
-    """Verified links between texts that share a bucket (columns key, node).
+def _alike(x, y, most: int):
+    """Few enough of the sketch bits differ; part of the join, so unlike pairs are never rows."""
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, n: s + n) <= most
+
+
+def represented(entries: DataFrame, links: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Entries (key, node) of texts that link to a text of higher rank in the same bucket; of a text's links the one of highest rank counts.
+
+    Rank is the number of bucket mates, then the smaller id, so the highest text of a bucket always stays.
+    """
+    place = F.struct(F.col("shared"), (-F.col("node")).alias("late"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    own = ranks.select(F.col("node").alias("a"), place.alias("own"))
+    other = ranks.select(F.col("node").alias("b"), place.alias("other"))
+    best = both.join(own, "a").join(other, "b").where("other > own").groupBy(F.col("a").alias("node")).agg(F.max("other").alias("best"))
+    mates = entries.select("key", "node").join(best.select("node", (-F.col("best.late")).alias("mate")), "node")
+    return mates.join(entries.select("key", F.col("node").alias("mate")), ["key", "mate"], "left_semi").select("key", "node")
+
+
+def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, whole: int, most: int) -> DataFrame:
+    """Verified links between texts that share a bucket (columns key, node, bits). Texts whose bits differ in more than ``most`` places are not aligned.
 
-    A bucket of at most ``whole`` texts is compared fully. A larger one is compared with a few heads, the texts that share most buckets
-    with others; texts that link to no head go on to the next round among themselves, which takes twice as many heads, until what is left makes
-    at most ``SPARE_PAIRS`` pairs per text and is compared fully. The rows of a round grow with the sizes of its buckets, not with their squares.
+    Buckets of at most ``whole`` texts are compared fully. From a larger one, texts leave that link to a text of higher rank in it; what stays
+    is compared with a few heads, the texts of highest rank, and texts that link to one leave. The next round takes four times as many heads, until what is
+    left makes at most ``SPARE_PAIRS`` pairs per text and is compared fully. The rows of a round grow with the sizes of its buckets, not with their squares.
     """
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
-    shared = buckets.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("shared"))
-    active = stored(buckets.join(sizes, "key").join(shared, "node"))
-    links, tested, heads, spare = None, None, 2, SPARE_PAIRS * symbols.count()
+    ranks = stored(buckets.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("shared")))
+    active = stored(buckets.join(sizes, "key").join(ranks, "node"))
+    links, tested, heads, spare = None, None, 0, SPARE_PAIRS * symbols.count()
     while True:
         total = active.groupBy("key").agg(F.first("n").alias("n")).agg(F.coalesce(F.sum(F.when(F.col("n") > whole, F.col("n") * (F.col("n") - 1) / 2)), F.lit(0))).first()[0]
         last = total <= spare
         fits = F.lit(True) if last else F.col("n") <= whole
-        small = active.where(fits).select("key", "node")
-        wanted = small.alias("x").join(small.alias("y"), "key").where("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        if not last:
+        small, large = active.where(fits).select("key", "node", "bits"), active.where(~fits)
+        wanted = small.alias("x").join(small.alias("y"), "key").where("x.node < y.node").where(_alike(F.col("x.bits"), F.col("y.bits"), most)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        if heads and not last:
             place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("shared"), "node"))
-            large = active.where(~fits)
-            top = large.withColumn("place", place).where(F.col("place") <= heads).select("key", F.col("node").alias("head"))
-            rest = large.join(top, "key").where("node <> head").select("key", "node", "shared", "head", *_pair(F.col("node"), F.col("head")))
+            top = large.withColumn("place", place).where(F.col("place") <= heads).select("key", F.col("node").alias("head"), F.col("bits").alias("head_bits"))
+            rest = large.join(top, "key").where("node <> head").where(_alike(F.col("bits"), F.col("head_bits"), most)).select("key", "node", *_pair(F.col("node"), F.col("head")))
             wanted = wanted.unionByName(rest.select("a", "b"))
         wanted = wanted.distinct()
         wanted = stored(wanted if tested is None else wanted.join(tested, ["a", "b"], "left_anti"))
@@ -198,11 +230,12 @@ def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, wh
         links = found if links is None else links.unionByName(found)
         if last:
             return links
-        # Out go the heads, which have met all others, and the texts that linked to one.
-        gone = rest.join(links, ["a", "b"], "left_semi").select("key", "node").unionByName(top.withColumnRenamed("head", "node")).distinct()
-        left = large.join(gone, ["key", "node"], "left_anti").select("key", "node", "shared")
+        gone = represented(large, links, ranks)
+        if heads:  # the heads have met all others
+            gone = gone.unionByName(rest.join(links, ["a", "b"], "left_semi").select("key", "node")).unionByName(top.select("key", F.col("head").alias("node")))
+        left = stored(large.join(gone.distinct(), ["key", "node"], "left_anti").select("key", "node", "bits", "shared"))
         sizes = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        active, heads = stored(left.join(sizes, "key")), heads * 2
+        active, heads = stored(left.join(sizes, "key")), max(4, heads * 4)
 
 
 def near_duplicates(
@@ -217,13 +250,13 @@ def near_duplicates(
     class. Very long texts are aligned whole. Other columns are left out, so names cannot clash. An empty table gives an empty result.
     """
     docs = stored(sketched(df, id_column, text_column, shingle, bands))
-    texts = docs.where("d1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+    texts = docs.where("d1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     texts = stored(texts)
-    buckets = texts.select("node", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = stored(buckets.join(shared.select("key"), "key", "left_semi"))
+    buckets = texts.select("node", "bits", F.explode("bands").alias("key"))
+    several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = stored(buckets.join(several.select("key"), "key", "left_semi"))
     symbols = stored(symbol_table(df, buckets.select("node").distinct(), id_column, text_column, shingle))
-    links = candidate_links(buckets, symbols, threshold, whole)
+    links = candidate_links(buckets, symbols, threshold, whole, most_different_bits(threshold, bands * SKETCHES))
 
     classes = texts.select("d1", "d2", "node", "copies").join(components(links), "node", "left").withColumn("class_id", F.coalesce("component", "node"))
     # Only texts with copies or links need a row here; salts spread the copies of one text.
