@@ -15,7 +15,7 @@ HEADLINE = (
     "H4_score_to_rank", "H5_rank_to_score", "H6_score_between_years", "H7_schools_by_equivalent_score", "G1_search_schools_by_score_range",
     "G12_top_distinct_by_score", "H3_tier_reachable", "I2_home_totals", "I9_null_rates", "I13_score_histogram",
     "J4_monotonic_violations", "E1_school_row_errors", "F2_append_schools", "B1_header_rows", "M2_duplicate_rate",
-    "H1_search_enriched", "G2_schools_by_rank", "D3_school_rows", "B8_parse_school_sheets", "A4_page_links", "K1_clustered_rows",
+    "H1_search_enriched", "G2_schools_by_rank", "D3_normalize_school", "B8_parse_school_sheets", "A4_page_links", "K1_clustered_rows",
 )
 
 SLOW = 20.0  # seconds
