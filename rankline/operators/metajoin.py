@@ -47,9 +47,20 @@ def search_enriched(
     facts = {"is_985": is_985, "is_211": is_211, "is_double_first_class": is_double_first_class}
     facts.update({"city": (city or "").strip(), "school_type": (school_type or "").strip()})
     given = {k: v for k, v in facts.items() if v is not None and v != ""}
-    hits = filtered(enriched(filtered(schools, **filters), metadata, "inner" if given else "left"), **given)
-    page = hits.orderBy(*school_order(by_rank_order(**bounds), (*TIES, "standard_name"))).limit(limited(limit, default, maximum))
-    return page.withColumn("total", hits.agg(F.count("*")).scalar())
+    found = filtered(schools, **filters)
+    order = school_order(by_rank_order(**bounds), (*TIES, "standard_name"))
+    n = limited(limit, default, maximum)
+    if given:
+        hits = filtered(enriched(found, metadata, "inner"), **given)
+        return hits.orderBy(*order).limit(n).withColumn("total", hits.agg(F.count("*")).scalar())
+    # Every school gives a row or more, so the first rows come from the first schools, and only those are joined. The
+    # total counts rows per name times matches per name.
+    first = found.orderBy(*school_order(by_rank_order(**bounds), TIES)).limit(n)
+    matches = name_pairs(found, metadata).join(metadata.groupBy("standard_name").agg(F.count("*").alias("m")), "standard_name")
+    fan = matches.groupBy("school_name").agg(F.sum("m").alias("fan"))
+    names = found.groupBy("school_name").agg(F.count("*").alias("n")).join(fan, "school_name", "left")
+    total = names.agg(F.coalesce(F.sum(F.col("n") * F.coalesce("fan", F.lit(1))), F.lit(0))).scalar()
+    return enriched(first, metadata, "left").orderBy(*order).limit(n).withColumn("total", total)
 
 
 def tier_reachable(schools: DataFrame, metadata: DataFrame, *, max_score: float, tier: str, limit: int = 100, **equal) -> DataFrame:

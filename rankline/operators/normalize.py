@@ -64,7 +64,8 @@ def normalize_school(
         "admission_category": given(admission_category, "admission_category"), "batch": given(batch, "batch"),
         "_major": F.nullif(F.concat_ws("-", mc, mn), F.lit("")), "school_name": school_name_or_null(F.col("school_name")),
     })
-    work = with_split_school(work, "school_code", "school_name", "_code", "_name")
+    # Each step is settled, so that the rules of one are not written out again in the next.
+    work = settled(with_split_school(work, "school_code", "school_name", "_code", "_name"))
     work = work.withColumns({
         "admission_category": rules.category_name(F.col("admission_category")), "batch": rules.school_batch_name(F.col("batch")),
         "major_group": F.coalesce(text_or_null(F.col("major_group")), F.col("_major")),
@@ -72,7 +73,7 @@ def normalize_school(
         "plan_count": to_int(F.col("plan_count")), "tie_breaker_text": text_or_null(F.col("tie_breaker_text")),
     })
     # A row with a name and no code: the name becomes the code and the name is empty.
-    work = work.withColumns({
+    work = settled(work).withColumns({
         "admission_category": F.coalesce(F.nullif("admission_category", F.lit("")), F.lit(rules.DEFAULT_CATEGORY)),
         "batch": F.coalesce(F.nullif("batch", F.lit("")), F.lit(rules.DEFAULT_BATCH)),
         "school_code": F.coalesce("_code", "_name"), "school_name": F.when(F.col("_code").isNotNull(), F.col("_name")),
