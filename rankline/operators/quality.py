@@ -87,7 +87,3 @@ def year_step_status(ranks: DataFrame) -> DataFrame:
 
 def null_rate_report(schools: DataFrame) -> DataFrame:
     return stats.null_rates(schools)
-
-
-def blank(c):
-    return text_or_empty(c) == ""

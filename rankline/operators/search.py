@@ -148,10 +148,6 @@ def distinct_values(df: DataFrame, column: str, allowed=DISTINCT_COLUMNS) -> Dat
     return df.where(text_or_empty(F.col(column)) != "").select(F.col(column).alias("v")).distinct().orderBy("v")
 
 
-def page_of(df: DataFrame, columns, order) -> DataFrame:
-    return df.select(*columns).orderBy(*order)
-
-
 def first_per(df: DataFrame, keys, order) -> DataFrame:
     """First row of each key; the group limit keeps one row per key in every map task before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -8,6 +8,7 @@ from ..session import shared_folder
 from ..sources import files
 from . import sqlbits as q
 from .inputs import define
+from .q_cells import _FITS, _HEADS, _alias_values
 from .q_text import _META
 from .registry import query
 
@@ -272,15 +273,17 @@ def json_report(t):
     return t.spark.read.schema("province string, n bigint, report_year int").json(path)
 
 
-@query("A17_rejects", """
-SELECT file_id, 'school' AS record_type, 'no valid rows' AS error, CAST(1 AS INT) AS header_row, count(*) FILTER (row_idx < 30) AS preview_cells FROM school_cells WHERE file_id % 9 = 4 GROUP BY file_id""")
+@query("A17_rejects", f"""WITH {_HEADS}, {_alias_values('school')}, {_FITS},
+names AS (SELECT file_id, string_agg(DISTINCT header, '|' ORDER BY header) AS parsed_columns, string_agg(DISTINCT canonical, '|' ORDER BY canonical) AS normalized_columns FROM used GROUP BY 1)
+SELECT file_id, 'school' AS record_type, 'no valid rows' AS error, CAST(1 AS INT) AS header_row, parsed_columns, normalized_columns, count(*) FILTER (row_idx < 30) AS preview_cells
+FROM school_cells JOIN names USING (file_id) WHERE file_id % 9 = 4 GROUP BY file_id, parsed_columns, normalized_columns""")
 def rejects(t):
     sheets = t.school_cells
     failed = sheets.where("row_idx = 0 AND file_id % 9 = 4").select("file_id", F.lit("school").alias("record_type"), F.lit("no valid rows").alias("error"))
     headers, _ = cells.split_header(sheets, ["file_id"])
     columns = cells.used_columns(cells.resolve_columns(headers, ["file_id"], cells.aliases_for("school")), ["file_id"])
     preview = files.reject_preview(failed, sheets, cells.header_rows(sheets, ["file_id"]), columns)
-    return preview.groupBy("file_id", "record_type", "error", "header_row").agg(F.count("*").alias("preview_cells"))
+    return preview.groupBy("file_id", "record_type", "error", "header_row", "parsed_columns", "normalized_columns").agg(F.count("*").alias("preview_cells"))
 
 
 @query("A18_typed_records", """
