@@ -161,7 +161,7 @@ def symbol_table(df: DataFrame, nodes: DataFrame, id_column: str, text_column: s
 
 
 def verified(pairs: DataFrame, symbols: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose alignment reaches the threshold."""
+    """The pairs (a, b, with ranks ra, rb) whose alignment reaches the threshold."""
 
     def run(batches):
         for batch in batches:
@@ -170,15 +170,17 @@ def verified(pairs: DataFrame, symbols: DataFrame, threshold: float) -> DataFram
                 for k in range(batch.num_rows)
             ]
             mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch[c].filter(mask) for c in ("a", "b", "ra", "rb")], names=["a", "b", "ra", "rb"])
 
     rows = pairs.join(symbols.select(F.col("node").alias("a"), F.col("symbols").alias("sa")), "a")
     rows = rows.join(symbols.select(F.col("node").alias("b"), F.col("symbols").alias("sb")), "b")
-    return rows.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return rows.select("a", "b", "ra", "rb", "sa", "sb").mapInArrow(run, "a long, b long, ra long, rb long")
 
 
-def _pair(x, y) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _pair(x: str, y: str, rank_x: str, rank_y: str) -> list:
+    """Two texts as a (the smaller id) and b, with their ranks ra and rb."""
+    first = F.col(x) < F.col(y)
+    return [F.when(first, F.col(p)).otherwise(F.col(q)).alias(n) for p, q, n in ((x, y, "a"), (y, x, "b"), (rank_x, rank_y, "ra"), (rank_y, rank_x, "rb"))]
 
 
 def _alike(x, y, most: int):
@@ -186,16 +188,14 @@ def _alike(x, y, most: int):
     return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, n: s + n) <= most
 
 
-def represented(entries: DataFrame, links: DataFrame, ranks: DataFrame) -> DataFrame:
+def represented(entries: DataFrame, links: DataFrame) -> DataFrame:
     """Entries (key, node) of texts that link to a text of higher rank in the same bucket; of a text's links the one of highest rank counts.
 
     Rank is the number of bucket mates, then the smaller id, so the highest text of a bucket always stays.
     """
-    place = F.struct(F.col("shared"), (-F.col("node")).alias("late"))
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    own = ranks.select(F.col("node").alias("a"), place.alias("own"))
-    other = ranks.select(F.col("node").alias("b"), place.alias("other"))
-    best = both.join(own, "a").join(other, "b").where("other > own").groupBy(F.col("a").alias("node")).agg(F.max("other").alias("best"))
+    ends = [F.struct(F.col(r).alias("rank"), (-F.col(c)).alias("late")) for c, r in (("a", "ra"), ("b", "rb"))]
+    low = F.when(ends[0] < ends[1], F.col("a")).otherwise(F.col("b"))
+    best = links.select(low.alias("node"), F.greatest(*ends).alias("high")).groupBy("node").agg(F.max("high").alias("best"))
     mates = entries.select("key", "node").join(best.select("node", (-F.col("best.late")).alias("mate")), "node")
     return mates.join(entries.select("key", F.col("node").alias("mate")), ["key", "mate"], "left_semi").select("key", "node")
 
@@ -208,20 +208,21 @@ def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, wh
     left makes at most ``SPARE_PAIRS`` pairs per text and is compared fully. The rows of a round grow with the sizes of its buckets, not with their squares.
     """
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
-    ranks = stored(buckets.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("shared")))
+    ranks = buckets.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("shared"))
     active = stored(buckets.join(sizes, "key").join(ranks, "node"))
     links, tested, heads, spare = None, None, 0, SPARE_PAIRS * symbols.count()
     while True:
         total = active.groupBy("key").agg(F.first("n").alias("n")).agg(F.coalesce(F.sum(F.when(F.col("n") > whole, F.col("n") * (F.col("n") - 1) / 2)), F.lit(0))).first()[0]
         last = total <= spare
         fits = F.lit(True) if last else F.col("n") <= whole
-        small, large = active.where(fits).select("key", "node", "bits"), active.where(~fits)
-        wanted = small.alias("x").join(small.alias("y"), "key").where("x.node < y.node").where(_alike(F.col("x.bits"), F.col("y.bits"), most)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        small, large = active.where(fits).select("key", "node", "bits", "shared"), active.where(~fits)
+        wanted = small.alias("x").join(small.alias("y"), "key").where("x.node < y.node").where(_alike(F.col("x.bits"), F.col("y.bits"), most))
+        wanted = wanted.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.shared").alias("ra"), F.col("y.shared").alias("rb"))
         if heads and not last:
             place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("shared"), "node"))
-            top = large.withColumn("place", place).where(F.col("place") <= heads).select("key", F.col("node").alias("head"), F.col("bits").alias("head_bits"))
-            rest = large.join(top, "key").where("node <> head").where(_alike(F.col("bits"), F.col("head_bits"), most)).select("key", "node", *_pair(F.col("node"), F.col("head")))
-            wanted = wanted.unionByName(rest.select("a", "b"))
+            top = large.withColumn("place", place).where(F.col("place") <= heads).select("key", F.col("node").alias("head"), F.col("bits").alias("head_bits"), F.col("shared").alias("head_shared"))
+            rest = large.join(top, "key").where("node <> head").where(_alike(F.col("bits"), F.col("head_bits"), most)).select("key", "node", *_pair("node", "head", "shared", "head_shared"))
+            wanted = wanted.unionByName(rest.select("a", "b", "ra", "rb"))
         wanted = wanted.distinct()
         wanted = stored(wanted if tested is None else wanted.join(tested, ["a", "b"], "left_anti"))
         tested = wanted if tested is None else tested.unionByName(wanted)
@@ -230,7 +231,7 @@ def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, wh
         links = found if links is None else links.unionByName(found)
         if last:
             return links
-        gone = represented(large, links, ranks)
+        gone = represented(large, found)
         if heads:  # the heads have met all others
             gone = gone.unionByName(rest.join(links, ["a", "b"], "left_semi").select("key", "node")).unionByName(top.select("key", F.col("head").alias("node")))
         left = stored(large.join(gone.distinct(), ["key", "node"], "left_anti").select("key", "node", "bits", "shared"))
