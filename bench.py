@@ -18,7 +18,7 @@ HEADLINE = (
     "H1_search_enriched", "G2_schools_by_rank", "D3_normalize_school", "B8_parse_school_sheets", "A4_page_links", "K1_clustered_rows",
 )
 
-SLOW = 20.0  # seconds
+SLOW = 8.0  # seconds
 
 
 def main() -> None:
