@@ -28,6 +28,7 @@ SKETCHES = 4  # per band
 MINIMA = 2  # per sketch
 WHOLE = 32  # buckets of at most so many texts are compared fully
 SPARE_PAIRS = 16  # and all that are left, once that makes at most so many pairs per text
+BLOCK = 128  # texts, or so, of a bucket that are compared at once with as many of other components
 SALTS = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -200,16 +201,61 @@ def represented(entries: DataFrame, links: DataFrame) -> DataFrame:
     return mates.join(entries.select("key", F.col("node").alias("mate")), ["key", "mate"], "left_semi").select("key", "node")
 
 
+def across(large: DataFrame, classes: DataFrame, symbols: DataFrame, threshold: float, most: int) -> DataFrame:
+    """Links (a, b) that join the components (classes: node, component) of texts that share a bucket (large: key, node, bits), as far as any join them.
+
+    In a bucket of several components each text outside the largest one meets all others, block by block. A pair is aligned in the first of
+    its buckets, if its bits are alike and no link of the same two blocks joins its components already. Rows are texts, not pairs.
+    """
+    now = large.select("key", "node", "bits").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = now.groupBy("key", "component").agg(F.count("*").alias("m"))
+    mixed = parts.groupBy("key").agg(F.sum("m").alias("n"), F.max(F.struct("m", "component")).alias("main")).where("main.m < n")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    now = stored(now.join(mixed.select("key", F.col("main.component").alias("main"), blocks(F.col("n")).alias("all"), blocks(F.col("n") - F.col("main.m")).alias("outer")), "key"))
+    texts = now.groupBy("node").agg(F.collect_set("key").alias("keys")).join(symbols, "node")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n).cast("long")).cast("int")
+    out = now.where("component <> main").select("key", "node", "bits", "component", F.lit(True).alias("outside"), place("outer").alias("i"), each("all").alias("j"))
+    rest = now.select("key", "node", "bits", "component", F.lit(False).alias("outside"), each("outer").alias("i"), place("all").alias("j"))
+
+    def run(group: pa.Table) -> pa.Table:
+        key = group["key"][0].as_py()
+        nodes, own, outside = group["node"].to_pylist(), group["component"].to_pylist(), group["outside"].to_pylist()
+        keys = [set(k) for k in group["keys"].to_pylist()]
+        bits = np.array(group["bits"].to_pylist(), dtype=np.int64).view(np.uint64)
+        texts = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in group["symbols"]]
+        ys = np.flatnonzero(~np.array(outside))
+        parent: dict[int, int] = {}
+        found = []
+
+        def root(c):
+            while (d := parent.get(c, c)) != c:
+                c = d
+            return c
+
+        for x in np.flatnonzero(outside).tolist():
+            for y in ys[np.bitwise_count(bits[ys] ^ bits[x]).sum(1) <= most].tolist():
+                p, q = root(own[x]), root(own[y])
+                if p != q and min(keys[x] & keys[y]) == key and aligned(texts[x], texts[y], threshold) > 0:
+                    parent[max(p, q)] = min(p, q)
+                    found.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
+        return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("ab")})
+
+    return stored(out.unionByName(rest).join(texts, "node").groupBy("key", "i", "j").applyInArrow(run, "a long, b long"))
+
+
 def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, whole: int, most: int) -> DataFrame:
-    """Verified links between texts that share a bucket (columns key, node, bits). Texts whose bits differ in more than ``most`` places are not aligned.
+    """Edges (a, b) with the connected components of all links between texts that share a bucket (columns key, node, bits). Texts whose bits differ in more than ``most`` places are not aligned.
 
     Buckets of at most ``whole`` texts are compared fully. From a larger one, texts leave that link to a text of higher rank in it; what stays
     is compared with a few heads, the texts of highest rank, and texts that link to one leave. The next round takes four times as many heads, until what is
     left makes at most ``SPARE_PAIRS`` pairs per text and is compared fully. The rows of a round grow with the sizes of its buckets, not with their squares.
+    At last all texts of large buckets, those that left too, are compared across the components that have come out, so each pair of a bucket is
+    compared or known to be of one component.
     """
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
     ranks = buckets.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("shared"))
-    active = stored(buckets.join(sizes, "key").join(ranks, "node"))
+    whole_buckets = active = stored(buckets.join(sizes, "key").join(ranks, "node"))
     links, tested, heads, spare = None, None, 0, SPARE_PAIRS * symbols.count()
     while True:
         total = active.groupBy("key").agg(F.first("n").alias("n")).agg(F.coalesce(F.sum(F.when(F.col("n") > whole, F.col("n") * (F.col("n") - 1) / 2)), F.lit(0))).first()[0]
@@ -230,13 +276,18 @@ def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, wh
         found = stored(verified(wanted, symbols.join(needed, "node", "left_semi"), threshold))
         links = found if links is None else links.unionByName(found)
         if last:
-            return links
+            break
         gone = represented(large, found)
         if heads:  # the heads have met all others
             gone = gone.unionByName(rest.join(links, ["a", "b"], "left_semi").select("key", "node")).unionByName(top.select("key", F.col("head").alias("node")))
         left = stored(large.join(gone.distinct(), ["key", "node"], "left_anti").select("key", "node", "bits", "shared"))
         sizes = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
         active, heads = stored(left.join(sizes, "key")), max(4, heads * 4)
+    if active is whole_buckets:  # all pairs have been compared
+        return links.select("a", "b")
+    classes = stored(components(links))
+    stars = classes.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
+    return stars.unionByName(across(whole_buckets.where(F.col("n") > whole), classes, symbols, threshold, most))
 
 
 def near_duplicates(

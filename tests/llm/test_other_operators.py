@@ -62,6 +62,33 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert np.mean([got[i] == want[i] for i in got]) > 0.98
 
 
+def drifting(seed, n, chains=3, reach=4):
+    """Rows of chains of copies of copies: only texts of a few steps between them are near-duplicates."""
+    rng = np.random.default_rng(seed)
+    texts = [words(200 + seed + k, 120) for k in range(chains)]
+    while len(texts) < n:
+        texts.append(edited(texts[max(len(texts) % chains, len(texts) - chains * int(rng.integers(1, reach)))], rng, 2))
+    return [(int(i), t, "a") for i, t in zip(rng.permutation(n), texts)]
+
+
+def test_chains_in_one_large_bucket_agree_with_brute_force(spark):
+    rows = drifting(3, 300)
+    table = docs(spark, rows)
+    buckets = omh.sketched(table, "doc_id", "text", omh.SHINGLE, omh.BANDS).selectExpr("1L AS key", "doc_id AS node", "bits")
+    symbols = omh.symbol_table(table, buckets.select("node"), "doc_id", "text", omh.SHINGLE)
+    links = omh.candidate_links(buckets, symbols, omh.THRESHOLD, omh.WHOLE, omh.most_different_bits(omh.THRESHOLD, omh.BANDS * omh.SKETCHES))
+    got = {i: i for i, _, _ in rows} | {r.node: r.component for r in components.components(links).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_drifting_copies_agree_with_brute_force(spark):
+    rng = np.random.default_rng(2)
+    text = words(5, 150)
+    rows = drifting(7, 300) + [(300 + i, edited(text, rng, i % 3) if i else text, "a") for i in range(150)]
+    got = {r.doc_id: r.class_id for r in omh.near_duplicates(docs(spark, rows), whole=8).collect()}
+    assert got == brute_classes(rows)
+
+
 def test_text_classes_of_awkward_rows(spark):
     got = [(r.doc_id, r.class_id, r.kept) for r in omh.near_duplicates(docs(spark, AWKWARD)).collect()]
     key = lambda r: (r[0] is None, r[0] or 0)
