@@ -214,14 +214,14 @@ def image_audit(t):
     return _audit(t).join(samples, "image_id", "left").select("image_id", "parsed_rows", "valid_rows", "invalid_rows", "samples")
 
 
-# Batches by remainder: even ones pass, odd ones hold the faulty images.
+# Batches by last digit: those of the too short (4), the out of range (6) and of the odd images fail, the others pass. Every audited image is judged.
 def _gated(t):
-    audits = _audit(t).withColumn("corrupted", F.col("image_id") % 13 == 5).withColumn("year", (F.col("image_id") % 4 + 2021).cast("int"))
-    return items.batch_gate(audits.where("image_id % 10 NOT IN (4, 6)"), "year")
+    audits = _audit(t).withColumn("corrupted", F.col("image_id") % 13 == 5).withColumn("year", (F.col("image_id") % 10 + 2015).cast("int"))
+    return items.batch_gate(audits, "year")
 
 
-_GATE = f"""{_audit_sql()}, g AS (SELECT CAST(image_id % 4 + 2021 AS INT) AS year, count(*) AS audited, count(*) FILTER (image_id % 13 <> 5) AS eligible, count(*) FILTER (image_id % 13 <> 5 AND flags = '') AS clean
-  FROM fl WHERE image_id % 10 NOT IN (4, 6) GROUP BY 1)"""
+_GATE = f"""{_audit_sql()}, g AS (SELECT CAST(image_id % 10 + 2015 AS INT) AS year, count(*) AS audited, count(*) FILTER (image_id % 13 <> 5) AS eligible, count(*) FILTER (image_id % 13 <> 5 AND flags = '') AS clean
+  FROM fl GROUP BY 1)"""
 
 
 @query("K14_batch_gate", f"WITH {_GATE} SELECT year, audited, eligible, clean, round(CAST(clean AS DOUBLE) / eligible, 4) AS clean_ratio, clean >= 0.8 * eligible AS passed FROM g")
@@ -229,9 +229,9 @@ def batch_gate(t):
     return _gated(t)
 
 
-@query("K15_allowed_loads", f"WITH {_GATE} SELECT y.year, coalesce(clean >= 0.8 * eligible, false) AS allowed FROM (SELECT CAST(x AS INT) AS year FROM range(2021, 2026) r(x)) y LEFT JOIN g USING (year)")
+@query("K15_allowed_loads", f"WITH {_GATE} SELECT y.year, coalesce(clean >= 0.8 * eligible, false) AS allowed FROM (SELECT CAST(x AS INT) AS year FROM range(2015, 2027) r(x)) y LEFT JOIN g USING (year)")
 def allowed_loads(t):
-    years = t.item_rows.select((F.col("image_id") % 5 + 2021).cast("int").alias("year")).distinct()
+    years = t.item_rows.select((F.col("image_id") % 12 + 2015).cast("int").alias("year")).distinct()
     return items.allowed_loads(years, _gated(t), "year")
 
 
