@@ -18,7 +18,9 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="run-")
         context.setCheckpointDir(base)
-    base = base if "://" in base or base.startswith("file:") else f"file://{base}"
+    path = context._jvm.org.apache.hadoop.fs.Path(base)  # a folder without scheme belongs to the default file system of the cluster
+    base = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    base = base.replace("file:/", "file:///", 1) if base.startswith("file:/") and not base.startswith("file://") else base
     return f"{base.rstrip('/')}/{context.applicationId}-llm/{uuid.uuid4().hex}"
 
 
@@ -26,7 +28,17 @@ def stored(df: DataFrame) -> DataFrame:
     """The rows as a written table in the shared folder: lineage ends there, and its size is known to later joins."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of stored tables; only for tables whose last reader has been written."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
