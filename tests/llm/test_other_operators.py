@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_entry_holds_all_queries():
     names = __spark_entry__.queries()
-    assert [n for i in range(1, 11) for n in names if n.startswith(f"op{i}_")] == list(catalog.QUERIES) and "pipeline" in names
+    assert [n for i in range(1, 14) for n in names if n.startswith(f"op{i}_")] == list(catalog.QUERIES) and "pipeline" in names
     assert set(catalog.ORACLE_SQL) < set(catalog.QUERIES)
 
 
