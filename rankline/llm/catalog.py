@@ -22,7 +22,5 @@ ORACLE_SQL = {
     "op3_line_dedup": linededup.OP3_SQL,
     "op4_embedding_links": epsgrid.OP4_SQL,
     "op5_chat_format": chat.OP5_SQL,
-    "op11_secret_scan": secrets.op11,
-    "op12_whitening": whiten.op12,
     "op13_hard_negatives": negatives.OP13_SQL,
 }
