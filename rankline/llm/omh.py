@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import discard, row_key, stored, table
 from .components import components
 from .pieces import mix
 
@@ -158,7 +158,8 @@ def symbol_table(df: DataFrame, nodes: DataFrame, id_column: str, text_column: s
             yield pa.RecordBatch.from_arrays([batch["node"], pa.array([symbols(t).tobytes() for t in batch["text"].to_pylist()], pa.binary())], names=["node", "symbols"])
 
     rows = df.select(F.col(id_column).cast("long").alias("node"), F.col(text_column).cast("string").alias("text"))
-    return rows.join(nodes, "node", "left_semi").mapInArrow(run, "node long, symbols binary")
+    # The named documents grow with the input: the same shuffle join at every size.
+    return rows.join(nodes.hint("merge"), "node", "left_semi").mapInArrow(run, "node long, symbols binary")
 
 
 def verified(pairs: DataFrame, symbols: DataFrame, threshold: float) -> DataFrame:
@@ -212,19 +213,37 @@ def across(large: DataFrame, classes: DataFrame, symbols: DataFrame, threshold:
     mixed = parts.groupBy("key").agg(F.sum("m").alias("n"), F.max(F.struct("m", "component")).alias("main")).where("main.m < n")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     now = stored(now.join(mixed.select("key", F.col("main.component").alias("main"), blocks(F.col("n")).alias("all"), blocks(F.col("n") - F.col("main.m")).alias("outer")), "key"))
-    texts = now.groupBy("node").agg(F.collect_set("key").alias("keys")).join(symbols, "node")
+    keys = now.groupBy("node").agg(F.collect_set("key").alias("keys"))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n).cast("long")).cast("int")
     out = now.where("component <> main").select("key", "node", "bits", "component", F.lit(True).alias("outside"), place("outer").alias("i"), each("all").alias("j"))
     rest = now.select("key", "node", "bits", "component", F.lit(False).alias("outside"), each("outer").alias("i"), place("all").alias("j"))
+    cells = out.unionByName(rest)
+
+    def alike(group: pa.Table):
+        """Places of the outside texts, and for each the places of the others that are alike and of another component."""
+        outside = np.array(group["outside"].to_pylist())
+        bits = np.array(group["bits"].to_pylist(), dtype=np.int64).view(np.uint64)
+        own = group["component"].to_numpy()
+        ys = np.flatnonzero(~outside)
+        for x in np.flatnonzero(outside).tolist():
+            near = ys[(np.bitwise_count(bits[ys] ^ bits[x]).sum(1) <= most) & (own[ys] != own[x])]
+            if len(near):
+                yield x, near
+
+    def mark(group: pa.Table) -> pa.Table:
+        """Only the texts of a cell that are alike any other of it: bits alone decide, and few texts are left."""
+        keep = np.zeros(group.num_rows, dtype=bool)
+        for x, near in alike(group):
+            keep[x] = True
+            keep[near] = True
+        return group.filter(pa.array(keep))
 
     def run(group: pa.Table) -> pa.Table:
         key = group["key"][0].as_py()
-        nodes, own, outside = group["node"].to_pylist(), group["component"].to_pylist(), group["outside"].to_pylist()
-        keys = [set(k) for k in group["keys"].to_pylist()]
-        bits = np.array(group["bits"].to_pylist(), dtype=np.int64).view(np.uint64)
+        nodes, own = group["node"].to_pylist(), group["component"].to_pylist()
+        shared = [set(k) for k in group["keys"].to_pylist()]
         texts = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in group["symbols"]]
-        ys = np.flatnonzero(~np.array(outside))
         parent: dict[int, int] = {}
         found = []
 
@@ -233,15 +252,18 @@ def across(large: DataFrame, classes: DataFrame, symbols: DataFrame, threshold:
                 c = d
             return c
 
-        for x in np.flatnonzero(outside).tolist():
-            for y in ys[np.bitwise_count(bits[ys] ^ bits[x]).sum(1) <= most].tolist():
+        for x, near in alike(group):
+            for y in near.tolist():
                 p, q = root(own[x]), root(own[y])
-                if p != q and min(keys[x] & keys[y]) == key and aligned(texts[x], texts[y], threshold) > 0:
+                if p != q and min(shared[x] & shared[y]) == key and aligned(texts[x], texts[y], threshold) > 0:
                     parent[max(p, q)] = min(p, q)
                     found.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
         return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("ab")})
 
-    return stored(out.unionByName(rest).join(texts, "node").groupBy("key", "i", "j").applyInArrow(run, "a long, b long"))
+    marked = stored(cells.groupBy("key", "i", "j").applyInArrow(mark, cells.schema))
+    found = stored(marked.join(keys, "node").join(symbols, "node").groupBy("key", "i", "j").applyInArrow(run, "a long, b long"))
+    discard(marked, now)
+    return found
 
 
 def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, whole: int, most: int) -> DataFrame:
@@ -303,17 +325,23 @@ def near_duplicates(
     """
     docs = stored(sketched(df, id_column, text_column, shingle, bands))
     texts = docs.where("d1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
-    texts = stored(texts)
-    buckets = texts.select("node", "bits", F.explode("bands").alias("key"))
-    several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = stored(buckets.join(several.select("key"), "key", "left_semi"))
+    sketches = stored(texts)
+    texts, documents = stored(sketches.select("d1", "d2", "node", "copies")), stored(docs.select("doc_id", "d1", "d2"))
+    discard(docs)
+    # Most bands are of one text only; the others get their bits once those are gone.
+    rows = sketches.select("node", F.explode("bands").alias("key"))
+    several = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(rows.join(several.select("key").hint("merge"), "key", "left_semi"))
+    buckets = stored(shared.join(sketches.select("node", "bits").hint("merge"), "node"))
+    discard(sketches, shared)
     symbols = stored(symbol_table(df, buckets.select("node").distinct(), id_column, text_column, shingle))
-    links = candidate_links(buckets, symbols, threshold, whole, most_different_bits(threshold, bands * SKETCHES))
+    links = stored(components(candidate_links(buckets, symbols, threshold, whole, most_different_bits(threshold, bands * SKETCHES))))
+    discard(buckets, symbols)
 
-    classes = texts.select("d1", "d2", "node", "copies").join(components(links), "node", "left").withColumn("class_id", F.coalesce("component", "node"))
+    classes = texts.select("d1", "d2", "node", "copies").join(links, "node", "left").withColumn("class_id", F.coalesce("component", "node"))
     # Only texts with copies or links need a row here; salts spread the copies of one text.
     classes = stored(classes.where("copies > 1 OR component IS NOT NULL").select("d1", "d2", "class_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
-    out = docs.select("doc_id", "d1", "d2", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")).join(classes, ["d1", "d2", "salt"], "left")
+    out = documents.select("doc_id", "d1", "d2", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")).join(classes, ["d1", "d2", "salt"], "left")
     class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))
     return out.select("doc_id", class_id.alias("class_id"), F.coalesce(F.col("doc_id") == class_id, F.lit(False)).alias("kept"))
 
@@ -323,8 +351,24 @@ def op8(spark, folder: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Whole rows without those that a smaller id of their class stands for. Rows without id stay; repeated rows are one document."""
-    classes = near_duplicates(docs)
-    gone = classes.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
+    """Whole rows without those that a smaller id of their class stands for.
+
+    Rows equal in id and text are one document, of which one row stays. Rows that share an id but differ in text are documents of their
+    own: each stays unless a row of another text stands for it (one with an id of its own, if there is any). Rows without id stay.
+    """
+    marked = docs.select("doc_id", *row_key("text")).where("doc_id IS NOT NULL")
+    several = stored(marked.groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_distinct("k1", "k2").alias("texts")).where("rows > 1"))
+    repeated, mixed = several.where("texts = 1").select("doc_id"), several.where("texts > 1").select("doc_id")
+    if not several.isEmpty():
+        # Few ids as a rule, and of a known size. Texts that share an id get one from their hash, above all others.
+        own = F.lit(2**62) + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+        docs = docs.join(mixed.withColumn("_mixed", F.lit(True)), "doc_id", "left").join(repeated.withColumn("_repeated", F.lit(True)), "doc_id", "left")
+        docs = docs.withColumns({"_id": F.when(F.col("_mixed"), own).otherwise(F.col("doc_id")), "_once": ~F.coalesce("_mixed", "_repeated", F.lit(False))}).drop("_mixed", "_repeated")
+    else:
+        docs = docs.withColumns({"_id": F.col("doc_id"), "_once": F.lit(True)})
+    classes = near_duplicates(docs, id_column="_id")
+    gone = classes.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
+    left = docs.join(gone.hint("merge"), "_id", "left_anti")
+    if several.isEmpty():
+        return left.drop("_id", "_once")
+    return left.where("_once").unionByName(left.where("NOT _once").dropDuplicates(["_id"])).drop("_id", "_once")
