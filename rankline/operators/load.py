@@ -245,6 +245,11 @@ def upsert_metadata(stored: DataFrame, batch: DataFrame, order: list[str]) -> Up
     return Upsert(table, done.where("_kind = 'log'").select(*columns, F.col("_outcome").alias("outcome")))
 
 
+def is_blank() -> Column:
+    """Category or batch is missing."""
+    return (text_or_empty(F.col("admission_category")) == "") | (text_or_empty(F.col("batch")) == "")
+
+
 def backfill(schools: DataFrame) -> DataFrame:
     """Blank category and batch get their defaults."""
     return schools.withColumns({

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import school_name_or_null, split_major, text_or_empty, text_or_null, to_float, to_int, with_split_school
-from .settle import settled
+from .dictionary import Group, by_distinct
 
 SCHOOL = (
     "year", "province", "subject_type", "admission_category", "batch", "school_code", "school_name", "major_group",
@@ -46,61 +46,100 @@ def defaulted(
     })
 
 
+def _by_text(df: DataFrame, columns, options: dict[str, Default], evaluate, *more: Group, keep=()) -> DataFrame:
+    """``df`` with year, province, subject and the like worked out once per combination of their texts, by ``evaluate(table, options)``, and the results of ``more`` groups.
+
+    An option that is a column is a text like the others; a plain value goes to the rules as it is.
+    """
+    given = {k: f"_{k}" for k, v in options.items() if isinstance(v, Column)}
+    work = project(df, [c for c in columns if c not in keep], [*keep, *[c for c in df.columns if c not in columns and c not in keep]])
+    work = work.withColumns({name: options[k].cast("string") for k, name in given.items()})
+    plain = {k: F.col(given[k]) if k in given else v for k, v in options.items()}
+    inputs = [c for c in ("year", "province", "subject_type", "admission_category", "batch") if c in columns]
+    return by_distinct(work, [Group((*inputs, *given.values()), lambda table: evaluate(table, plain)), *more]).drop(*given.values())
+
+
+def _standing(table: DataFrame, options: dict[str, Default], has_subject: bool) -> dict[str, Column]:
+    """Year, province and subject of a table of texts."""
+    legacy = options.get("legacy")
+    subject = F.col("subject_type") if has_subject else _as_column(options.get("subject_type")).cast("string")
+    place = F.coalesce(text_or_null(F.col("province")), _as_column(options.get("province")).cast("string"))
+    year = options.get("year")
+    when = to_int(F.col("year")) if year is None else F.coalesce(to_int(F.col("year")), F.when(text_or_empty(F.col("year")) == "", _as_column(year)))
+    return {"year": when.cast("int"), "province": rules.province_name(place), "subject_type": rules.subject_name(subject, None if legacy is None else legacy.cast("boolean"))}
+
+
+def _whole(column: str) -> Group:
+    return Group((column,), lambda table: table.select(column, to_int(F.col(column)).alias(f"_{column}")))
+
+
 def normalize_school(
     df: DataFrame, year: Default = None, province: Default = None, subject_type: Default = None,
     admission_category: Default = None, batch: Default = None, legacy: Column | None = None, keep=(),
 ) -> DataFrame:
-    work = defaulted(df, SCHOOL, year, province, subject_type, legacy, keep)
-    nothing = F.lit(None).cast("string")
-
-    def given(value: Default, column: str) -> Column:
-        # A given value replaces the column for every row.
-        return F.coalesce(text_or_null(_as_column(value).cast("string")), text_or_null(F.col(column)))
-
-    major_code = F.col("major_code") if "major_code" in df.columns else nothing
-    major_name = F.col("major_name") if "major_name" in df.columns else nothing
-    mc, mn = split_major(major_code, major_name)
-    work = work.withColumns({
-        "admission_category": given(admission_category, "admission_category"), "batch": given(batch, "batch"),
-        "_major": F.nullif(F.concat_ws("-", mc, mn), F.lit("")), "school_name": school_name_or_null(F.col("school_name")),
-    })
-    # Each step is settled, so that the rules of one are not written out again in the next.
-    work = settled(with_split_school(work, "school_code", "school_name", "_code", "_name"))
-    work = work.withColumns({
-        "admission_category": rules.category_name(F.col("admission_category")), "batch": rules.school_batch_name(F.col("batch")),
-        "major_group": F.coalesce(text_or_null(F.col("major_group")), F.col("_major")),
-        "min_score": to_float(F.col("min_score")), "min_rank": to_int(F.col("min_rank")),
-        "plan_count": to_int(F.col("plan_count")), "tie_breaker_text": text_or_null(F.col("tie_breaker_text")),
-    })
-    # A row with a name and no code: the name becomes the code and the name is empty.
-    work = settled(work).withColumns({
-        "admission_category": F.coalesce(F.nullif("admission_category", F.lit("")), F.lit(rules.DEFAULT_CATEGORY)),
-        "batch": F.coalesce(F.nullif("batch", F.lit("")), F.lit(rules.DEFAULT_BATCH)),
-        "school_code": F.coalesce("_code", "_name"), "school_name": F.when(F.col("_code").isNotNull(), F.col("_name")),
-    })
-    special = F.col("major_group").isNotNull() & F.col("admission_category").isin("艺术类", "体育类")
-    unnamed = F.col("school_name").isNull() | (F.col("school_name") == F.col("school_code"))
-    work = work.withColumn("school_name", F.when(special & unnamed, F.col("major_group")).otherwise(F.col("school_name")))
-    return settled(work, SCHOOL, keep)
+    options = {"year": year, "province": province, "subject_type": subject_type, "admission_category": admission_category, "batch": batch, "legacy": legacy}
+    has_subject = "subject_type" in df.columns
+
+    def standing(table: DataFrame, options: dict[str, Default]) -> DataFrame:
+        def given(column: str) -> Column:
+            # A given value replaces the column for every row.
+            return F.coalesce(text_or_null(_as_column(options[column]).cast("string")), text_or_null(F.col(column)))
+
+        found = _standing(table, options, has_subject) | {
+            "admission_category": F.coalesce(F.nullif(rules.category_name(given("admission_category")), F.lit("")), F.lit(rules.DEFAULT_CATEGORY)),
+            "batch": F.coalesce(F.nullif(rules.school_batch_name(given("batch")), F.lit("")), F.lit(rules.DEFAULT_BATCH)),
+        }
+        return table.select("*", *[c.alias(f"_{name}") for name, c in found.items()])
+
+    def names(table: DataFrame) -> DataFrame:
+        split = with_split_school(table.withColumn("_raw", school_name_or_null(F.col("school_name"))), "school_code", "_raw", "_code", "_name")
+        # A row with a name and no code: the name becomes the code and the name is empty.
+        return split.select("school_code", "school_name", F.coalesce("_code", "_name").alias("_school_code"), F.when(F.col("_code").isNotNull(), F.col("_name")).alias("_school_name"))
+
+    def majors(table: DataFrame) -> DataFrame:
+        code, name = split_major(F.col("major_code"), F.col("major_name"))
+        return table.select("major_code", "major_name", F.nullif(F.concat_ws("-", code, name), F.lit("")).alias("_major"))
+
+    scores = Group(("min_score",), lambda table: table.select("min_score", to_float(F.col("min_score")).alias("_min_score")))
+    more = [Group(("school_code", "school_name"), names), Group(("major_code", "major_name"), majors), scores, _whole("min_rank"), _whole("plan_count")]
+    work = _by_text(df, (*SCHOOL, "major_code", "major_name"), options, standing, *more, keep=keep)
+    group = F.coalesce(text_or_null(F.col("major_group")), F.col("_major"))
+    special = group.isNotNull() & F.col("_admission_category").isin("艺术类", "体育类")
+    unnamed = F.col("_school_name").isNull() | (F.col("_school_name") == F.col("_school_code"))
+    out = {c: F.col(f"_{c}") for c in ("year", "province", "subject_type", "admission_category", "batch", "school_code", "min_score", "min_rank", "plan_count")}
+    out |= {"major_group": group, "school_name": F.when(special & unnamed, group).otherwise(F.col("_school_name")), "tie_breaker_text": text_or_null(F.col("tie_breaker_text"))}
+    return work.select(*keep, *[out[c].alias(c) for c in SCHOOL])
+
+
+def _normalize(df: DataFrame, columns, options: dict[str, Default], rest: dict[str, Column], keep, batch: Column | None = None) -> DataFrame:
+    """Year, province, subject (and batch) by their texts, the other columns by ``rest``, row by row."""
+    has_subject = "subject_type" in df.columns
+
+    def standing(table: DataFrame, options: dict[str, Default]) -> DataFrame:
+        found = _standing(table, options, has_subject) | ({"batch": batch} if batch is not None else {})
+        return table.select("*", *[c.alias(f"_{name}") for name, c in found.items()])
+
+    work = _by_text(df, columns, options, standing, keep=keep)
+    out = {c: F.col(f"_{c}") for c in ("year", "province", "subject_type", *(["batch"] if batch is not None else []))} | rest
+    return work.select(*keep, *[out[c].alias(c) for c in columns])
 
 
 def normalize_rank(df: DataFrame, year: Default = None, province: Default = None, subject_type: Default = None, keep=()) -> DataFrame:
-    work = defaulted(df, RANK, year, province, subject_type, keep=keep)
-    return settled(work, [*RANK[:3], *[to_int(F.col(c)).alias(c) for c in RANK[3:]]], keep)
+    options = {"year": year, "province": province, "subject_type": subject_type}
+    return _normalize(df, RANK, options, {c: to_int(F.col(c)) for c in RANK[3:]}, keep)
 
 
 def normalize_control(df: DataFrame, year: Default = None, province: Default = None, subject_type: Default = None, keep=()) -> DataFrame:
-    work = defaulted(df, CONTROL, year, province, subject_type, keep=keep)
+    options = {"year": year, "province": province, "subject_type": subject_type}
     batch = F.nullif(rules.batch_name(text_or_null(F.col("batch"))), F.lit(""))
-    return settled(work, [*CONTROL[:3], batch.alias("batch"), to_int(F.col("score")).alias("score")], keep)
+    return _normalize(df, CONTROL, options, {"score": to_int(F.col("score"))}, keep, batch)
 
 
 def normalize_major(df: DataFrame, year: Default = None, province: Default = None, subject_type: Default = None, keep=()) -> DataFrame:
-    work = defaulted(df, MAJOR, year, province, subject_type, keep=keep)
-    return settled(work, [
-        *MAJOR[:3], school_name_or_null(F.col("school_name")).alias("school_name"), text_or_null(F.col("major_name")).alias("major_name"),
-        to_int(F.col("min_score")).alias("min_score"), to_int(F.col("min_rank")).alias("min_rank"),
-    ], keep)
+    options = {"year": year, "province": province, "subject_type": subject_type}
+    return _normalize(df, MAJOR, options, {
+        "school_name": school_name_or_null(F.col("school_name")), "major_name": text_or_null(F.col("major_name")), "min_score": to_int(F.col("min_score")), "min_rank": to_int(F.col("min_rank")),
+    }, keep)
 
 
 NORMALIZERS = {"school": normalize_school, "rank": normalize_rank, "control": normalize_control, "major": normalize_major}

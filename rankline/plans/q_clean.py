@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..operators import load, normalize, validate
+from ..operators.tablelog import TableLog
 from ..session import shared_folder
 from . import sqlbits as q
 from .inputs import define
@@ -348,6 +349,44 @@ def append_ranks_twice(t):
     return back.select("year", "province", "subject_type", "score", "same_score_count", "cumulative_count")
 
 
+# ---- the same batches through a logged table: an attempt that died half-way, the batch, and the batch again ----
+
+def _appended_after_failure(t, batch, stored, record_type, order, columns):
+    fresh = load.new_rows(batch, stored, record_type, order).select(*columns)
+    log = TableLog(t.spark, shared_folder(t.spark) + "/table", fresh.schema)
+    log.write_attempt(fresh.where(F.pmod(F.xxhash64(*load.KEYS[record_type]), F.lit(2)) == 0), files=2)  # its commit never came
+    log.append(fresh, "batch 1")
+    log.append(fresh, "batch 1")
+    return log.read()
+
+
+_F1_COLS = ("year", "province", "subject_type", "batch", "score")
+_F2_COLS = ("year", "province", "school_code", "subject_type", "admission_category", "batch", "major_group", "min_score", "min_rank", "plan_count")
+_F3_COLS = ("year", "province", "school_name", "major_name", "subject_type", "major_group", "min_score", "min_rank")
+_F4_COLS = ("year", "province", "subject_type", "score", "same_score_count", "cumulative_count")
+
+
+@query("F1_append_controls_after_failure", _F1)
+def append_controls_after_failure(t):
+    return _appended_after_failure(t, t.control_batch, t.control_stored, "control", ["row_no"], _F1_COLS)
+
+
+@query("F2_append_schools_after_failure", _F2)
+def append_schools_after_failure(t):
+    return _appended_after_failure(t, t.school_batch, t.school_stored, "school", _ORDER, _F2_COLS)
+
+
+@query("F3_append_majors_after_failure", _F3)
+def append_majors_after_failure(t):
+    order = ["src_order", "src_line", "src_supp", "min_score", "min_rank", "plan_count"]
+    return _appended_after_failure(t, t.major_batch, t.major_stored, "major", order, _F3_COLS)
+
+
+@query("F4_append_ranks_after_failure", _F4)
+def append_ranks_after_failure(t):
+    return _appended_after_failure(t, t.rank_batch, t.rank_stored, "rank", ["part"], _F4_COLS)
+
+
 # Batch rows keep, change or add schools; every third one is known by its school name only.
 define("meta_full", "SELECT school_name, standard_name, 'P' AS province, city, is_985, is_211, is_double_first_class, school_type, CAST(NULL AS STRING) AS ownership, 'seed' AS source FROM meta_fx")
 define("meta_stored", """
@@ -436,3 +475,42 @@ ORDER BY year, province, school_code, subject_type, admission_category, batch, m
 def dirty_samples(t):
     order = ["year", "province", "school_code", "subject_type", "admission_category", "batch", "major_group"]
     return load.dirty_samples(_sourced(t), order).select(*_DCOLS)
+
+
+# ---- clean-up and backfill in place: only files that hold such a row are rewritten ----
+
+def _cleaned(t):
+    rows = _sourced(t).select(*_DCOLS, "school_name", "admission_category", "batch", "plan_count")
+    log = TableLog(t.spark, shared_folder(t.spark) + "/schools", rows.schema)
+    log.append(rows, "load")
+    before = log.live()
+    scope = load.is_dirty() & (F.col("province") == "ASIA")
+    for _ in range(2):  # the second time the log knows the change
+        report = log.rewrite("clean-up", F.coalesce(scope, F.lit(False)), lambda df: load.without_dirty(df, province="ASIA"))
+    return log, before, report
+
+
+@query("F12_deleted_in_place", f"SELECT {', '.join(_DCOLS)}, plan_count FROM school_sourced WHERE NOT (province = 'ASIA' AND ({_BADNAME}))")
+def deleted_in_place(t):
+    log, _, _ = _cleaned(t)
+    return log.read().select(*_DCOLS, "plan_count")
+
+
+@query("F12_files_touched", f"SELECT count(*) AS rows_deleted, true AS all_in_scope, true AS others_untouched FROM school_sourced WHERE province = 'ASIA' AND ({_BADNAME})")
+def files_touched(t):
+    log, before, report = _cleaned(t)
+    stays = F.contains("file", F.lit("province=ASIA/"))
+    gone = log.entries().where("action = 'remove'").agg(F.bool_and(stays)).scalar()
+    others = before.where(~stays).join(log.live(), "file", "left_anti").agg(F.count("*") == 0).scalar()
+    return report.select((F.col("rows_before") - F.col("rows_after")).alias("rows_deleted"), gone.alias("all_in_scope"), (others & (F.col("files_untouched") > 0)).alias("others_untouched"))
+
+
+@query("F9_backfilled_in_place", """
+SELECT src_order, src_line, src_supp, CASE WHEN plan_count % 4 IN (0, 1) THEN '普通类' ELSE admission_category END AS admission_category,
+  CASE WHEN plan_count % 3 = 0 THEN '本科批' ELSE batch END AS batch FROM school_blank""")
+def backfilled_in_place(t):
+    rows = t.school_blank.withColumn("admission_category", F.col("cat_raw")).withColumn("batch", F.col("batch_raw")).select(*_ID, "year", "province", "admission_category", "batch")
+    log = TableLog(t.spark, shared_folder(t.spark) + "/schools", rows.schema)
+    log.append(rows, "load")
+    log.rewrite("backfill", load.is_blank(), load.backfill)
+    return log.read().select(*_ID, "admission_category", "batch")

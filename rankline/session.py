@@ -50,3 +50,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint in the shared folder; the files go when the frame is no longer referenced."""
     _base_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: lineage ends there, and the planner knows the table's size."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
