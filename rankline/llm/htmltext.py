@@ -34,59 +34,157 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "td": {"table"}, "th": {"table"}, "tr": {"t
 CONTAINERS = set("div section nav header footer aside form ul ol dl table center details figure menu".split())
 # Elements that never hold main text, and words in class, id or role that mark such a part.
 NEVER = set("head nav header footer aside form button select option datalist input svg canvas dialog menu object audio video map fieldset".split()) | RAW
-MARKS = set(
-    "ad ads adv advert adverts advertisement adsense advertising sponsor sponsored sponsors promo promos promotion promoted banner navigation nav navbar menu menus header masthead footer sidebar "
-    "sidenav aside rail cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login breadcrumb breadcrumbs share sharing social "
-    "related recommended recommendations trending comment comments commentlist respond replies reply disqus widget widgets toolbar topbar pagination pager paging skip copyright disclaimer contentinfo "
-    "complementary search searchbox form paywall".split()
+WRAPPERS = set("form fieldset header".split())  # these may stand around a whole page
+# A name with one of these as its first or last word marks a part, unless it says that there is none.
+STRONG = set(
+    "comment comments commentlist disqus respond replies sidebar sidenav cookie cookies consent gdpr newsletter breadcrumb breadcrumbs advert adverts advertisement advertising "
+    "adsense ads sponsor sponsored sponsors pagination navbar masthead popup modal overlay paywall toolbar topbar".split()
 )
-REMARKS = {"comment", "comments", "reply", "replies", "related", "teaser", "ad", "advert", "promo"}
-
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""")
-_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
-_CDATA = re.compile(r"<!\[CDATA\[(.*?)\]\]>", re.S)
+# These mark a part if the name has no other words but these, the ones above, and words of place and shape.
+WEAK = set(
+    "ad adv promo promos promotion promoted banner navigation nav menu menus header footer aside rail notice notices notification alert subscribe subscription signup login share "
+    "sharing social related recommended recommendations trending widget widgets pager paging skip copyright disclaimer contentinfo complementary search searchbox form reply".split()
+)
+SHAPES = set(
+    "site page global main top bottom left right inner outer box block list item items bar area region wrap wrapper container section panel link links button buttons icon icons "
+    "group slot unit zone frame holder posts stories primary secondary sticky fixed mobile desktop small large big mini user col column row".split()
+)
+DENIALS = set("no not non with without has have hide show js".split())
+REMARKS = {"comment", "comments", "commentlist", "disqus", "respond", "reply", "replies"}
+TEASERS = REMARKS | {"related", "teaser", "ad", "advert", "promo"}
+DEPTH = 512  # open elements; deeper ones are leaves, as in browsers
+WHOLE = 0.8  # of a page's text: a marked wrapper with so much is the page
+FEW = 0.25  # articles with less of the clean text than this are not what the page is about
+
+_OPEN = re.compile(r"""=\s*(["'])|>""")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _NAMED = re.compile(r"""(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+def marks(names: str) -> set[str]:
+    """The marking words among the names of a class, id or role attribute."""
+    out = set()
+    for name in names.split():
+        words = _WORD.findall(name)
+        if not words or words[0] in DENIALS:
+            continue
+        out |= {w for w in (words[0], words[-1]) if w in STRONG}
+        if all(w in WEAK or w in STRONG or w in SHAPES or w.isdigit() for w in words):
+            out |= {w for w in words if w in WEAK}
+    return out
+
+
 class Page:
-    """Elements of one page in order (parents first) and its text in blocks of (element, text) pieces."""
+    """Elements of one page in order (parents first), its text in blocks of (element, text) pieces, and a hash of every element.
 
-    __slots__ = ("source", "tags", "parents", "starts", "ends", "bad", "words", "main", "blocks")
+    One scan from left to right: raw elements (scripts and the like) are skipped as they come, so nothing in them is markup; comments end at
+    ``-->``, or where there is none at the next ``>``; a tag that never ends is dropped with what follows.
+    """
+
+    __slots__ = ("source", "tags", "parents", "contents", "bad", "wrapper", "remark", "teaser", "main", "blocks", "_lower", "_missing")
 
     def __init__(self, source: str):
-        source = _COMMENT.sub("", source)
-        if "<![CDATA[" in source:
-            source = _CDATA.sub(lambda m: entities.escape(m[1]), source)
-        self.source = source
-        self.tags, self.parents, self.starts, self.ends, self.bad, self.words, self.main = ["html"], [-1], [0], [len(source)], [False], [frozenset()], [False]
+        self.source, self._lower, self._missing = source, None, set()
+        self.tags, self.parents, self.contents, self.bad, self.wrapper, self.remark, self.teaser, self.main = ["html"], [-1], [["html"]], [False], [False], [False], [False], [False]
         self.blocks: list[list[tuple[int, str]]] = []
         self._scan()
 
+    def _find(self, text: str, at: int, key: str | None = None) -> int:
+        """Place of ``text`` from ``at`` on, -1 if there is none; what is missing once is missing for the rest."""
+        if text in self._missing:
+            return -1
+        place = self.source.find(text, at)
+        if place < 0:
+            self._missing.add(text)
+        return place
+
+    def _tag_end(self, at: int) -> int:
+        """Place after the ``>`` that ends a tag; quoted values may hold others. -1 if it does not end."""
+        first = self._find(">", at)
+        if first < 0:
+            return -1
+        while found := _OPEN.search(self.source, at):
+            if not found[1]:
+                return found.end()
+            close = self._find(found[1], found.end()) if found[1] not in self._missing else -1
+            if close < 0:
+                return first + 1
+            at = close + 1
+        return first + 1
+
+    def _raw_end(self, name: str, at: int) -> int:
+        """Place of the end tag of a raw element, -1 if there is none."""
+        if self._lower is None:
+            self._lower = self.source.lower()
+            if len(self._lower) != len(self.source):  # lower-casing changed the length of some character
+                self._lower = re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), self.source)
+        if f"</{name}" in self._missing:
+            return -1
+        place = self._lower.find(f"</{name}", at)
+        if place < 0:
+            self._missing.add(f"</{name}")
+        return place
+
     def _scan(self) -> None:
         source, stack, block, at, size = self.source, [0], [], 0, len(self.source)
-        lower = None
+        open_names: dict[str, int] = {}
+        blocked: set[str] = set()  # inline names whose end tag meets a block first, as long as the open elements stay
 
-        def close(depth: int, place: int) -> None:
+        def close(depth: int) -> None:
+            blocked.clear()
             while len(stack) > depth:
-                self.ends[stack.pop()] = place
+                open_names[self.tags[stack.pop()]] -= 1
+
+        def text(piece: str) -> None:
+            block.append((stack[-1], piece))
+            self.contents[stack[-1]].append(piece)
 
         while at < size:
-            found = _TAG.search(source, at)
-            begin = found.start() if found else size
+            begin = self._find("<", at)
+            if begin < 0:
+                text(source[at:])
+                break
             if begin > at:
-                block.append((stack[-1], source[at:begin]))
+                text(source[at:begin])
+            after = source[begin + 1:begin + 2]
+            if after == "!" or after == "?":
+                at = begin + 2
+                if source.startswith("<!--", begin):
+                    if source.startswith((">", "->"), begin + 4):
+                        at = source.index(">", begin + 4) + 1
+                        continue
+                    end = self._find("-->", begin + 4)
+                    if end >= 0:
+                        at = end + 3
+                        continue
+                elif source.startswith("<![CDATA[", begin):
+                    end = self._find("]]>", begin)
+                    if end >= 0:
+                        text(entities.escape(source[begin + 9:end]))
+                        at = end + 3
+                        continue
+                end = self._find(">", at)
+                if end < 0:
+                    break
+                at = end + 1
+                continue
+            ending = after == "/"
+            found = _NAME.match(source, begin + 1 + ending)
             if not found:
-                break
-            at = found.end()
-            name = (found[2] or found[5] or "").lower()
-            if not name:
+                text("<")
+                at = begin + 1
                 continue
-            ending, attributes = found[1] or found[4], found[3] or found[6] or ""
+            at = self._tag_end(found.end())
+            if at < 0:
+                break
+            name, attributes = found[0].lower(), source[found.end():at - 1]
             if name not in INLINE and name not in QUIET and block:
                 self.blocks.append(block)
                 block = []
             if ending:
+                if not open_names.get(name) or name in blocked:
+                    continue
                 depth = len(stack) - 1
                 while depth and self.tags[stack[depth]] != name:
                     if name in INLINE and self.tags[stack[depth]] not in INLINE:
@@ -94,85 +192,114 @@ class Page:
                         break
                     depth -= 1
                 if depth:
-                    close(depth, at)
+                    close(depth)
+                else:
+                    blocked.add(name)
                 continue
             if name in ("html", "body") and not attributes.strip():
                 if name == "body" and len(stack) > 1 and self.tags[stack[1]] == "head":
-                    close(1, begin)
+                    close(1)
                 if name == "html":
                     continue
             depth = len(stack) - 1
             while depth and name not in INLINE:
                 open_tag = self.tags[stack[depth]]
                 if name in CLOSED_BY.get(open_tag, ()):
-                    close(depth, begin)
+                    close(depth)
                     break
                 if open_tag in SCOPE.get(name, ()) or (open_tag not in INLINE and name not in SCOPE):
                     break
                 depth -= 1
-            words, hidden, itemprop = frozenset(), False, ""
-            if attributes and ("=" in attributes or "hidden" in attributes):
-                values = {m[1].lower(): (m[2] or "").strip("\"'").lower() for m in _NAMED.finditer(attributes)}
-                if values:
-                    words = frozenset(_WORD.findall(" ".join(values.get(k, "") for k in ("class", "id", "role"))))
-                    hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "")
-                    itemprop = values.get("itemprop", "")
-            root = name in ("html", "body", "main", "article")
-            self.tags.append(name)
-            self.parents.append(stack[-1])
-            self.starts.append(begin)
-            self.ends.append(at)
-            self.words.append(words)
-            self.bad.append(name in NEVER or hidden or bool(words & (REMARKS if root else MARKS)) and name not in ("html", "body", "main"))
-            self.main.append(name == "main" or itemprop == "articlebody" or "main" in words and name in CONTAINERS)
-            here = len(self.tags) - 1
+            here = self._element(name, attributes, stack[-1])
             if name in VOID or attributes.endswith("/") and name not in ("p", "div", "span", "a"):
                 continue
             if name in RAW:
-                lower = source.lower() if lower is None else lower
-                if len(lower) != size:  # lower-casing changed the length of some character
-                    lower = re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), source)
-                stop = lower.find(f"</{name}", at)
-                at = size if stop < 0 else source.find(">", stop) + 1 or size
-                self.ends[here] = at
+                stop = self._raw_end(name, at)
+                if stop >= 0:
+                    end = source.find(">", stop)
+                    end = end + 1 if end >= 0 else size
+                elif name in ("script", "style"):
+                    end = size
+                else:  # without an end, what follows is the page
+                    continue
+                self.contents[here].append(source[at:end])
+                at = end
                 continue
-            stack.append(here)
+            if len(stack) < DEPTH:
+                stack.append(here)
+                blocked.clear()
+                open_names[name] = open_names.get(name, 0) + 1
         if block:
             self.blocks.append(block)
-        close(0, size)
 
-    def subtree(self, i: int) -> int:
-        """Signed hash of an element's source with all it holds."""
-        value = xxhash.xxh3_64_intdigest(" ".join(self.source[self.starts[i]:self.ends[i]].split()))
-        return value - (1 << 64) if value >> 63 else value
+    def _element(self, name: str, attributes: str, parent: int) -> int:
+        found, hidden, itemprop, names = set(), False, "", ""
+        if attributes and ("=" in attributes or "hidden" in attributes):
+            values = {m[1].lower(): (m[2] or "").strip("\"'").lower() for m in _NAMED.finditer(attributes)}
+            if values:
+                names = " ".join(values.get(k, "") for k in ("class", "id", "role"))
+                found = marks(names)
+                hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "")
+                itemprop = values.get("itemprop", "")
+        here = len(self.tags)
+        root = name in ("html", "body", "main")
+        words = set(_WORD.findall(names)) if name == "article" else ()
+        teaser = name == "article" and bool(TEASERS & set(words))
+        self.tags.append(name)
+        self.parents.append(parent)
+        self.contents.append([name, " ".join(attributes.split())])
+        self.contents[parent].append(here)
+        marked = (bool(found) or teaser) if name == "article" else bool(found) and not root
+        self.bad.append(name in NEVER or hidden or marked)
+        self.remark.append(bool(found & REMARKS) or hidden)
+        self.teaser.append(teaser)
+        self.wrapper.append((name in WRAPPERS or marked and name in CONTAINERS and name not in NEVER) and not found & REMARKS and not hidden)
+        self.main.append(name == "main" or itemprop == "articlebody" or name in CONTAINERS and "main" in names.split())
+        return here
 
     def subtrees(self) -> dict[int, int]:
-        """Hash of every container element with something in it."""
-        return {i: self.subtree(i) for i, tag in enumerate(self.tags) if tag in CONTAINERS and self.ends[i] - self.starts[i] > len(tag) * 2 + 5}
+        """Signed hash of every container element with something in it: its tag, attributes, texts and the hashes of the elements in it."""
+        digests: list[int] = [0] * len(self.tags)
+        for i in range(len(self.tags) - 1, -1, -1):
+            parts = [f"\0{digests[p]:x}" if isinstance(p, int) else " ".join(p.split()) for p in self.contents[i]]
+            digests[i] = xxhash.xxh3_64_intdigest("\1".join(parts))
+        held = lambda i: any(isinstance(p, int) or p.strip() for p in self.contents[i][2:])
+        return {i: d - (1 << 64) if d >> 63 else d for i, d in enumerate(digests) if self.tags[i] in CONTAINERS and held(i)}
 
     def text(self, template: set[int]) -> str:
-        """Main text: blocks of the main element, without what is marked, never text, or template."""
-        cut = list(self.bad)
+        """Main text: blocks of the main elements, without what is marked, never text, or template."""
+        count = len(self.tags)
+        total = [0] * count
+        raw = [False] * count
+        for i in range(1, count):
+            raw[i] = raw[self.parents[i]] or self.tags[i] in RAW
+        for block in self.blocks:
+            for i, text in block:
+                if not raw[i]:
+                    total[i] += len(text.strip())
+        holds = [False] * count  # an article or main element that is no remark
+        for i in range(count - 1, 0, -1):
+            parent = self.parents[i]
+            total[parent] += total[i]
+            holds[parent] |= not self.remark[i] and (holds[i] or self.main[i] or self.tags[i] == "article" and not self.teaser[i])
+        cut = [b and not (w and (h or t >= WHOLE * total[0] > 0)) for b, w, h, t in zip(self.bad, self.wrapper, holds, total, strict=True)]
         if template:
             for i, value in self.subtrees().items():
                 cut[i] |= value in template
-        clean = [False] * len(cut)  # nothing cut on the way from the root
+        clean = [False] * count  # nothing cut on the way from the root
         for i, parent in enumerate(self.parents):
             clean[i] = not cut[i] and (parent < 0 or clean[parent])
-        amount = [0] * len(cut)
+        fair = [0] * count
         for block in self.blocks:
             for i, text in block:
-                amount[i] += len(text.strip())
-        total = list(amount)
-        fair = [n if clean[i] else 0 for i, n in enumerate(amount)]
-        for i in range(len(cut) - 1, 0, -1):
-            total[self.parents[i]] += total[i]
+                fair[i] += len(text.strip()) if clean[i] else 0
+        for i in range(count - 1, 0, -1):
             fair[self.parents[i]] += fair[i]
-        region = self._region(clean, cut, total, fair)
-        inside = [False] * len(cut)
-        inside[region] = True
-        for i in range(region + 1, len(cut)):
-            inside[i] = inside[self.parents[i]] and not cut[i]
+        inside = [False] * count
+        for i in self._regions(clean, total, fair):
+            inside[i] = True
+        for i in range(1, count):
+            inside[i] = inside[i] or inside[self.parents[i]] and not cut[i]
         lines = []
         for block in self.blocks:
             parts = [text for i, text in block if inside[i]]
@@ -183,23 +310,28 @@ class Page:
                     lines.append(line)
         return "\n".join(lines)
 
-    def _region(self, clean, cut, total, fair) -> int:
-        for wanted in (lambda i: self.tags[i] == "article", lambda i: self.main[i]):
-            for allowed in (lambda i: clean[i], lambda i: not self.bad[i] and self.tags[self.parents[i]] not in NEVER):
-                found = [i for i in range(1, len(cut)) if wanted(i) and allowed(i) and total[i]]
-                if found:
-                    return max(found, key=lambda i: (total[i], -i))
-        region = 0
-        for i in range(1, len(cut)):  # the deepest container that still holds nearly all text that is left
-            if clean[i] and self.parents[i] == region or clean[i] and self._under(i, region):
-                if self.tags[i] in CONTAINERS | {"body", "td"} and fair[i] >= 0.85 * fair[0] and fair[i]:
-                    region = i
-        return region
-
-    def _under(self, i: int, top: int) -> bool:
-        while i > top:
-            i = self.parents[i]
-        return i == top
+    def _outermost(self, chosen: list[bool]) -> list[int]:
+        under, out = [False] * len(chosen), []
+        for i, parent in enumerate(self.parents):
+            under[i] = parent >= 0 and (under[parent] or chosen[parent])
+            if chosen[i] and not under[i]:
+                out.append(i)
+        return out
+
+    def _regions(self, clean, total, fair) -> list[int]:
+        """The elements whose clean text is the main text: all articles, else the main elements, else the page."""
+        count = range(len(self.tags))
+        articles = self._outermost([self.tags[i] == "article" and clean[i] and total[i] > 0 for i in count])
+        mains = self._outermost([self.main[i] and clean[i] and total[i] > 0 for i in count])
+        whole = sum(fair[i] for i in mains) or fair[0]
+        if articles and sum(fair[i] for i in articles) >= FEW * whole:
+            return articles
+        if mains and sum(fair[i] for i in mains) >= FEW * fair[0]:
+            return mains
+        if fair[0]:
+            return [0]
+        # All is marked: an article or main element that is not itself of such a kind is still the best there is.
+        return self._outermost([(self.tags[i] == "article" or self.main[i]) and not self.bad[i] and self.tags[self.parents[i]] not in NEVER and total[i] > 0 for i in count])
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -238,7 +370,7 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     """page_id, url, text and n_chars of every page.
 
     A null or empty html gives an empty text; repeated rows are extracted each; a page whose url is null or without host
-    has no site template. Broken markup is read as far as tags can be told from text. Paragraphs, headings and list items
+    has no site template. Broken markup and very long pages take time in proportion to their length: see ``Page``. Paragraphs, headings and list items
     inside the main element are content even when they recur, only containers are template. Other columns are left out,
     so their names cannot clash. An empty table gives an empty result.
     """

@@ -20,6 +20,7 @@ from .common import stored, table
 
 LEAST = -(2**63)
 DRAWS = 8
+PIECE_BYTES = 1 << 30
 
 
 def keyed(df: DataFrame, id_column: str, text_column: str, carry=()) -> DataFrame:
@@ -116,18 +117,22 @@ def splitters(rows: DataFrame, shards: int, pieces: int, tolerance: float):
 
 
 def shard_documents(
-    df: DataFrame, shards: int = 24, pieces: int = 16, tolerance: float = 0.002, id_column: str = "doc_id", text_column: str = "text", carry=()
+    df: DataFrame, shards: int = 24, pieces: int | None = None, tolerance: float = 0.002, id_column: str = "doc_id", text_column: str = "text", carry=()
 ) -> DataFrame:
     """Shard and slot of every document, with near equal bytes in the shards.
 
     A shard's bytes differ from an equal share by ``tolerance`` of it at most, or by one document where a
-    document is larger than that. ``pieces``: sorted intervals per shard, so that no task orders a whole shard;
+    document is larger than that. ``pieces``: sorted intervals per shard, so that no task orders a whole shard (16, or as many as
+    hold a gigabyte each);
     intervals larger than twice that are cut further, inside groups of equal texts too.
     Columns in ``carry`` come along as struct ``row`` in the one exchange; others, also those with names used here, are left out.
     A null text counts as empty; null ids come first among equal texts. Repeated rows (same id and text) share a key,
     stay together and get successive slots. An empty table gives an empty result.
     """
     rows = stored(keyed(df, id_column, text_column))
+    if pieces is None:
+        total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        pieces = max(16, -(-total // (shards * PIECE_BYTES)))
     probes, shard, base = splitters(rows, shards, pieces, tolerance)
     rows = keyed(df, id_column, text_column, carry) if carry else rows
     placed = with_bucket(rows, probes, shard, base)

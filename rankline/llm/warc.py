@@ -196,18 +196,20 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_by
     """Write every page to ``.warc.zst`` files in the folder; returns the files with their record counts.
 
     An archive takes ``archive_bytes`` of payload or less (a larger page has one alone). Its dictionary comes from its
-    first ``sample`` payloads (a stated bound, 16 KB of each). File names follow from the partition, so a task that runs again overwrites its own.
+    first ``sample`` payloads (a stated bound, 16 KB of each). A file's name has the attempt that wrote it, and only the names that a committed
+    task returned are in the result: files of a task that was lost or ran twice are in the folder, and in no result.
     """
     datetime.datetime.fromisoformat(date.replace("Z", "+00:00"))
 
     def write(batches):
         place, path = _open_folder(folder)
         place.create_dir(path, recursive=True)
-        part, number, waiting, size = TaskContext.get().partitionId(), 0, [], 0
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        number, waiting, size = 0, [], 0
 
         def flush():
             nonlocal number, waiting, size
-            name = f"pages-{part:06d}-{number:06d}.warc.zst"
+            name = f"pages-{part:06d}-{number:06d}-{attempt}.warc.zst"
             dictionary = train([p[2][:16384] for p in waiting[:sample]], dictionary_bytes)
             packer = zstandard.ZstdCompressor(level=3, dict_data=as_dictionary(dictionary) if dictionary else None, write_content_size=True)
             with place.open_output_stream(f"{path}/.{name}", compression=None) as out:
@@ -239,6 +241,15 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_by
 _RECORD = "archive string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, problem string"
 
 
+_KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+_SHAPE = pa.schema([(f.split()[0], _KINDS[f.split()[1]]) for f in _RECORD.split(", ")])
+
+
+def _rows(found, with_payload: bool) -> pa.RecordBatch:
+    found = [r if with_payload else {**r, "payload": None} for r in found]
+    return pa.RecordBatch.from_pydict({n: [r.get(n) for r in found] for n in _SHAPE.names}, schema=_SHAPE)
+
+
 def records(name: str, content: bytes):
     """All records of one archive. A record that fails a check gives a row with ``problem``; a broken frame ends the archive with one."""
     data = memoryview(content)
@@ -264,19 +275,34 @@ def records(name: str, content: bytes):
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
     """One row per record of the ``.warc.zst`` files in the folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").schema("path string, modificationTime timestamp, length long, content binary").load(folder)
-    names = [f.split()[0] for f in _RECORD.split(", ")]
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    shape = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in _RECORD.split(", ")])
-
     def read(batches):
         for batch in batches:
             for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
-                found = [r if with_payload else {**r, "payload": None} for r in records(path, content)]
-                yield pa.RecordBatch.from_pydict({n: [r.get(n) for r in found] for n in names}, schema=shape)
+                yield _rows(records(path, content), with_payload)
 
     return files.select("path", "content").mapInArrow(read, _RECORD)
 
 
+def read_written(written: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
+    """One row per record of the archives that ``write_archives`` returned, and of no other file in the folder.
+
+    An archive whose number of records is not the one written gives one more row, with ``problem``.
+    """
+    tasks = max(1, min(written.count(), 100_000))
+
+    def read(batches):
+        place, path = _open_folder(folder)
+        for batch in batches:
+            for name, count in zip(batch["name"].to_pylist(), batch["records"].to_pylist(), strict=True):
+                with place.open_input_stream(f"{path}/{name}", compression=None) as source:
+                    found = list(records(name, source.read()))
+                if len(found) != count:
+                    found.append({"archive": name, "problem": f"{len(found)} records of {count}"})
+                yield _rows(found, with_payload)
+
+    return written.select("name", "records").repartition(tasks).mapInArrow(read, _RECORD)
+
+
 def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write the pages to archives in the shared folder and read them back.
 
@@ -288,8 +314,7 @@ def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     folder = shared_folder(pages.sparkSession)
     place, path = _open_folder(folder)
     place.create_dir(path, recursive=True)
-    write_archives(pages, folder, min_bytes)
-    return read_archives(pages.sparkSession, folder, with_payload=False).drop("payload")
+    return read_written(write_archives(pages, folder, min_bytes), folder, with_payload=False).drop("payload")
 
 
 def op7(spark, folder: str) -> DataFrame:
