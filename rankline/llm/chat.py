@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 
-BAND = 64
 SEGMENT = 256
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 KEY = ["cid", "known"]  # known is false for the one conversation without an id
@@ -26,15 +25,16 @@ def _hash(seed: int, *columns: str) -> Column:
 def prefixes(turns: DataFrame) -> DataFrame:
     """Every turn with its position in the conversation, the conversation's length and the hash of the prefix it ends (p1, p2).
 
-    A conversation may hold a third of all rows: it is cut into bands of turn numbers, windows work inside a band,
-    and only one row per band is carried on.
+    A conversation may hold a third of all rows, all of one turn number even: the rows are cut into ranges of even size over the whole order,
+    windows work inside a conversation's part of a range (its band), and only one row per band is carried on.
     """
     rows = turns.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("cid"), F.col("conv_id").isNotNull().alias("known"),
         F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"),
     ).distinct()
-    rows = rows.withColumn("band", F.coalesce(F.floor(F.col("turn") / BAND), F.lit(2**62)))
-    inside = Window.partitionBy(*KEY, "band").orderBy(F.asc_nulls_last("turn"), F.asc_nulls_first("role"), F.asc_nulls_first("text"))
+    order = [F.asc_nulls_last("turn"), F.asc_nulls_first("role"), F.asc_nulls_first("text")]
+    rows = stored(rows.repartitionByRange(*KEY, *order).withColumn("band", F.spark_partition_id()))
+    inside = Window.partitionBy(*KEY, "band").orderBy(*order)
     rows = rows.withColumn("pos", F.row_number().over(inside) - 1)
 
     whole = Window.partitionBy(*KEY)
