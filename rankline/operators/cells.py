@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import digits_only, header_text, school_name, score_cell, strip, text_or_empty
+from ..session import written
+from .dictionary import Group, by_distinct
 from .settle import settled
 
 # Words that mark a header row, note rows and school sheets, and the column aliases, in order.
@@ -177,8 +179,11 @@ def gathered_rows(cells: DataFrame, sheet: Sequence[str]) -> DataFrame:
 
     Everything later reads these rows, so the cells are scanned and shuffled once.
     """
-    entry = F.when(F.col("value").isNotNull(), F.struct("col_idx", "value"))
-    rows = cells.groupBy(*sheet, "row_idx").agg(F.map_from_entries(F.collect_list(entry)).alias("cells")).where(F.size("cells") > 0)
+    cells = cells.where("value IS NOT NULL").groupBy(*sheet, "row_idx").agg(F.collect_list(F.struct("col_idx", "value")).alias("cells"))
+    # A column that a row repeats keeps its greatest value, so that any order of the cells gives the same map.
+    columns = F.array_distinct(F.transform("cells", lambda e: e["col_idx"]))
+    greatest = F.transform(columns, lambda c: F.array_max(F.filter("cells", lambda e: e["col_idx"] == c)))
+    rows = cells.withColumn("cells", F.map_from_entries(F.when(F.size(columns) == F.size("cells"), F.col("cells")).otherwise(greatest)))
     rows = settled(rows, ["row_idx", "cells", F.array_join(F.map_values("cells"), "\n").alias("line")], keep=sheet)
     line = F.col("line")
     hits = sum((F.contains(line, F.lit(w)).cast("int") for w in HEADER_WORDS), F.lit(0))
@@ -195,16 +200,21 @@ def sheet_facts(rows: DataFrame, sheet: Sequence[str], record_type: str) -> Data
     ``columns`` maps a canonical name to its column, ``unmapped`` counts the header words that no name took. Headers repeat over sheets: each
     distinct header (cleaned texts of the columns that hold values below it) is resolved once and joined back.
     """
-    place = F.struct("hits", (-F.col("row_idx")).alias("neg"))
+    # Most header words, then the first row, as one number: a plain aggregate without structs or maps.
+    code = F.col("hits").cast("long") * 2**32 + (2**31 - F.col("row_idx"))
     first = [F.min(F.when(F.col(w), F.col("row_idx"))).alias(f"{w}_row") for w in ("history", "physics")]
-    tops = rows.groupBy(*sheet).agg(F.max(F.when(F.col("hits").isNotNull(), place)).alias("top"), F.max_by("cells", F.when(F.col("hits").isNotNull(), place)).alias("head"), F.count("*").alias("raw_rows"), *first)
-    tops = tops.where("top IS NOT NULL").withColumn("header_row", F.when(F.col("top.hits") > 0, -F.col("top.neg")).otherwise(0).cast("int"))
-    last = rows.select(*sheet, "row_idx", F.explode(F.map_keys("cells")).alias("col_idx")).groupBy(*sheet, "col_idx").agg(F.max("row_idx").alias("last"))
-    last = last.groupBy(*sheet).agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "last"))).alias("last"))
-    head = F.when(-F.col("top.neg") == F.col("header_row"), F.map_entries("head")).otherwise(F.array())
-    present = F.filter(head, lambda e: F.try_element_at("last", e["key"]) > F.col("header_row"))
+    tops = rows.groupBy(*sheet).agg(F.max(code).alias("code"), F.count("*").alias("raw_rows"), *first).where("code IS NOT NULL")
+    top_row = 2**31 - F.col("code").bitwiseAND(F.lit(2**32 - 1))
+    tops = written(tops.withColumn("header_row", F.when(F.col("code") >= 2**32, top_row).otherwise(0).cast("int")))
+    placed = _on(rows.select(*sheet, "row_idx", "cells"), tops.select(*sheet, "header_row"), sheet)
+    head = placed.where("row_idx = header_row").where(F.col("row_idx") < HEADER_SCAN_ROWS).select(*sheet, "cells")
+    # Rows of a sheet mostly fill the same columns: combinations first, then columns.
+    filled = placed.where("row_idx > header_row").select(*sheet, F.array_sort(F.map_keys("cells")).alias("keys")).distinct()
+    filled = filled.select(*sheet, F.explode("keys").alias("col_idx")).groupBy(*sheet).agg(F.collect_set("col_idx").alias("filled"))
+    tops = _on(_on(tops, head, sheet, "left"), filled, sheet, "left")
+    present = F.filter(F.map_entries(F.coalesce("cells", F.create_map().cast("map<int,string>"))), lambda e: F.coalesce(F.array_contains("filled", e["key"]), F.lit(False)))
     texts = F.array_sort(F.transform(present, lambda e: F.struct(e["key"].alias("col_idx"), header_text(e["value"]).alias("header"))))
-    tops = _on(tops, last, sheet).withColumn("header", texts)
+    tops = tops.withColumn("header", texts)
     tops = tops.withColumn("sig", F.to_json("header"))
 
     signs = tops.groupBy("sig").agg(F.first("header").alias("header"))
@@ -254,8 +264,8 @@ def parse_sheets(
     """
     prefer = record_type == "rank" if prefer_sheet is None else prefer_sheet
     names = list(aliases_for(record_type))
-    gathered = gathered_rows(cells, sheet)
-    facts = sheet_facts(gathered, sheet, record_type)
+    gathered = written(gathered_rows(cells, sheet))
+    facts = written(sheet_facts(gathered, sheet, record_type))
     body = body_rows(gathered, facts.select(*sheet, "header_row", "columns"), sheet)
 
     def cell(name: str) -> Column:
@@ -273,20 +283,25 @@ def parse_sheets(
         return F.coalesce(F.col(f"has_{name}"), F.lit(False))
 
     batch = rules.school_batch_name if record_type == "school" else rules.batch_name
-    batch_text = F.when(has("batch"), F.col("batch")).otherwise(F.lit(DEFAULT_BATCHES.get(record_type)))
-    values: dict[str, Column] = {
+    out = written(out.withColumns({
         "year": F.when(has("year"), F.col("year")).otherwise(F.col("default_year").cast("string")),
-        "province": rules.province_name(F.when(has("province"), F.col("province")).otherwise(F.lit(default_province))),
-        "subject_type": F.coalesce(F.col("whole_subject"), F.when(has("subject_type"), rules.subject_name(F.col("subject_type")))),
-        "batch": F.when(batch_text.isNotNull() | has("batch"), batch(batch_text)),
+        "province": F.when(has("province"), F.col("province")).otherwise(F.lit(default_province)),
+        "batch": F.when(has("batch"), F.col("batch")).otherwise(F.lit(DEFAULT_BATCHES.get(record_type))),
+        **({"min_score": F.when(has("min_score"), F.col("min_score")).otherwise(F.col("score"))} if record_type == "school" else {}),
+    }))
+    # Texts repeat over rows and sheets; ranks and running counts hardly do, and are read row by row.
+    ruled = {"province": rules.province_name, "subject_type": rules.subject_name, "batch": batch, **{c: score_cell for c in SCORE_COLUMNS}, "plan_count": digits_only, "same_score_count": digits_only}
+    out = by_distinct(out, [Group((c,), lambda table, c=c, rule=rule: table.select(c, F.when(F.col(c).isNotNull(), rule(F.col(c))).alias(f"_{c}"))) for c, rule in ruled.items()])
+    values: dict[str, Column] = {
+        **{c: F.col(f"_{c}") for c in ruled},
+        "subject_type": F.coalesce(F.col("whole_subject"), F.when(has("subject_type"), F.coalesce(F.col("_subject_type"), F.lit("")))),
         "school_name": F.when(has("school_name"), school_name(F.col("school_name"))),
         "tie_breaker_text": strip(F.col("tie_breaker_text")),
-        **{c: score_cell(F.col(c)) for c in SCORE_COLUMNS},
-        **{c: digits_only(F.col(c)) for c in COUNT_COLUMNS},
+        **{c: digits_only(F.col(c)) for c in COUNT_COLUMNS if c not in ruled},
         "source_file": F.col("file_name"),
     }
-    if record_type == "school":
-        values["min_score"] = F.when(has("min_score"), score_cell(F.col("min_score"))).otherwise(score_cell(F.col("score")))
+    values["batch"] = F.when(F.col("batch").isNotNull() | has("batch"), F.coalesce(F.col("_batch"), F.lit("")))
+    values["province"] = F.coalesce(F.col("_province"), F.lit(""))
     out = out.withColumns(values)
     if record_type == "school":
         # Code and name stand in for each other only where the sheet lacks the column.

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import RECOGNISED_PREFIX, invalid_school_name, number, text_or_empty, text_or_null, to_int
-from ..session import cut_lineage
+from ..session import written
+from .ordered import asof_backward, numbered
 from .search import first_per
 from .settle import settled
 
@@ -155,94 +155,78 @@ def clean_metadata(df: DataFrame) -> DataFrame:
     return out.withColumns(columns)
 
 
-def _name_groups(names: DataFrame) -> DataFrame:
-    """Every name with the smallest name it is tied to. ``names``: a, b, two names of one row; repeated minimum until nothing changes."""
-    ties = names.where("a IS NOT NULL AND b IS NOT NULL").distinct()
-    ties = cut_lineage(ties.unionByName(ties.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    found = cut_lineage(ties.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("g")))
-    while True:
-        # The group of a name is the least group of its neighbours, then of that group's own name (which halves long chains).
-        near = ties.join(found.select(F.col("a").alias("b"), F.col("g").alias("h")), "b").groupBy("a").agg(F.min("h").alias("h"))
-        step = found.join(near, "a").select("a", "g", F.least("g", "h").alias("h"))
-        jump = step.select(F.col("a").alias("h"), F.col("h").alias("j"))
-        now = cut_lineage(step.join(jump, "h", "left").select("a", "g", F.least("h", F.coalesce("j", "h")).alias("new")))
-        changed = not now.where("g <> new").isEmpty()
-        found = now.select("a", F.col("new").alias("g"))
-        if not changed:
-            return found
-
-
-def _fold(columns: list[str]):
-    """Row-by-row upsert of the groups in a partition, which are sorted by group, stored rows first, then batch rows in order.
-
-    Only the records of one group are held. A match is looked up by standard name, then school name, then crossed names; a
-    row that is inserted or changes a record is found under its names by later rows, as are the record's former names.
-    """
+_BAND = 4096  # rows of a name or record that one window sorts
+
 
-    def run(batches):
-        group, records, standard, school, out = None, [], {}, {}, []
-
-        def flush():
-            done = [{**r, "_kind": "row", "_outcome": None} for r in records]
-            records.clear()
-            standard.clear()
-            school.clear()
-            return done
-
-        for batch in batches:
-            for row in batch.to_dict("records"):
-                if row["_group"] != group:
-                    out += flush()
-                    group = row["_group"]
-                data = {c: None if row[c] is None or row[c] != row[c] else row[c] for c in columns}
-                std, sch = data["standard_name"], data["school_name"]
-                if not row["_new"]:
-                    records.append(data)
-                    standard[std] = data
-                    if sch:
-                        school[sch] = data
-                    continue
-                hit = standard.get(std) or school.get(sch)
-                if hit is None and sch != std:
-                    hit = school.get(std) or standard.get(sch)
-                same = hit is not None and hit == data
-                out.append({**data, "_kind": "log", "_outcome": "inserted" if hit is None else "skipped" if same else "updated"})
-                if same:
-                    continue
-                if hit is None:
-                    hit = dict(data)
-                    records.append(hit)
-                else:
-                    hit.update(data)
-                standard[std] = school[sch] = hit
-            if out:
-                yield pd.DataFrame(out, columns=[*columns, "_kind", "_outcome"])
-                out = []
-        yield pd.DataFrame(flush(), columns=[*columns, "_kind", "_outcome"])
-
-    return run
+def _found(rows: DataFrame, writers: DataFrame) -> DataFrame:
+    """For every batch row (at): the last earlier writer under its standard name (s) and under its school name (n), and the one its record is found by (parent).
+
+    A name is looked up as standard name, then as school name, then the two crossed. All four lookups are one as-of join on (index, name).
+    """
+    entry = lambda kind, column: F.struct(F.lit(kind).alias("kind"), F.col(column).alias("name"))
+    entries = writers.select("at", F.inline(F.array(entry("standard", "standard_name"), entry("school", "school_name")))).where("name IS NOT NULL")
+    crossed = F.col("standard_name") != F.col("school_name")
+    ask = lambda place, kind, column: F.struct(F.lit(place).alias("place"), F.lit(kind).alias("kind"), F.col(column).alias("name"))
+    wanted = [ask(1, "standard", "standard_name"), ask(2, "school", "school_name"), F.when(crossed, ask(3, "school", "standard_name")), F.when(crossed, ask(4, "standard", "school_name"))]
+    asks = rows.where("_new").select(F.col("at").alias("row"), (F.col("at") - 0.5).alias("at"), F.inline(F.filter(F.array(*wanted), lambda a: a.isNotNull())))
+    hits = asof_backward(asks, entries, ["kind", "name"], "at", F.col("at"), _BAND)
+    told = asks.join(hits, ["kind", "name", "at"])
+    by = lambda place: F.max(F.when(F.col("place") == place, F.col("hit")))
+    return told.groupBy(F.col("row").alias("at")).agg(by(1).alias("s"), by(2).alias("n"), F.min_by("hit", F.when(F.col("hit").isNotNull(), F.col("place"))).alias("parent"))
+
+
+def _records(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The record (the row that began it) of every row: parents are followed by doubling, only those of rows that are not there yet."""
+    links = rows.select("at").join(found.select("at", "parent"), "at", "left").withColumn("parent", F.coalesce("parent", "at"))
+    now = written(links)
+    done = written(now.where("parent = at").select("at", F.col("at").alias("record")))
+    left = now.where("parent <> at")
+    while not left.isEmpty():
+        at_end = left.join(done.select(F.col("at").alias("parent"), "record"), "parent")
+        rest = left.join(done.select(F.col("at").alias("parent")), "parent", "left_anti")
+        jumps = rest.join(rest.select(F.col("at").alias("parent"), F.col("parent").alias("further")), "parent", "left")
+        jumped = at_end.select("at", "record", F.lit(None).cast("long").alias("parent")).unionByName(jumps.select("at", F.lit(None).cast("long").alias("record"), F.coalesce("further", "parent").alias("parent")))
+        jumped = written(jumped)
+        done = written(done.unionByName(jumped.where("record IS NOT NULL").select("at", "record")))
+        left = jumped.where("record IS NULL").select("at", "parent")
+    return done
 
 
 def upsert_metadata(stored: DataFrame, batch: DataFrame, order: list[str]) -> Upsert:
     """Match by standard name, else school name, else crossed names; insert, update or skip if equal, row after row.
 
-    Rows that can meet share a name with each other, at once or over other rows: names are grouped by that, and the rows of
-    a group are folded in ``order``. Groups are spread over tasks; stored rows whose names no batch row is tied to are left as they are.
+    The result is that of applying the rows one by one in ``order``: a row that is inserted or changes a record is found under its names by later
+    rows, as are the record's former names; a row equal to its record changes nothing. It is worked out without a loop over rows. Every row
+    finds its parent, the last earlier row under one of its names, by an as-of join; following parents gives its record; the row before it in
+    that record tells the outcome. Only a skipped row that would have changed which record a name finds breaks this order: such rows are taken
+    out of the names, and the step is repeated until there are no others. Names and records are cut into bands, so one name may be on any share of the rows.
     """
     columns = list(METADATA)
     rows = clean_metadata(batch)
-    old = stored.select(*columns, F.lit(False).alias("_new"), F.struct(F.col("standard_name").alias("_n0")).alias("_old"), F.lit(None).cast(rows.select(F.struct(*order)).schema[0].dataType).alias("_place"))
-    new = rows.select(*columns, F.lit(True).alias("_new"), F.lit(None).cast(old.schema["_old"].dataType).alias("_old"), F.struct(*order).alias("_place"))
-    both = old.unionByName(new)
-    groups = _name_groups(both.select(F.col("standard_name").alias("a"), F.coalesce("school_name", "standard_name").alias("b")))
-    both = both.join(groups.select(F.col("a").alias("standard_name"), F.col("g").alias("_group")), "standard_name")
-    touched = both.where("_new").select("_group").distinct()
-    work = both.join(touched, "_group", "left_semi").repartition("_group").sortWithinPartitions("_group", "_new", "_old", "_place")
-    schema = ", ".join(f"`{c}` {work.schema[c].dataType.simpleString()}" for c in columns) + ", _kind string, _outcome string"
-    done = cut_lineage(work.select(*columns, "_group", "_new").mapInPandas(_fold(columns), schema))
-    kept = both.where("NOT _new").join(touched, "_group", "left_anti").select(*columns)
-    table = kept.unionByName(done.where("_kind = 'row'").select(*columns))
-    return Upsert(table, done.where("_kind = 'log'").select(*columns, F.col("_outcome").alias("outcome")))
+    old = stored.select(*columns, F.lit(False).alias("_new"), F.lit(None).cast(rows.select(F.struct(*order)).schema[0].dataType).alias("_place"))
+    new = rows.select(*columns, F.lit(True).alias("_new"), F.struct(*order).alias("_place"))
+    rows = numbered(old.unionByName(new), ["_new", "_place", "standard_name", *[c for c in columns if c != "standard_name"]], "at").drop("_place")
+    data = F.struct(*columns)
+    silent = None
+    while True:
+        writers = rows if silent is None else rows.join(silent, "at", "left_anti")
+        found = written(_found(rows, writers))
+        records = _records(rows, found)
+        whole = written(rows.join(records, "at"))
+        before = asof_backward(whole.where("_new").select("record", (F.col("at") - 0.5).alias("at")), whole.select("record", "at", data.alias("data")), ["record"], "at", F.col("data"), _BAND)
+        log = whole.where("_new").join(before.select("record", (F.col("at") + 0.5).cast("long").alias("at"), F.col("hit").alias("earlier")), ["record", "at"], "left")
+        outcome = F.when(F.col("earlier").isNull(), "inserted").when(F.col("earlier").eqNullSafe(data), "skipped").otherwise("updated")
+        log = written(log.withColumn("outcome", outcome).drop("earlier"))
+        target = lambda c: records.select(F.col("at").alias(c), F.col("record").alias(f"{c}_record"))
+        skipped = log.where("outcome = 'skipped'").select("at", "record").join(found, "at").join(target("s"), "s", "left").join(target("n"), "n", "left")
+        would = ~F.col("record").eqNullSafe(F.col("s_record")) | ~F.col("record").eqNullSafe(F.col("n_record"))
+        now = written(skipped.where(would).select("at"))
+        same = now.isEmpty() if silent is None else now.join(silent, "at", "left_anti").isEmpty() and silent.join(now, "at", "left_anti").isEmpty()
+        if same:
+            break
+        silent = now
+    table = whole.groupBy("record").agg(F.max_by(data, "at").alias("data")).select("data.*")
+    return Upsert(table, log.select(*columns, "outcome"))
 
 
 def is_blank() -> Column:

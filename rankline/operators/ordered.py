@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def band_of(pos: Column, width: float) -> Column:
     return F.floor(pos / width)
@@ -95,3 +97,15 @@ def running_max_above(df: DataFrame, keys: Sequence[str], pos: str, value: str,
     higher = Window.partitionBy(*keys).orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
     bands = df.groupBy(*keys, "band").agg(F.max(value).alias("top")).select(*keys, "band", F.max("top").over(higher).alias("carried"))
     return df.join(bands, [*keys, "band"]).withColumn("above", F.greatest("in_band", "carried")).drop("band", "in_band", "carried")
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+    """Add ``name``: the place of the row in the whole order, from 0; rows that tie come in any order.
+
+    The rows are cut into ranges and numbered inside; only one row per range is carried on. The result is written.
+    """
+    parts = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over the ranges, not the rows
+    starts = parts.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return written(parts.withColumn(name, place).join(starts, "_part").withColumn(name, (F.col(name) + F.col("_start")).cast("long")).drop("_part", "_start"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,8 +106,26 @@ def typed_records(df: DataFrame, record_type: str) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns, F.lit(record_type).alias("_record_type"))).alias("record"))
 
 
+def check_read_only(spark: SparkSession, sql: str) -> None:
+    """Raise ValueError unless the text is one query: the parsed plan must hold no command and no statement that writes.
+
+    ``spark.sql`` runs commands (DDL, SET, INSERT and the like) at once, so the plan is parsed and looked at before.
+    """
+    kind = spark.sparkContext._jvm.java.lang.Class.forName
+    package = "org.apache.spark.sql.catalyst.plans.logical"
+    refused = [kind(f"{package}.{name}") for name in ("Command", "ParsedStatement", "InsertIntoDir")]
+    waiting = [spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)]
+    while waiting:
+        plan = waiting.pop()
+        if any(c.isInstance(plan) for c in refused):
+            raise ValueError(f"only queries are allowed, not {plan.nodeName()}")
+        for part in (plan.children(), plan.innerChildren()):
+            waiting += [part.apply(i) for i in range(part.size()) if kind(f"{package}.LogicalPlan").isInstance(part.apply(i))]
+
+
 def query_tables(spark: SparkSession, sql: str, tables: dict[str, DataFrame], **args) -> DataFrame:
-    """Read-only SQL with named parameters over the given tables, which it names in braces."""
+    """SQL with named parameters over the given tables, which it names in braces. Anything but a query is refused before it runs."""
+    check_read_only(spark, re.sub(r"\{(\w+)\}", r"`\1`", sql))
     return spark.sql(sql, args=args, **tables)
 
 

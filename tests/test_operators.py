@@ -2,9 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from rankline.operators import items, load, lookup, metajoin, rangetop
+from rankline.operators import cells, items, load, lookup, metajoin, rangetop
 from rankline.operators.ordered import asof_forward, running_start, with_next
 from rankline.sources.html import page_cells
 
@@ -126,12 +127,11 @@ def upsert_row_by_row(stored, batch):
     return records, outcomes
 
 
-def test_upsert_follows_rows_inside_a_batch(spark):
-    import random
-
+@pytest.mark.parametrize("seed, names, rows", [(5, 14, 60), (6, 4, 70), (7, 3, 40)])
+def test_upsert_follows_rows_inside_a_batch(spark, seed, names, rows):
     from rankline.operators.load import METADATA, upsert_metadata
 
-    rng = random.Random(5)
+    rng = random.Random(seed)
 
     def row(std, sch, city):
         flags = {c: False for c in METADATA if c.startswith("is_")}
@@ -139,7 +139,7 @@ def test_upsert_follows_rows_inside_a_batch(spark):
 
     stored = [row(f"s{i}", f"c{i % 7}" if i % 2 else f"s{i}", "x") for i in range(12)]
     batch = [row("A", "X", "one"), row("B", "X", "two"), row("B", "X", "two"), row("X", "C", "three")]
-    batch += [row(rng.choice("stuv") + str(rng.randrange(14)), rng.choice([None, f"c{rng.randrange(9)}", f"s{rng.randrange(14)}"]), rng.choice("xy")) for _ in range(60)]
+    batch += [row(rng.choice("stuv") + str(rng.randrange(names)), rng.choice([None, f"c{rng.randrange(9)}", f"s{rng.randrange(names)}"]), rng.choice("xy")) for _ in range(rows)]
     schema = ", ".join(f"{c} {'boolean' if c.startswith('is_') else 'string'}" for c in METADATA)
     old = spark.createDataFrame([[r[c] for c in METADATA] for r in stored], schema)
     new = spark.createDataFrame([[*[r[c] for c in METADATA], i] for i, r in enumerate(batch)], schema + ", row_no int")
@@ -155,3 +155,12 @@ def test_spans_reach_beyond_the_last_row():
 
     assert page_cells("<table><tr><td rowspan=3>a</td><td>b</td></tr></table>") == [(0, 0, 0, "a"), (0, 0, 1, "b"), (0, 1, 0, "a"), (0, 1, 1, None), (0, 2, 0, "a"), (0, 2, 1, None)]
     assert len(page_cells("<table><tr><td colspan=99999999>a</td></tr></table>")) == 1000
+
+
+def test_sheet_with_repeated_cells_keeps_the_greatest_value(spark):
+    cells_ = [(1, 0, 0, "院校代号"), (1, 0, 1, "投档最低分"), (1, 1, 0, "A1"), (1, 1, 1, "600"), (1, 1, 1, "601"), (1, 1, 1, None), (1, 2, 0, None)]
+    df = spark.createDataFrame(cells_, "file_id int, row_idx int, col_idx int, value string")
+    rows = {r.row_idx: r.cells for r in cells.gathered_rows(df, ["file_id"]).collect()}
+    assert rows == {0: {0: "院校代号", 1: "投档最低分"}, 1: {0: "A1", 1: "601"}}
+    facts = cells.sheet_facts(cells.gathered_rows(df, ["file_id"]), ["file_id"], "school").collect()[0]
+    assert facts.header_row == 0 and facts.raw_rows == 2 and facts["columns"]["min_score"] == 1
