@@ -79,7 +79,7 @@ class Page:
     """Elements of one page in order (parents first), its text in blocks of (element, text) pieces, and a hash of every element.
 
     One scan from left to right: raw elements (scripts and the like) are skipped as they come, so nothing in them is markup; comments end at
-    ``-->``, or where there is none at the next ``>``; a tag that never ends is dropped with what follows.
+    ``-->``, or where there is none at the next ``>``; what looks like a tag and never ends is text.
     """
 
     __slots__ = ("source", "tags", "parents", "contents", "bad", "wrapper", "remark", "teaser", "main", "blocks", "_lower", "_missing")
@@ -166,6 +166,7 @@ class Page:
                         continue
                 end = self._find(">", at)
                 if end < 0:
+                    text(source[begin:])
                     break
                 at = end + 1
                 continue
@@ -177,6 +178,7 @@ class Page:
                 continue
             at = self._tag_end(found.end())
             if at < 0:
+                text(source[begin:])
                 break
             name, attributes = found[0].lower(), source[found.end():at - 1]
             if name not in INLINE and name not in QUIET and block:

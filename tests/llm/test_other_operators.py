@@ -8,6 +8,7 @@ import __spark_entry__
 import numpy as np
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 from rankline.llm import catalog, chat, components, epsgrid, htmltext, omh, sharding, warc
 from test_text_operators import AWKWARD, brute_classes, docs, words
 
@@ -59,7 +60,7 @@ def test_large_group_of_near_copies_is_one_class(spark):
     rows = [(i, edited(text, rng, i % 3) if i else text, "a") for i in range(150)]
     want = brute_classes(rows)
     got = {r.doc_id: r.class_id for r in omh.near_duplicates(docs(spark, rows), whole=8).collect()}
-    assert np.mean([got[i] == want[i] for i in got]) > 0.98
+    assert got == want
 
 
 def drifting(seed, n, chains=3, reach=4):
@@ -97,6 +98,16 @@ def test_text_classes_of_awkward_rows(spark):
     assert omh.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_rows_that_share_an_id_but_not_a_text_stay(spark):
+    a, b, c = words(1, 60), words(2, 60), words(3, 60)
+    rows = [(1, a, "s"), (1, b, "s"), (1, b, "s"), (2, a, "s"), (3, c, "s"), (3, c, "s"), (4, c + " x", "s"), (None, a, "s"), (5, None, "s"), (5, "", "s"), (6, b + " y", "s")]
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.text or "") for r in omh.keep_one(docs(spark, rows)).collect()))
+    # 1 holds two texts; 2 stands for the first of them, 6 for the second. 3 stands for 4.
+    assert got == sorted([(False, 2, a), (False, 6, b + " y"), (False, 3, c), (True, 0, a), (False, 5, ""), (False, 5, "")])
+    alone = [(1, a, "s"), (1, b, "s"), (1, b, "s"), (1, a + " z", "s")]
+    assert sorted(r.text for r in omh.keep_one(docs(spark, alone)).collect()) in (sorted([a, b]), sorted([a + " z", b]))
+
+
 def test_alignment_is_the_longest_common_subsequence():
     rng = np.random.default_rng(6)
     for _ in range(200):
@@ -171,6 +182,19 @@ def test_embedding_links_agree_with_brute_force(spark):
     assert epsgrid.link_embeddings(frame.limit(0)).count() == 0
 
 
+def test_links_of_vectors_of_any_magnitude_and_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(epsgrid, "TOP", 2)
+    monkeypatch.setattr(epsgrid, "INTERVAL", 2)
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(6, 5))
+    rows = [(i, ((base[i % 6] + rng.normal(size=5) * 0.02) * 10.0 ** float(rng.integers(-200, 200))).tolist(), 0) for i in range(150)]
+    rows += [(500, [1e-200, 0.0, 0.0, 0.0, 0.0], 1), (501, [1e200, 1e190, 0.0, 0.0, 0.0], 1), (502, [1e200] * 5, 1), (503, [1e-300] * 5, 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in epsgrid.link_embeddings(frame, per_block=8).collect()}
+    scaled = [(i, (np.array(v) / np.abs(v).max()).tolist(), p) for i, v, p in rows]
+    assert got == {i: (n, c) for i, n, c, _ in brute_links(scaled)}
+
+
 # ---- chats
 
 
@@ -194,6 +218,18 @@ def test_equal_chats_keep_the_smallest_id(spark):
     assert [(r.conv_id, r.n_copies) for r in chat.format_chats(frame).collect()] == [(3, 3)]
 
 
+def test_a_third_of_the_turns_in_one_conversation_and_of_one_number(spark):
+    rows = [(None, 0, "user", f"lost {i:04d}") for i in range(400)] + [(c, t, "user", f"m{c % 7} {t}") for c in range(100) for t in range(8)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    placed = chat.prefixes(frame)
+    sizes = [r["count"] for r in placed.where("NOT known").groupBy(F.expr("pos div 100")).count().collect()]
+    assert sizes == [100] * 4
+    got = {(r.conv_id, r.segment): r for r in chat.format_chats(frame).collect()}
+    assert set(got) == {(None, 0), (None, 1)} | {(c, 0) for c in range(7)}
+    assert (got[None, 0].rendered + got[None, 1].rendered).count("lost ") == 400 and got[None, 0].rendered.index("lost 0001") < got[None, 0].rendered.index("lost 0002")
+    assert all(got[c, 0].n_copies == sum(x % 7 == c for x in range(100)) for c in range(7))
+
+
 # ---- pages
 
 PARTS = {
@@ -255,6 +291,19 @@ def test_pages_survive_the_archive(spark):
     assert warc.archive_pages(frame.limit(0)).count() == 0
 
 
+def test_a_task_that_ran_twice_in_another_order_leaves_each_page_once(spark, tmp_path):
+    rows = [(i, f"https://x.example/{i}", f"<p>{words(i, 400)}</p>") for i in range(60)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"file://{tmp_path}"
+    lost = warc.write_archives(frame.orderBy(F.desc("page_id")).coalesce(1), folder, archive_bytes=5_000)  # files of an attempt that did not count
+    kept = warc.write_archives(frame.coalesce(1), folder, archive_bytes=20_000)
+    found = warc.read_written(kept, folder).collect()
+    assert sorted(r.page_id for r in found) == list(range(60)) and not any(r.problem for r in found)
+    assert warc.read_archives(spark, folder).count() == 120 and lost.count() > kept.count()
+    short = kept.withColumn("records", F.col("records") + 1)
+    assert [r.problem for r in warc.read_written(short.limit(1), folder).where("problem IS NOT NULL").collect()][0].endswith("records of %d" % (kept.first().records + 1))
+
+
 def archive(pages, dictionary=b"some words that pages share " * 20):
     packer = zstandard.ZstdCompressor(dict_data=warc.as_dictionary(dictionary))
     out = [warc.record_bytes(i, "u", p, hashlib.sha1(p).hexdigest(), None, "0", "2024-01-01T00:00:00Z") for i, p in enumerate(pages)]

@@ -122,6 +122,17 @@ def test_verdicts_of_documents(spark, awkward, empty):
 # ---- sharding
 
 
+def test_sample_is_bounded_and_ties_on_a_threshold_are_judged_alike(spark):
+    rows = [(i % 40 if i % 3 else 7, " ".join(["w%d" % (k % (60 if i % 2 else 12)) for k in range(80)]), "a") for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2 == 0 and 0 or 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    table = docs(spark, rows)
+    judged = quality.quality_verdicts(table, labels).collect()
+    verdicts = {(tuple(r[c] for c in quality._STAT_FIELDS), r.base_failed, r.rule, r.kept) for r in judged}
+    assert len(verdicts) == len({v[0] for v in verdicts}) == 2 and len(judged) == len(rows)
+    stats = quality.statistics(table)
+    assert str(quality.fit(stats, labels, sample=5)) and str(quality.fit(stats, labels, sample=20_000))
+
+
 def check_shards(got, rows, shards, tolerance):
     assert sorted(((r.doc_id is None, r.doc_id or 0), r.size, r.text_crc32) for r in got) == sorted(((i is None, i or 0), len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, _ in rows)
     by = defaultdict(list)
