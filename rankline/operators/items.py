@@ -5,6 +5,7 @@ Input is one long table of items: ``image_id``, ``x_center``, ``y_center``, ``te
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,36 +60,29 @@ def engine_items(images: DataFrame, raw: str) -> DataFrame:
 def line_numbers(items: DataFrame, tolerance: float = Y_TOLERANCE) -> DataFrame:
     """Row number per distinct (image_id, y_center).
 
-    Items sorted by y join the current row while they are within the tolerance of its running
-    mean. Items of equal y always share a row, because the mean never exceeds the last y; and a gap
-    above the tolerance always starts a row. So only the distinct heights between two gaps form a
-    sequence, with the number of items as weight: its length is bounded by the pixel heights of an
-    image and not by its items, and one fold over the sorted heights carries (row, mean, n).
+    Items sorted by y join the current row while they are within the tolerance of its running mean. Items of equal y always share a row, because
+    the mean never exceeds the last y. So only the distinct heights form a sequence, with the number of items as weight: its length is bounded
+    by the pixel heights of an image and not by its items. One pass over the sorted heights carries (row, mean, n), and takes time in proportion to them.
     """
     heights = items.groupBy("image_id", F.col("y_center").alias("y")).agg(F.count("*").alias("n"))
-    order = Window.partitionBy("image_id").orderBy("y")
-    gap = F.coalesce((F.col("y") - F.lag("y").over(order)) > tolerance, F.lit(True))
-    heights = heights.withColumn("gap", gap.cast("int")).withColumn(
-        "segment", F.sum("gap").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    lists = heights.groupBy("image_id", "segment").agg(F.array_sort(F.collect_list(F.struct("y", F.col("n").cast("double").alias("n")))).alias("ys"))
-    state = "struct<row:int,mean:double,n:double,out:array<struct<y:double,row:int>>>"
-    start = F.from_json(F.lit('{"row":-1,"mean":0.0,"n":0.0,"out":[]}'), state)
-
-    def step(acc: Column, item: Column) -> Column:
-        joins = (acc["row"] >= 0) & (F.abs(item["y"] - acc["mean"]) <= tolerance)
-        row = F.when(joins, acc["row"]).otherwise(acc["row"] + 1)
-        n = F.when(joins, acc["n"] + item["n"]).otherwise(item["n"])
-        mean = F.when(joins, (acc["mean"] * acc["n"] + item["y"] * item["n"]) / n).otherwise(item["y"])
-        out = F.concat(acc["out"], F.array(F.struct(item["y"].alias("y"), row.alias("row"))))
-        return F.struct(row.alias("row"), mean.alias("mean"), n.alias("n"), out.alias("out")).cast(state)
-
-    folded = lists.select("image_id", "segment", F.aggregate("ys", start, step).alias("f"))
-    before = Window.partitionBy("image_id").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    folded = folded.withColumn("base", F.coalesce(F.sum(F.col("f.row") + 1).over(before), F.lit(0)))
-    return folded.select("image_id", "base", F.explode("f.out").alias("o")).select(
-        "image_id", F.col("o.y").alias("y_center"), (F.col("base") + F.col("o.row")).cast("int").alias("row_id")
-    )
+
+    def run(batches):
+        image = row = mean = weight = None
+        for batch in batches:
+            rows = []
+            for i, y, n in zip(batch["image_id"].to_pylist(), batch["y"].to_pylist(), batch["n"].to_pylist(), strict=True):
+                if row is None or i != image:
+                    image, row, mean, weight = i, 0, y, n
+                elif abs(y - mean) <= tolerance:
+                    mean, weight = (mean * weight + y * n) / (weight + n), weight + n
+                else:
+                    row, mean, weight = row + 1, y, n
+                rows.append(row)
+            yield pa.RecordBatch.from_arrays([batch["image_id"], batch["y"], pa.array(rows, pa.int32())], names=["image_id", "y_center", "row_id"])
+
+    schema = f"image_id {items.schema['image_id'].dataType.simpleString()}, y_center double, row_id int"
+    ordered = heights.select("image_id", F.col("y").cast("double").alias("y"), "n").repartition("image_id").sortWithinPartitions("image_id", "y")
+    return ordered.mapInArrow(run, schema)
 
 
 def cluster_rows(items: DataFrame, tolerance: float = Y_TOLERANCE) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import fold, text_or_empty
-from ..session import cut_lineage
 from . import stats
 from .lookup import KEYS, convert_between_years
 from .rangetop import LIMIT_DEFAULT, LIMIT_MAX, range_top
@@ -88,9 +87,8 @@ def schools_by_score(requests: DataFrame, schools: DataFrame) -> DataFrame:
 def schools_by_equivalent_score(requests: DataFrame, ranks: DataFrame, schools: DataFrame) -> DataFrame:
     """Requests (from_year, to_year, province, subject_type, score, tolerance, limit): schools of the
     target year around the score that has the same rank there."""
-    # The converted requests are read twice (ranges, then answers); they are computed once.
-    converted = cut_lineage(convert_between_years(requests, ranks))
-    ranges = converted.withColumn("year", F.col("to_year")).withColumn(
+    ranges = convert_between_years(requests, ranks)
+    ranges = ranges.withColumn("year", F.col("to_year")).withColumn(
         "lo", (F.col("equivalent_score") - F.col("tolerance")).cast("double")
     ).withColumn("hi", (F.col("equivalent_score") + F.col("tolerance")).cast("double")).withColumn(
         "limit", rules.clamp_limit(F.col("limit"), LIMIT_DEFAULT, LIMIT_MAX)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import query_mode, text_or_empty
+from ..session import written
 
 
 def stack(frames: list[DataFrame]) -> DataFrame:
@@ -146,11 +148,37 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = 20) -> DataFram
     )
 
 
-def box_statistics(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Exact five-number summary per group from value counts (never from a list of rows)."""
+def values_at(df: DataFrame, group: str, value: str, shares: Sequence[float]) -> DataFrame:
+    """Exact percentiles per group, one array ``q`` in order of the shares, with linear interpolation between neighbours.
+
+    Values are counted first. The counts are cut into ranges of the order (group, value); running sums inside a range, and over one row per range, give the
+    position of every distinct value, and the few values around a wanted position are picked by it. No buffer holds a group's values.
+    """
     counts = df.where(F.col(value).isNotNull()).groupBy(group, F.col(value).cast("double").alias("x")).agg(F.count("*").alias("n"))
-    q = F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q")
-    return counts.groupBy(group).agg(F.min("x").alias("low"), q, F.max("x").alias("high"), F.sum("n").alias("n")).select(
+    counts = written(counts.repartitionByRange(group, "x").withColumn("band", F.spark_partition_id()))
+    inside = Window.partitionBy(group, "band").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(group).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = counts.groupBy(group, "band").agg(F.sum("n").alias("m"))
+    bands = bands.select(group, "band", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start"), F.sum("m").over(Window.partitionBy(group)).alias("total"))
+    placed = counts.withColumn("to", F.sum("n").over(inside)).join(bands.withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g")) & (counts["band"] == bands["band"])).drop("_g")
+    placed = placed.withColumn("to", F.col("to") + F.col("start")).withColumn("from", F.col("to") - F.col("n"))
+    place = lambda s: (F.col("total") - 1) * F.lit(float(s))
+    at = lambda k: F.max(F.when((F.col("from") <= k) & (k < F.col("to")), F.col("x")))
+    sides = [(at(F.floor(place(s))), at(F.ceil(place(s)))) for s in shares]
+    found = placed.groupBy(group).agg(F.max("total").alias("total"), *[c.alias(f"{side}{i}") for i, pair in enumerate(sides) for side, c in zip(("lo", "hi"), pair)])
+
+    def between(i: int, s: float) -> Column:
+        low, high = F.floor(place(s)), F.ceil(place(s))
+        return F.when((low == high) | (F.col(f"lo{i}") == F.col(f"hi{i}")), F.col(f"lo{i}")).otherwise((high - place(s)) * F.col(f"lo{i}") + (place(s) - low) * F.col(f"hi{i}"))
+
+    return found.select(group, F.array(*[between(i, s) for i, s in enumerate(shares)]).alias("q"))
+
+
+def box_statistics(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Exact five-number summary per group, and the number of values."""
+    quartiles = values_at(df, group, value, (0.25, 0.5, 0.75)).withColumnRenamed(group, "_g")
+    ends = df.where(F.col(value).isNotNull()).groupBy(group).agg(F.min(F.col(value).cast("double")).alias("low"), F.max(F.col(value).cast("double")).alias("high"), F.count("*").alias("n"))
+    return ends.join(quartiles, F.col(group).eqNullSafe(F.col("_g"))).select(
         group, "low", F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("median"), F.get("q", F.lit(2)).alias("q3"), "high", "n"
     )
 

@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import written
+
 BASE = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -150,6 +152,10 @@ class Inputs:
     def view(self, name: str) -> DataFrame:
         return _BUILT[name](self) if name in _BUILT else self.sql(f"SELECT * FROM {name}")
 
+    def once(self, name: str) -> DataFrame:
+        """A derived table that a query reads several times, written once."""
+        return written(self.view(name))
+
     def sql(self, body: str) -> DataFrame:
         """Input shaping written in SQL over given and derived tables."""
         names = _closure(_named(body), stop=tuple(_BUILT))

@@ -3,8 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..operators import items, load, normalize, validate
-from ..session import cut_lineage
+from ..operators import cache, items, load, normalize, validate
+from ..session import cut_lineage, shared_folder
 from .inputs import define
 from .registry import query
 
@@ -308,6 +308,49 @@ def cache_hits(t):
     return items.cache_split(keys, cache).groupBy("engine").agg(F.count("*").alias("images"), F.count_if("cache_hit").alias("cache_hits"))
 
 
+# Every page as a file of its own; files with equal bytes are one content.
+define("page_contents", "SELECT page_id, sha256(html || chr(10)) AS content_key, html FROM {pages}")
+
+
+def _precomputed(t):
+    """Files of all pages through the cache: a first run over the first pages of each host, then a run over all, then the same again."""
+    folder = shared_folder(t.spark)
+    pages = t.pages.select("page_id", F.col("html").alias("value"), F.when(F.col("page_id") % 2 == 0, "even").otherwise("odd").alias("part"))
+    pages.write.partitionBy("part", "page_id").text(folder + "/files")
+    store = cache.ItemCache(t.spark, folder + "/cache")
+
+    def recognise(contents):
+        # Stands for an engine: the start tags of the page as its items.
+        texts = contents.select("content_key", F.col("content").cast("string").alias("text"))
+        tags = F.regexp_extract_all("text", F.lit("<([a-z][a-z0-9]*)"), F.lit(1))
+        return texts.select("content_key", F.to_json(F.transform(tags, lambda w: F.struct(w.alias("text")))).alias("items"))
+
+    runs = []
+    for number, part in enumerate(("/part=even", "", "")):
+        seen = store.run(cache.files_of(t.spark, folder + "/files" + part, "*.txt"), "base", recognise, f"run {number}")
+        runs.append(seen.select(F.lit(number + 1).alias("run"), "path", "content_key", "cache_hit"))
+    return store, runs
+
+
+@query("K20_runs_over_a_kept_cache", """
+WITH k AS (SELECT page_id, content_key, bool_or(page_id % 2 = 0) OVER (PARTITION BY content_key) AS early FROM page_contents)
+SELECT CAST(1 AS INT) AS run, count(*) AS files, count(DISTINCT content_key) AS contents, CAST(0 AS BIGINT) AS hits FROM k WHERE page_id % 2 = 0
+UNION ALL SELECT 2, count(*), count(DISTINCT content_key), count(*) FILTER (early) FROM k UNION ALL SELECT 3, count(*), count(DISTINCT content_key), count(*) FROM k""")
+def runs_over_a_kept_cache(t):
+    _, runs = _precomputed(t)
+    return runs[0].unionByName(runs[1]).unionByName(runs[2]).groupBy("run").agg(
+        F.count("*").alias("files"), F.count_distinct("content_key").alias("contents"), F.count_if("cache_hit").alias("hits")
+    )
+
+
+@query("C31_cached_items", """
+SELECT DISTINCT content_key, len(regexp_extract_all(html, '<([a-z][a-z0-9]*)', 1)) AS n, regexp_extract(html, '<([a-z][a-z0-9]*)', 1) AS first_text FROM page_contents""")
+def cached_items(t):
+    store, _ = _precomputed(t)
+    loaded = store.rows().select("content_key", items.load_items(F.col("items")).alias("i"))
+    return loaded.select("content_key", F.size("i").cast("long").alias("n"), F.get("i", F.lit(0))["text"].alias("first_text"))
+
+
 @query("K21_first_images", "SELECT 'img/' || u || '.png' AS path FROM (SELECT DISTINCT user_id AS u FROM events) x ORDER BY u LIMIT 40")
 def first_images(t):
     rows = t.events.select(F.concat(F.lit("img/"), F.col("user_id").cast("string"), F.lit(".png")).alias("path"), F.col("event_type").alias("source_title"), F.lit("a").alias("attachment_title"))

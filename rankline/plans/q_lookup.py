@@ -75,7 +75,7 @@ SELECT province, subject_type, from_year, to_year, score, CAST(estimated_rank AS
        from_exact_match, CAST(equivalent_score AS INT) AS equivalent_score, CAST(to_matched_cumulative_count AS INT) AS to_matched_cumulative_count
 FROM converted""")
 def score_between_years(t):
-    return lookup.convert_between_years(t.probe_years, t.rank_fx).select(
+    return lookup.convert_between_years(t.probe_years, t.once("rank_fx")).select(
         "province", "subject_type", "from_year", "to_year", "score", "estimated_rank", "from_matched_score", "from_exact_match",
         "equivalent_score", "to_matched_cumulative_count",
     )
@@ -97,7 +97,7 @@ SELECT from_year, to_year, province, subject_type, score, CAST(equivalent_score
 WHERE place <= {LIMIT_DEFAULT}""")
 def schools_by_equivalent_score(t):
     requests = t.probe_years.withColumn("tolerance", F.lit(10)).withColumn("limit", F.lit(0))
-    hits = search.schools_by_equivalent_score(requests, t.rank_fx, t.school_fx)
+    hits = search.schools_by_equivalent_score(requests, t.once("rank_fx"), t.once("school_fx"))
     return hits.select("from_year", "to_year", "province", "subject_type", "score", "equivalent_score", "total", "place", *_OUT)
 
 
@@ -116,7 +116,7 @@ WHERE place <= {limit}"""
     between="s.min_rank BETWEEN greatest(1, p.q - 1000) AND p.q + 1000"))
 def schools_by_rank(t):
     requests = t.probe_rank.select("*", F.col("q").alias("rank"), F.lit(1000).alias("tolerance"), F.lit(20).alias("limit"))
-    hits = search.schools_by_rank(requests, t.school_fx)
+    hits = search.schools_by_rank(requests, t.once("school_fx"))
     return hits.select(*_REQUEST, "total", "place", *_OUT)
 
 
@@ -126,7 +126,7 @@ def schools_by_rank(t):
             HAVING avg(CASE WHEN min_score IS NULL THEN 1.0 ELSE 0.0 END) <= 0.8)"""))
 def schools_by_score(t):
     requests = t.probe_score.select("*", F.col("q").alias("score"), F.lit(5).alias("tolerance"), F.lit(20).alias("limit"))
-    hits = search.schools_by_score(requests, t.school_fx)
+    hits = search.schools_by_score(requests, t.once("school_fx"))
     return hits.select(*_REQUEST, "total", "place", *_OUT)
 
 

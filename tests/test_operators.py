@@ -164,3 +164,37 @@ def test_sheet_with_repeated_cells_keeps_the_greatest_value(spark):
     assert rows == {0: {0: "院校代号", 1: "投档最低分"}, 1: {0: "A1", 1: "601"}}
     facts = cells.sheet_facts(cells.gathered_rows(df, ["file_id"]), ["file_id"], "school").collect()[0]
     assert facts.header_row == 0 and facts.raw_rows == 2 and facts["columns"]["min_score"] == 1
+
+
+def test_rows_of_a_hundred_thousand_heights_take_seconds(spark):
+    import time
+
+    heights = [10 + 1.5 * i + (i * 7919 % 13) / 10 for i in range(100_000)]
+    df = spark.createDataFrame([(1, y) for y in heights], "image_id int, y_center double").repartition(4)
+    start = time.time()
+    got = {r.y_center: r.row_id for r in items.line_numbers(df, 18.0).collect()}
+    assert time.time() - start < 30
+    row = mean = n = None
+    for y in sorted(heights):
+        if row is None or abs(y - mean) > 18.0:
+            row, mean, n = 0 if row is None else row + 1, y, 1
+        else:
+            mean, n = (mean * n + y) / (n + 1), n + 1
+        assert got[y] == row
+
+
+def test_exact_quartiles_against_numpy(spark):
+    import numpy as np
+    from rankline.operators import stats
+
+    rng = random.Random(9)
+    rows = [(rng.choice("abc"), rng.choice([rng.randint(0, 9) * 1.0, rng.random() * 50, None])) for _ in range(500)] + [("d", 1.0), ("e", 2.0), ("e", 5.0), (None, 3.0), ("f", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    got = {r.g: (r.low, r.q1, r.median, r.q3, r.high, r.n) for r in stats.box_statistics(df, "g", "v").collect()}
+    want = {}
+    for g in {g for g, v in rows if v is not None}:
+        v = np.array([v for k, v in rows if k == g and v is not None])
+        want[g] = (v.min(), *np.percentile(v, [25, 50, 75]), v.max(), len(v))
+    assert set(got) == set(want)
+    for g in want:
+        assert got[g] == pytest.approx(want[g], rel=1e-12)
