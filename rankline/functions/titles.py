@@ -198,3 +198,11 @@ def province_metadata(slug: Column, title: Column, context: Column) -> tuple[Col
 def importable(slug: Column, category: Column) -> Column:
     """Provinces with rules take ordinary rows only, others take all."""
     return ~slug.isin(*CATEGORY_RULES) | F.coalesce(category == "普通类", F.lit(False))
+
+
+def record_type_rules() -> list[tuple[str, tuple[tuple[str, ...], ...]]]:
+    """The rules of ``record_type`` as an ordered list: a result, and groups of words of each of which one must occur."""
+    return [
+        ("rank", (RANK_WORDS,)), ("school", (("投档线", "投档情况"), NOT_CONTROL_WORDS)), ("unknown", (NOT_CONTROL_WORDS,)), ("control", (CONTROL_WORDS,)),
+        ("school", (SCHOOL_WORDS,)), ("major", (("专业录取",),)), ("unknown", ()),
+    ]

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .dictionary import Group, by_distinct
 
@@ -115,3 +116,13 @@ def first_rules(df: DataFrame, column: str, lists: Mapping[str, Sequence[Rule]])
         return texts.toDF("text").mapInArrow(walk, schema).withColumnRenamed("text", column)
 
     return by_distinct(df, [Group((column,), evaluate)])
+
+
+def first_rules_by(
+    df: DataFrame, key: str, column: str, sets: Mapping[str, Mapping[str, Sequence[Rule]]], plain: Mapping[str, Sequence[Rule]] | None = None,
+) -> DataFrame:
+    """``df`` with a text column per set: the result of the list that the set has for the row's ``key``, null where it has none. ``plain``: lists for all rows."""
+    names = {(name, k): f"_{name}_{i}" for name, lists in sets.items() for i, k in enumerate(lists)}
+    found = first_rules(df, column, {names[name, k]: rules for name, lists in sets.items() for k, rules in lists.items()} | dict(plain or {}))
+    picked = {name: F.try_element_at(F.create_map(*[x for k in lists for x in (F.lit(k), F.col(names[name, k]))]), F.col(key)) for name, lists in sets.items()}
+    return found.withColumns(picked).drop(*names.values())

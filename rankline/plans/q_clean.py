@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..operators import load, normalize, validate
+from ..operators import load, normalize, observed, validate
 from ..operators.tablelog import TableLog
 from ..session import shared_folder
 from . import sqlbits as q
@@ -135,6 +135,17 @@ def pipeline_stage_counts(t):
     )
 
 
+@query("D9_counts_of_the_writing_pass", f"""
+WITH n AS ({_SCHOOL}), m AS (SELECT *, {_missing('year', 'province', 'subject_type', 'school_name')} AS m FROM n), e AS (SELECT *, {_ERROR} AS error FROM m)
+SELECT count(*) AS parsed, count(*) AS normalized, count(*) FILTER (error IS NULL) AS valid, count(error) AS failed, count(*) FILTER (error IS NULL) AS rows_stored FROM e""")
+def counts_of_the_writing_pass(t):
+    raw = _typed(t)
+    schema = normalize.normalize_school(raw.limit(0), year=2024, province="广东").schema
+    log = TableLog(t.spark, shared_folder(t.spark) + "/schools", schema)
+    counts = observed.school_rows_loaded(raw, log, "one", year=2024, province="广东")
+    return counts.withColumn("rows_stored", log.live().agg(F.sum("rows")).scalar())
+
+
 @query("D10_province_defaults", f"""
 WITH p AS (SELECT *, {q.province('province_raw')} AS pv FROM typed_fx), d AS (SELECT *, nullif(trim(subject_raw), '') AS s FROM p)
 SELECT {_IDS}, pv AS province, CASE WHEN pv = '河南' THEN CASE WHEN s LIKE '%文科%' THEN '文科' WHEN s LIKE '%理科%' THEN '理科' ELSE coalesce(s, '') END

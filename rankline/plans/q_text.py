@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import rules, text, titles
+from ..operators import keywords
 from . import sqlbits as q
 from .inputs import define
 from .registry import query
@@ -271,6 +272,38 @@ def province_batch(t):
     return t.title_fx.select("page_id", titles.province_batch(F.col("slug"), F.col("title"), F.col("source_title")).alias("batch"))
 
 
+# The same rules as ordered lists in one automaton, each distinct title walked once.
+_BY_WORDS = f"""
+SELECT t.page_id, list_filter([{', '.join(q.lit(w) for w in _WORDS)}], lambda w: contains(title, w))[1] AS keyword, {_ruled(titles.CATEGORY_RULES, 't.title')} AS category,
+  {_ruled(titles.SUBJECT_RULES, 't.title')} AS subject FROM title_fx t"""
+
+
+@query("C25_rules_by_automaton", _BY_WORDS)
+def rules_by_automaton(t):
+    words = [keywords.Rule(w, ((w,),)) for w in titles.keyword_list(None, "通知")]
+    sets = {"category": titles.CATEGORY_RULES, "subject": titles.SUBJECT_RULES}
+    lists = {name: {slug: keywords.rules_of(rule_list) for slug, rule_list in by_slug.items()} for name, by_slug in sets.items()}
+    found = keywords.first_rules_by(t.title_fx.select("page_id", "slug", "title"), "slug", "title", lists, {"keyword": words})
+    return found.select("page_id", "keyword", "category", "subject")
+
+
+@query("C27_batches_by_automaton", f"SELECT page_id, {_ruled(titles.BATCH_RULES, _TX)} AS batch FROM title_fx t")
+def batches_by_automaton(t):
+    rows = t.title_fx.select("page_id", "slug", F.concat_ws(" ", F.nullif("source_title", F.lit("")), F.nullif("title", F.lit(""))).alias("text"))
+    lists = {slug: keywords.rules_of(rule_list) for slug, rule_list in titles.BATCH_RULES.items()}
+    return keywords.first_rules_by(rows, "slug", "text", {"batch": lists}).select("page_id", "batch")
+
+
+@query("C20_record_type_by_automaton", f"""
+SELECT page_id, CASE WHEN {q.has('title', ('逐分段', '一分一段', '分段统计', '高考成绩分段'))} THEN 'rank'
+  WHEN {q.has('title', _NOT_CONTROL)} THEN CASE WHEN title LIKE '%投档线%' OR title LIKE '%投档情况%' THEN 'school' ELSE 'unknown' END
+  WHEN title LIKE '%录取控制分数线%' THEN 'control' WHEN {q.has('title', titles.SCHOOL_WORDS)} THEN 'school'
+  WHEN title LIKE '%专业录取%' THEN 'major' ELSE 'unknown' END AS record_type FROM title_fx""")
+def record_type_by_automaton(t):
+    lists = {"record_type": [keywords.Rule(result, groups) for result, groups in titles.record_type_rules()]}
+    return keywords.first_rules(t.title_fx.select("page_id", "title"), "title", lists).select("page_id", "record_type")
+
+
 _META = f"""
 m AS (SELECT page_id, slug, coalesce(replace(coalesce({_ruled(titles.CATEGORY_RULES, 't.title')}, {_ruled(titles.CATEGORY_RULES, "coalesce(t.source_title, '')")}),
   'unsupported', '艺术类'), {_GENERIC_CATEGORY}) AS category, coalesce({_BATCHED}, {_GENERIC_BATCH}) AS batch FROM title_fx t)"""

@@ -78,7 +78,17 @@ def export_csv(df: DataFrame, record_type: str, path: str, years: list[int] | No
 def export_manifest(tables: dict[str, DataFrame], years: list[int] | None = None) -> DataFrame:
     """Rows per (record type, province, year), with totals and the number of files, as one rollup."""
     frames = [export_frame(df, name, years).select(F.lit(name).alias("record_type"), F.col("province_key").alias("province"), F.col("year_key").alias("year")) for name, df in tables.items()]
-    counts = stack(frames).groupBy("record_type", "province", "year").agg(F.count("*").alias("rows"))
+    return _manifest(stack(frames).groupBy("record_type", "province", "year").agg(F.count("*").alias("rows")))
+
+
+def written_manifest(written: DataFrame) -> DataFrame:
+    """The same manifest from the files (record_type, file, rows) that were written, by the folders they lie in."""
+    part = lambda name: F.regexp_extract("file", f"{name}=([^/]*)/", 1)
+    counts = written.select("record_type", part("province").alias("province"), part("year").cast("int").alias("year"), "rows")
+    return _manifest(counts.groupBy("record_type", "province", "year").agg(F.sum("rows").alias("rows")))
+
+
+def _manifest(counts: DataFrame) -> DataFrame:
     sums = counts.rollup("record_type", "province", "year").agg(F.sum("rows").alias("rows"), F.count("*").alias("files"), F.grouping_id().alias("gid"))
     level = F.when(F.col("gid") == 0, "file").when(F.col("gid") == 1, "province").when(F.col("gid") == 3, "record_type").otherwise("total")
     return sums.withColumn("level", level).drop("gid")
