@@ -55,7 +55,12 @@ def resolve_url(base: Column, href: Column) -> Column:
 
 def links(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Links of every page in order: absolute URL and text. Empty, fragment and script links are left out."""
-    parts = links_of_pages(pages, page, url, html).where("tag = 'a'").withColumnRenamed("tag_no", "link_no")
+    return absolute_links(links_of_pages(pages, page, url, html), page)
+
+
+def absolute_links(tags: DataFrame, page: str) -> DataFrame:
+    """The same from parsed links and images (page, base_url, tag_no, tag, href, text)."""
+    parts = tags.where("tag = 'a'").withColumnRenamed("tag_no", "link_no")
     kept = parts.where("href <> '' AND NOT startswith(href, '#') AND NOT startswith(lower(href), 'javascript:')")
     return settled(kept.select(page, "link_no", resolve_url(F.col("base_url"), F.col("href")).alias("url"), "text"))
 
@@ -85,7 +90,12 @@ def _query_suffix(url: Column) -> Column:
 
 def attachments(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Attachments of every page from links and images: title, URL, file type; first per URL."""
-    tags = links_of_pages(pages, page, url, html).withColumn("text", F.when(F.col("tag") == "a", F.col("text")).otherwise(F.lit("")))
+    return attached_files(links_of_pages(pages, page, url, html), page)
+
+
+def attached_files(tags: DataFrame, page: str) -> DataFrame:
+    """The same from parsed links and images (page, base_url, tag_no, tag, href, text)."""
+    tags = tags.withColumn("text", F.when(F.col("tag") == "a", F.col("text")).otherwise(F.lit("")))
     rows = tags.where("href <> '' AND NOT startswith(lower(href), 'javascript:')").withColumn("target", resolve_url(F.col("base_url"), F.col("href")))
     rows = settled(settled(rows).withColumn("path", titles.url_path(F.col("target"))))
     script = F.contains(F.lower("target"), F.lit("downfile.jsp"))

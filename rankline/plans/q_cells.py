@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import header_text
 from ..operators import cells, grids
-from ..session import cut_lineage
-from ..sources import html
+from ..session import cut_lineage, shared_folder
+from ..sources import html, pages
 from . import sqlbits as q
 from .inputs import define
 from .registry import query
@@ -295,6 +295,18 @@ def cells_of_pages(t):
     return html.cells_of_pages(_rank_pages(t), "page")
 
 
+@query("A3_cells_of_files", f"""
+WITH r AS (SELECT {_PAGE} AS page, *, row_number() OVER (PARTITION BY year, province, band ORDER BY score DESC) + 1 AS row_idx FROM rank_sides),
+f AS (SELECT page, row_idx, k, [CASE WHEN hn IS NOT NULL THEN score END, hn, hc, CASE WHEN pn IS NOT NULL THEN score END, pn, pc][k + 1] AS v FROM r, range(6) x(k)),
+h AS (SELECT page, i AS row_idx, k, CASE WHEN i = 0 THEN CASE WHEN k < 3 THEN '历史等科目类' ELSE '物理等科目类' END ELSE ['分数', '人数', '累计人数'][k % 3 + 1] END AS v FROM (SELECT DISTINCT page FROM r), range(2) a(i), range(6) b(k))
+SELECT page, CAST(0 AS INT) AS table_idx, CAST(row_idx AS INT) AS row_idx, CAST(k AS INT) AS col_idx, CAST(v AS VARCHAR) AS value FROM f UNION ALL SELECT page, 0, CAST(row_idx AS INT), CAST(k AS INT), v FROM h""")
+def cells_of_files(t):
+    """Page files through the source that parses each page once, cells and links together."""
+    folder = shared_folder(t.spark) + "/pages"
+    _rank_pages(t).withColumn("url", F.lit("https://pages.example/")).write.parquet(folder)
+    return pages.cells_in(pages.read_pages(t.spark, folder, "both", key="page", key_type="string"))
+
+
 @query("B11_rank_header", f"""
 SELECT page, CAST(k AS INT) AS col_idx, CASE WHEN k < 3 THEN '历史等科目类_' ELSE '物理等科目类_' END || ['分数', '人数', '累计人数'][k % 3 + 1] AS header FROM (SELECT DISTINCT {_PAGE} AS page FROM rank_sides), range(6) b(k)""")
 def rank_header(t):

@@ -6,7 +6,7 @@ from ..functions import titles
 from ..operators import announce, cells, load
 from ..operators.tablelog import TableLog
 from ..session import shared_folder
-from ..sources import files
+from ..sources import files, pages
 from . import sqlbits as q
 from .inputs import define
 from .q_cells import _FITS, _HEADS, _alias_values
@@ -74,6 +74,32 @@ def page_attachments(t):
     return announce.attachments(t.page_files).drop("tag_no")
 
 
+# The same from page files, through the source that parses a page once for cells and links.
+def _parsed_files(t, rows="both"):
+    folder = _folder(t) + "/pages"
+    t.page_files.write.parquet(folder)
+    return pages.read_pages(t.spark, folder, rows)
+
+
+@query("A4_page_links_of_files", f"""WITH {_LINKS}
+SELECT page_id, CAST(link_no + 13 AS INT) AS link_no, url, text FROM ln
+UNION ALL SELECT page_id, 0, {_ROOT} || '/files/' || page_id || '.xlsx', '表' FROM page_files
+UNION ALL SELECT page_id, 1, {_ROOT} || {_DIR} || 'down/list?x=1', '投档 下载' FROM page_files
+UNION ALL SELECT page_id, 6, {_ROOT} || {_UP} || 'a/downfile.jsp?filename=%E8%A1%A8.xls', '导出' FROM page_files
+UNION ALL SELECT page_id, 7, {_ROOT} || '/files/' || page_id || '.xlsx', 'again' FROM page_files
+UNION ALL SELECT page_id, 8, {_ROOT} || '/files/right.pdf', '中“x”' FROM page_files
+UNION ALL SELECT page_id, 10, {_ROOT} || '/up/top.zip', '上' FROM page_files
+UNION ALL SELECT page_id, 11, {_ROOT} || '/a/deep.xls', '深' FROM page_files
+UNION ALL SELECT page_id, 12, {_ROOT} || {_DIR} || 'downfile.jsp?showname=%E5%9B%BE.xlsx&id=3', '名称' FROM page_files""")
+def page_links_of_files(t):
+    return announce.absolute_links(pages.links_in(_parsed_files(t)), "page").withColumnRenamed("page", "page_id")
+
+
+@query("A6_attachments_of_files", f"WITH {_ATT} SELECT * FROM att")
+def attachments_of_files(t):
+    return announce.attached_files(_parsed_files(t, "links"), "page").withColumnRenamed("page", "page_id").drop("tag_no")
+
+
 @query("L2_data_attachments", f"""WITH {_ATT} SELECT page_id, 'control' AS kind, title, url FROM att WHERE title <> 'logo.png' UNION ALL SELECT page_id, 'school', title, url FROM att WHERE file_type IN ('xls', 'xlsx', 'pdf', 'zip')""")
 def data_attachments(t):
     found = announce.attachments(t.page_files)

@@ -57,3 +57,9 @@ def written(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme; one without belongs to the default file system of the cluster."""
+    raw = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return raw.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(raw).toString()

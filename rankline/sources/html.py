@@ -12,7 +12,7 @@ FLUSH_ROWS = 20000
 CELL_FIELDS = "table_idx int, row_idx int, col_idx int, value string"
 
 
-class _Tables(HTMLParser):
+class TableCollector(HTMLParser):
     """Collects (text, rowspan, colspan) per cell of every table, nested tables on their own."""
 
     def __init__(self):
@@ -89,9 +89,13 @@ def _grid(rows) -> list[dict[int, str]]:
 
 def page_cells(html: str) -> list[tuple[int, int, int, str | None]]:
     """(table, row, column, text) of all tables of a page, empty rows and columns left out, empty cells None."""
-    parser = _Tables()
+    parser = TableCollector()
     parser.feed(html or "")
     parser.close()
+    return cells_of_tables(parser)
+
+
+def cells_of_tables(parser: TableCollector) -> list[tuple[int, int, int, str | None]]:
     out = []
     for number, rows in enumerate(parser.tables):
         grid = [line for line in _grid(rows) if any(line.values())]
@@ -120,7 +124,7 @@ def cells_of_pages(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     return pages.select(key, html).mapInPandas(run, f"{key} {key_type}, {CELL_FIELDS}")
 
 
-class _Links(HTMLParser):
+class LinkCollector(HTMLParser):
     """Collects (tag, target, text) of links and images in order; text pieces are stripped and joined without blanks."""
 
     def __init__(self):
@@ -153,9 +157,13 @@ class _Links(HTMLParser):
 
 def page_links(html: str) -> list[tuple[int, str, str, str]]:
     """(number, tag, target, text) of the links and images of a page that have a target."""
-    parser = _Links()
+    parser = LinkCollector()
     parser.feed(html or "")
     parser.close()
+    return links_found(parser)
+
+
+def links_found(parser: LinkCollector) -> list[tuple[int, str, str, str]]:
     return [(i, tag, target.strip(), text) for i, (tag, target, text) in enumerate(parser.found)]
 
 
