@@ -30,6 +30,7 @@ WHOLE = 32  # buckets of at most so many texts are compared fully
 SPARE_PAIRS = 16  # and all that are left, once that makes at most so many pairs per text
 BLOCK = 128  # texts, or so, of a bucket that are compared at once with as many of other components
 SALTS = 16
+SHORT = 15  # symbols; texts of at most so many get exact keys as well
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -90,6 +91,19 @@ def sketch_bands(symbols: np.ndarray, bands: int = BANDS, sketches: int = SKETCH
     return keys, np.packbits(bits, bitorder="little").view("<u8")
 
 
+def short_keys(symbols: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """Keys of which texts of the threshold's similarity share one for certain, where one of them has at most ``SHORT`` * threshold symbols.
+
+    Of n symbols, ordered by hash, a text at least so similar misses fewer than the first n - ceil(t n) + 1. Few symbols leave sketches to chance, so short
+    texts get these keys too; none for longer texts.
+    """
+    n = len(symbols)
+    if n > SHORT:
+        return np.zeros(0, dtype=np.uint64)
+    first = n - int(np.ceil(threshold * n - 1e-9)) + 1
+    return mix(np.sort(mix(symbols + _ODD))[:first] + np.uint64(1))
+
+
 def most_different_bits(threshold: float, count: int) -> int:
     """Bits in which two texts of the threshold's similarity differ at most, but for a chance of about 1 in 100,000.
 
@@ -127,8 +141,8 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
     return value if value >= threshold - 1e-12 else 0.0
 
 
-def sketched(df: DataFrame, id_column: str, text_column: str, shingle: int, bands: int) -> DataFrame:
-    """doc_id, digest of the words (d1, d2; null without words), bands and sketch bits of every document."""
+def sketched(df: DataFrame, id_column: str, text_column: str, shingle: int, bands: int, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, digest of the words (d1, d2; null without words), bands (with the keys of short texts) and sketch bits of every document."""
 
     def run(batches):
         symbols = Symbols(shingle)
@@ -138,9 +152,9 @@ def sketched(df: DataFrame, id_column: str, text_column: str, shingle: int, band
                 s = symbols(text)
                 value = xxhash.xxh3_128_intdigest(s.tobytes()) if len(s) else None
                 digests.append((None, None) if value is None else tuple(int.from_bytes((value >> 64 * k & 2**64 - 1).to_bytes(8, "little"), "little", signed=True) for k in (0, 1)))
-                found = (None, None) if value is None else [x.view(np.int64) for x in sketch_bands(s, bands)]
-                keys.append(found[0])
-                bits.append(found[1])
+                band, bit = (None, None) if value is None else sketch_bands(s, bands)
+                keys.append(None if value is None else np.concatenate([band, short_keys(s, threshold)]).view(np.int64))
+                bits.append(None if value is None else bit.view(np.int64))
             longs = pa.list_(pa.int64())
             columns = [batch["doc_id"], pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), pa.array(keys, longs), pa.array(bits, longs)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "d1", "d2", "bands", "bits"])
@@ -323,7 +337,7 @@ def near_duplicates(
     have a null class and are not kept as its head; texts that only such rows have take no part. doc_id names a document: rows that share one are one vertex, and repeated rows get the same
     class. Very long texts are aligned whole. Other columns are left out, so names cannot clash. An empty table gives an empty result.
     """
-    docs = stored(sketched(df, id_column, text_column, shingle, bands))
+    docs = stored(sketched(df, id_column, text_column, shingle, bands, threshold))
     texts = docs.where("d1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     sketches = stored(texts)
     texts, documents = stored(sketches.select("d1", "d2", "node", "copies")), stored(docs.select("doc_id", "d1", "d2"))

@@ -98,6 +98,22 @@ def test_text_classes_of_awkward_rows(spark):
     assert omh.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_short_texts_share_a_key_for_certain():
+    rng = np.random.default_rng(11)
+    symbols, shared = omh.Symbols(), 0
+    for _ in range(3000):
+        a = [str(x) for x in rng.integers(0, 10**6, int(rng.integers(5, 20)))]
+        b = list(a)
+        for _ in range(int(rng.integers(1, 3))):
+            place = int(rng.integers(0, len(b) + 1))
+            b[place:place + int(rng.integers(0, 2))] = [str(x) for x in rng.integers(0, 10**6, int(rng.integers(0, 2)))]
+        x, y = symbols(" ".join(a)), symbols(" ".join(b))
+        if min(len(x), len(y)) <= omh.SHORT * omh.THRESHOLD and omh.aligned(x, y) > 0:
+            shared += 1
+            assert set(omh.short_keys(x).tolist()) & set(omh.short_keys(y).tolist())
+    assert shared > 500
+
+
 def test_rows_that_share_an_id_but_not_a_text_stay(spark):
     a, b, c = words(1, 60), words(2, 60), words(3, 60)
     rows = [(1, a, "s"), (1, b, "s"), (1, b, "s"), (2, a, "s"), (3, c, "s"), (3, c, "s"), (4, c + " x", "s"), (None, a, "s"), (5, None, "s"), (5, "", "s"), (6, b + " y", "s")]
