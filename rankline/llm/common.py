@@ -28,17 +28,24 @@ def stored(df: DataFrame) -> DataFrame:
     """The rows as a written table in the shared folder: lineage ends there, and its size is known to later joins."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
+    place, raw = _place(df.sparkSession, path)
+    place.deleteOnExit(raw)  # what nothing discards goes when the session ends
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
 
 
+def _place(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    raw = context._jvm.org.apache.hadoop.fs.Path(path)
+    return raw.getFileSystem(context._jsc.hadoopConfiguration()), raw
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete the files of stored tables; only for tables whose last reader has been written."""
     for df in frames:
-        context = df.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        place, raw = _place(df.sparkSession, df.stored_at)
+        place.delete(raw, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
