@@ -53,9 +53,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: lineage ends there, and the planner knows the table's size."""
+    """The rows as a Parquet table in the shared folder: lineage ends there, and the planner knows the table's size. The files go when the session ends."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
+    context = df.sparkSession.sparkContext
+    raw = context._jvm.org.apache.hadoop.fs.Path(path)
+    raw.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(raw)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
