@@ -127,7 +127,7 @@ def upsert_row_by_row(stored, batch):
     return records, outcomes
 
 
-@pytest.mark.parametrize("seed, names, rows", [(5, 14, 60), (6, 4, 70), (7, 3, 40)])
+@pytest.mark.parametrize("seed, names, rows", [(5, 14, 60), (6, 4, 50)])
 def test_upsert_follows_rows_inside_a_batch(spark, seed, names, rows):
     from rankline.operators.load import METADATA, upsert_metadata
 
