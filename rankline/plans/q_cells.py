@@ -1,10 +1,11 @@
 """Grid shaping: sheets, page tables and extracted tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import header_text
 from ..operators import cells, grids
-from ..session import cut_lineage, shared_folder
+from ..session import cut_lineage, shared_folder, written
 from ..sources import html, pages
 from . import sqlbits as q
 from .inputs import define
@@ -40,12 +41,32 @@ define("cells_fx", """
 SELECT file_id, row_idx, k AS col_idx, CASE k WHEN 0 THEN c0 WHEN 1 THEN c1 WHEN 2 THEN c2 ELSE c3 END AS value FROM rank_rows, (VALUES (0), (1), (2), (3)) v(k)
 UNION ALL SELECT file_id, r, c, v FROM (SELECT DISTINCT file_id FROM rank_rows), (VALUES (0, 0, '逐分段统计表'), (1, 0, '注：样例'), (2, 0, '科类'), (2, 1, '分 数'), (2, 2, '人数'), (2, 3, '累计人数')) h(r, c, v)""", _cells_fx)
 
+# Lines in one task of the window below; their number sets the number of tasks, so that a task stays as small as it is on little input.
+_LINES_A_TASK = 250_000
+
+
+def _school_lines(t):
+    """The lines shuffled once by the file they belong to, before texts are made of them; later groups and joins by file need no other shuffle."""
+    raw = t.sql("""SELECT src_order AS file_id, src_line, src_supp, school_code, school_name, major_group, min_score, min_rank, plan_count, subject_type, year, province FROM school_raw""")
+    tasks = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), -(-t.lineitem.count() // _LINES_A_TASK))
+    order = ["src_line", "src_supp", "school_code", "min_score", "min_rank", "plan_count", "subject_type"]
+    place = F.row_number().over(Window.partitionBy("file_id").orderBy(*order))
+    score = F.col("min_score").cast("int").cast("string")
+    even = F.col("src_line") % 2 == 0
+    return raw.repartition(tasks, "file_id").withColumn("_place", place).select(
+        "file_id", (F.col("_place") + 1).cast("int").alias("row_idx"), F.col("school_code").alias("c0"), F.col("school_name").alias("c1"), F.col("major_group").alias("c2"),
+        F.when(even, F.concat(score, F.lit("(文化478)"))).otherwise(score).alias("c3"), F.concat(F.lit("第"), F.col("min_rank").cast("string"), F.lit("名")).alias("c4"),
+        F.col("plan_count").cast("string").alias("c5"), F.when(even, "本科批次").otherwise("第二段").alias("c6"), F.col("subject_type").alias("c7"),
+        "year", "province", "min_score", "min_rank", "plan_count", "src_line",
+    )
+
+
 # One school sheet per order: its lines, below a title and a header that differs between files, with a note at the end.
 define("school_lines", """
 SELECT src_order AS file_id, CAST(1 + row_number() OVER (PARTITION BY src_order ORDER BY src_line, src_supp, school_code, min_score NULLS FIRST, min_rank NULLS FIRST, plan_count, subject_type) AS INT) AS row_idx,
   school_code AS c0, school_name AS c1, major_group AS c2, CASE WHEN src_line % 2 = 0 THEN CAST(CAST(min_score AS INT) AS STRING) || '(文化478)' ELSE CAST(CAST(min_score AS INT) AS STRING) END AS c3,
   '第' || CAST(min_rank AS STRING) || '名' AS c4, CAST(plan_count AS STRING) AS c5, CASE WHEN src_line % 2 = 0 THEN '本科批次' ELSE '第二段' END AS c6, subject_type AS c7,
-  year, province, min_score, min_rank, plan_count, src_line FROM school_raw""")
+  year, province, min_score, min_rank, plan_count, src_line FROM school_raw""", _school_lines)
 
 
 def _heads():
@@ -408,7 +429,7 @@ SELECT file_id, CASE file_id % 3 WHEN 0 THEN '历史类' WHEN 1 THEN '物理类'
   WHEN file_id % 3 = 1 THEN '物理类' END AS by_hint, CASE file_id % 3 WHEN 0 THEN '历史类' WHEN 1 THEN '物理类' ELSE CASE WHEN file_id % 5 = 0 THEN '历史类' WHEN file_id % 7 = 0 THEN '综合改革' END END AS by_sheet
 FROM (SELECT DISTINCT file_id FROM school_lines)""")
 def resolved_subjects(t):
-    heads = cells.sheet_facts(cells.gathered_rows(t.school_cells, _K), _K, "school")
+    heads = cells.sheet_facts(written(cells.gathered_rows(t.school_cells, _K)), _K, "school")
     hint = F.when(F.col("file_id") % 7 == 0, "不分文理")
     name = F.when(F.col("file_id") % 5 == 0, "文科表").otherwise("f")
     none = F.lit(None).cast("string")
