@@ -9,7 +9,7 @@ equality join with one row per sheet or per header cell.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,11 +103,15 @@ def header_rows(cells: DataFrame, sheet: Sequence[str], scan_rows: int = HEADER_
 
 def split_header(cells: DataFrame, sheet: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(header cells with cleaned text, body cells). Columns without a value below the header do not count as present."""
-    placed = _on(cells, header_rows(cells, sheet), sheet)
-    headers = settled(placed.where("row_idx = header_row").select(*sheet, "col_idx", header_text(F.col("value")).alias("header")))
-    body = placed.where("row_idx > header_row").drop("header_row", "header_hits")
-    filled = drop_empty(body).select(*sheet, "col_idx").distinct()
-    return _on(headers, filled, [*sheet, "col_idx"], "left_semi"), body
+    tops = header_rows(cells, sheet)
+    body = _on(cells, tops, sheet).where("row_idx > header_row").drop("header_row", "header_hits")
+    # The last row with a value per column tells what lies below the header; one row per sheet, so that cells meet it by their sheet alone.
+    last = drop_empty(cells).groupBy(*sheet, "col_idx").agg(F.max("row_idx").alias("last")).groupBy(*sheet).agg(F.collect_list(F.struct("col_idx", "last")).alias("lasts"))
+    below = F.transform(F.filter("lasts", lambda e: e["last"] > F.col("header_row")), lambda e: e["col_idx"])
+    place = _on(tops, last, sheet).select(*sheet, "header_row", below.alias("filled"))
+    # A range, not an equality: that would become a join key and shuffle cells that lie by sheet already.
+    head = _on(cells.where(F.col("row_idx") < HEADER_SCAN_ROWS), place.hint("shuffle_hash"), sheet).where(F.col("row_idx").between(F.col("header_row"), F.col("header_row")))
+    return head.where(F.array_contains("filled", F.col("col_idx"))).select(*sheet, "col_idx", header_text(F.col("value")).alias("header")), body
 
 
 def drop_empty(cells: DataFrame) -> DataFrame:
@@ -137,11 +141,22 @@ def _alias_literal(aliases: dict[str, tuple[str, ...]]) -> Column:
     return F.from_json(F.lit(json.dumps(items, ensure_ascii=False)), schema)
 
 
+def _by_signature(headers: DataFrame, sheet: Sequence[str], resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``resolve`` makes of the header cells of a sheet, worked out once per distinct header (``sig`` stands for the sheet) and joined back."""
+    whole = F.array_sort(F.collect_list(F.struct("col_idx", "header")))
+    schema = headers.groupBy(*sheet).agg(whole.alias("header")).schema["header"].dataType
+    sheets = written(headers.groupBy(*sheet).agg(F.to_json(whole).alias("sig")))
+    found = written(resolve(sheets.select("sig").distinct().select("sig", F.inline(F.from_json("sig", schema)))))
+    return sheets.join(found, "sig").select(*sheet, *[c for c in found.columns if c != "sig"])
+
+
 def column_candidates(headers: DataFrame, sheet: Sequence[str], aliases: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Every (header cell, canonical name) that fits, with the pass (1 exact, 2 contained) and number of the best alias.
+    """Every (header cell, canonical name) that fits, with the pass (1 exact, 2 contained) and number of the best alias."""
+    return _by_signature(headers, sheet, lambda own: _candidates(own, ["sig"], aliases))
 
-    Header texts repeat over files, so each distinct text is matched once and joined back.
-    """
+
+def _candidates(headers: DataFrame, sheet: Sequence[str], aliases: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Header texts repeat over headers, so each distinct text is matched once and joined back."""
     texts = headers.select("header").distinct().withColumns({"h": F.lower("header"), "aliases": _alias_literal(aliases)})
     hits = texts.select("header", "h", F.explode(F.filter("aliases", lambda a: F.contains(F.col("h"), a["alias"]))).alias("a"))
     fit = F.min(F.struct(F.when(F.col("h") == F.col("a.alias"), 1).otherwise(2).alias("pass"), F.col("a.alias_no").alias("alias_no")))
@@ -156,7 +171,11 @@ def resolve_columns(headers: DataFrame, sheet: Sequence[str], aliases: dict[str,
 
     Of equal exact headers the last column counts, of contained ones the first.
     """
-    found = column_candidates(headers, sheet, aliases)
+    return _by_signature(headers, sheet, lambda own: _resolved(own, ["sig"], aliases))
+
+
+def _resolved(headers: DataFrame, sheet: Sequence[str], aliases: dict[str, tuple[str, ...]]) -> DataFrame:
+    found = _candidates(headers, sheet, aliases)
     side = F.when(F.col("pass") == 1, -F.col("col_idx")).otherwise(F.col("col_idx"))
     best = F.min_by(F.struct("col_idx", "header"), F.struct(F.col("pass"), F.col("alias_no"), side.alias("side")))
     return found.groupBy(*sheet, "canonical", "canonical_no").agg(best.alias("b")).select(*sheet, "canonical", "canonical_no", "b.col_idx", "b.header")
@@ -206,25 +225,30 @@ def sheet_facts(rows: DataFrame, sheet: Sequence[str], record_type: str) -> Data
     tops = rows.groupBy(*sheet).agg(F.max(code).alias("code"), F.count("*").alias("raw_rows"), *first).where("code IS NOT NULL")
     top_row = 2**31 - F.col("code").bitwiseAND(F.lit(2**32 - 1))
     tops = written(tops.withColumn("header_row", F.when(F.col("code") >= 2**32, top_row).otherwise(0).cast("int")))
-    placed = _on(rows.select(*sheet, "row_idx", "cells"), tops.select(*sheet, "header_row"), sheet)
-    head = placed.where("row_idx = header_row").where(F.col("row_idx") < HEADER_SCAN_ROWS).select(*sheet, "cells")
-    # Rows of a sheet mostly fill the same columns: combinations first, then columns.
-    filled = placed.where("row_idx > header_row").select(*sheet, F.array_sort(F.map_keys("cells")).alias("keys")).distinct()
-    filled = filled.select(*sheet, F.explode("keys").alias("col_idx")).groupBy(*sheet).agg(F.collect_set("col_idx").alias("filled"))
-    tops = _on(_on(tops, head, sheet, "left"), filled, sheet, "left")
+    # A header is among the rows with header words, or the first of its sheet; no other row is joined with its cells.
+    head = rows.where(F.col("row_idx") < HEADER_SCAN_ROWS).where("hits > 0 OR row_idx = 0").select(*sheet, F.col("row_idx").alias("header_row"), "cells")
+    # Rows of a sheet mostly fill the same columns: the last row of a combination first, then of a column, with numbers alone.
+    last = rows.select(*sheet, "row_idx", F.array_sort(F.map_keys("cells")).alias("keys")).groupBy(*sheet, "keys").agg(F.max("row_idx").alias("last"))
+    last = last.select(*sheet, "last", F.explode("keys").alias("col_idx")).groupBy(*sheet, "col_idx").agg(F.max("last").alias("last"))
+    last = last.groupBy(*sheet).agg(F.collect_list(F.struct("col_idx", "last")).alias("lasts"))
+    tops = _on(_on(tops, head, [*sheet, "header_row"], "left"), last, sheet, "left")
+    below = F.transform(F.filter("lasts", lambda e: e["last"] > F.col("header_row")), lambda e: e["col_idx"])
+    tops = tops.withColumn("filled", below)
     present = F.filter(F.map_entries(F.coalesce("cells", F.create_map().cast("map<int,string>"))), lambda e: F.coalesce(F.array_contains("filled", e["key"]), F.lit(False)))
     texts = F.array_sort(F.transform(present, lambda e: F.struct(e["key"].alias("col_idx"), header_text(e["value"]).alias("header"))))
     tops = tops.withColumn("header", texts)
-    tops = tops.withColumn("sig", F.to_json("header"))
+    schema = tops.schema["header"].dataType
+    # Read twice below: for the distinct headers and for the join with what they resolve to.
+    tops = written(tops.withColumn("sig", F.to_json("header")).drop("cells", "lasts", "filled", "header"))
 
-    signs = tops.groupBy("sig").agg(F.first("header").alias("header"))
+    signs = tops.select("sig").distinct().withColumn("header", F.from_json("sig", schema))
     headers = signs.select("sig", F.inline("header"))
-    used = used_columns(resolve_columns(headers, ["sig"], aliases_for(record_type)), ["sig"])
+    used = used_columns(_resolved(headers, ["sig"], aliases_for(record_type)), ["sig"])
     columns = used.groupBy("sig").agg(F.map_from_entries(F.collect_list(F.struct("canonical", "col_idx"))).alias("columns"), F.collect_set("header").alias("taken"))
     resolved = signs.join(columns, "sig", "left")
     rest = F.array_join(F.transform(F.filter("header", lambda h: ~F.array_contains(F.coalesce("taken", F.array().cast("array<string>")), h["header"])), lambda h: h["header"]), "\n")
     unmapped = sum((F.contains(F.col("rest"), F.lit(w)).cast("int") for w in HEADER_WORDS), F.lit(0))
-    resolved = resolved.withColumn("rest", rest).select("sig", "columns", unmapped.alias("unmapped"))
+    resolved = written(resolved.withColumn("rest", rest).select("sig", "columns", unmapped.alias("unmapped")))
     up_to = {w: F.coalesce((F.col(f"{w}_row") <= F.col("header_row")) & (F.col(f"{w}_row") < HEADER_SCAN_ROWS), F.lit(False)) for w in ("history", "physics")}
     return tops.join(resolved, "sig").select(*sheet, "header_row", "raw_rows", "columns", "unmapped", *[c.alias(w) for w, c in up_to.items()])
 
