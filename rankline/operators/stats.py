@@ -20,7 +20,8 @@ def stack(frames: list[DataFrame]) -> DataFrame:
 def table_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table with its count, plus the sorted years and provinces of all tables."""
     keys = stack([df.select(F.lit(name).alias("table_name"), "year", "province") for name, df in tables.items()])
-    per_key = keys.groupBy("table_name", "year", "province").agg(F.count("*").alias("n"))
+    # A few rows; written, as the counts and the lists would each work out all tables again.
+    per_key = written(keys.groupBy("table_name", "year", "province").agg(F.count("*").alias("n")))
     counts = per_key.groupBy("table_name").agg(F.sum("n").alias("row_count"))
     # One value holds both lists, so the tables are read once for them.
     names = per_key.agg(F.struct(

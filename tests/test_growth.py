@@ -31,3 +31,12 @@ def test_links_come_back_page_by_page(spark):
     assert found.schema.simpleString() == "struct<page_id:bigint,base_url:string,tag_no:int,tag:string,href:string,text:string>"
     assert sorted(map(tuple, found.collect())) == [(1, "https://x.example/d/", 0, "a", "/p.pdf", "t"), (1, "https://x.example/d/", 1, "img", "i.png", ""), (2, None, 0, "a", "x", "y")]
     assert [(r.title, r.url) for r in announce.attachments(df).orderBy("tag_no").collect()] == [("t", "https://x.example/p.pdf"), ("i.png", "https://x.example/d/i.png")]
+
+
+def test_table_summary_reads_its_tables_once(spark, monkeypatch):
+    calls = spied(monkeypatch, stats, "written")
+    one = spark.createDataFrame([(2023, "B"), (2024, "A"), (2024, "A")], "year int, province string")
+    two = spark.createDataFrame([(2022, "A"), (2022, None)], "year int, province string")
+    got = {r.table_name: (r.row_count, r.years_available, r.provinces_available) for r in stats.table_summary({"one": one, "two": two}).collect()}
+    assert len(calls) == 1
+    assert got == {"one": (3, "2022,2023,2024", "A,B"), "two": (2, "2022,2023,2024", "A,B")}
