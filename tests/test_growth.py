@@ -40,3 +40,11 @@ def test_table_summary_reads_its_tables_once(spark, monkeypatch):
     got = {r.table_name: (r.row_count, r.years_available, r.provinces_available) for r in stats.table_summary({"one": one, "two": two}).collect()}
     assert len(calls) == 1
     assert got == {"one": (3, "2022,2023,2024", "A,B"), "two": (2, "2022,2023,2024", "A,B")}
+
+
+def test_rules_of_a_loaded_row_run_once(spark, monkeypatch):
+    calls = spied(monkeypatch, load, "written")
+    df = spark.createDataFrame([(1, 2024, "A", "s", "b", "x"), (2, 2024, "A", "s", "b", "5"), (3, 2024, "A", "s", "b", "6")], "n int, year int, province string, subject_type string, batch string, score string")
+    log = load.outcomes(df, df.where("false"), "control", ["n"])
+    assert len(calls) == 1
+    assert {r.n: r.outcome for r in log.collect()} == {1: "failed", 2: "inserted", 3: "skipped"}
