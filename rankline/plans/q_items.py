@@ -1,10 +1,13 @@
 """Recognised items to rows, audits and engine choice."""
 
+from itertools import groupby
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..operators import cache, items, load, normalize, validate
-from ..session import cut_lineage, shared_folder
+from ..session import cut_lineage, qualified, shared_folder
+from ..sources import pages
 from .inputs import define
 from .registry import query
 
@@ -312,11 +315,33 @@ def cache_hits(t):
 define("page_contents", "SELECT page_id, sha256(html || chr(10)) AS content_key, html FROM {pages}")
 
 
+# Folders of page files in each part: few enough to make, many enough to be listed side by side.
+_FOLDERS = 64
+
+
+def _write_pages(rows, folder):
+    """A file per page, with its text and a line end. Tasks write their pages themselves: a table partitioned by page would need a folder, a checksum file, two
+    permission changes and a rename on the driver for every page. A repeated task writes the same files again."""
+    def write(found):
+        place, base = pages.file_system(folder)
+        made = set()
+        for (part, page), same in groupby(found, lambda r: (r["part"], r["page_id"])):
+            below = f"{base}/part={part}/{(page or 0) % _FOLDERS}"
+            if below not in made:
+                place.create_dir(below, recursive=True)
+                made.add(below)
+            with place.open_output_stream(f"{below}/page_id={page}.txt") as out:
+                for r in same:
+                    out.write(f"{r['value'] or ''}\n".encode())
+
+    rows.repartition("page_id").sortWithinPartitions("part", "page_id").rdd.foreachPartition(write)
+
+
 def _precomputed(t):
     """Files of all pages through the cache: a first run over the first pages of each host, then a run over all, then the same again."""
     folder = shared_folder(t.spark)
-    pages = t.pages.select("page_id", F.col("html").alias("value"), F.when(F.col("page_id") % 2 == 0, "even").otherwise("odd").alias("part"))
-    pages.write.partitionBy("part", "page_id").text(folder + "/files")
+    found = t.pages.select("page_id", F.col("html").alias("value"), F.when(F.col("page_id") % 2 == 0, "even").otherwise("odd").alias("part"))
+    _write_pages(found, qualified(t.spark, folder + "/files"))
     store = cache.ItemCache(t.spark, folder + "/cache")
 
     def recognise(contents):

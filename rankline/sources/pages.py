@@ -56,7 +56,7 @@ def parse(html: str | None, cells: bool, links: bool) -> tuple[list[tuple], list
     return cells_of_tables(tables), links_found(found)
 
 
-def _file_system(path: str):
+def file_system(path: str):
     from pyarrow import fs
 
     if path.startswith("file:"):
@@ -79,7 +79,7 @@ class PageReader(DataSourceReader):
     def partitions(self) -> list[RowGroup]:
         from pyarrow import fs
 
-        place, path = _file_system(self.options["path"])
+        place, path = file_system(self.options["path"])
         info = place.get_file_info(path)
         files = [path] if info.type == fs.FileType.File else sorted(f.path for f in place.get_file_info(fs.FileSelector(path, recursive=True)) if f.path.endswith(".parquet"))
         out = []
@@ -93,7 +93,7 @@ class PageReader(DataSourceReader):
         columns = [self.key, self.html, *([self.url] if links else [])]
         fields = [("page", self.key_type), *(_CELL if cells else ()), *(_LINK if links else ())]
         shape = pa.schema(fields)
-        place, _ = _file_system(self.options["path"])
+        place, _ = file_system(self.options["path"])
         rows: list[tuple] = []
 
         def flush():

@@ -48,3 +48,14 @@ def test_rules_of_a_loaded_row_run_once(spark, monkeypatch):
     log = load.outcomes(df, df.where("false"), "control", ["n"])
     assert len(calls) == 1
     assert {r.n: r.outcome for r in log.collect()} == {1: "failed", 2: "inserted", 3: "skipped"}
+
+
+def test_page_files_lie_in_a_fixed_number_of_folders(spark, tmp_path):
+    rows = spark.range(300).select(F.col("id").alias("page_id"), F.concat(F.lit("t"), F.col("id")).alias("value"), F.lit("odd").alias("part"))
+    both = rows.unionByName(spark.createDataFrame([(7, "t7", "odd"), (None, None, "odd")], "page_id long, value string, part string"))
+    q_items._write_pages(both, f"file:{tmp_path}/files")
+    files = [p for p in tmp_path.rglob("*") if p.is_file()]
+    assert len(files) == 301 and all(p.suffix == ".txt" for p in files)
+    assert len([p for p in tmp_path.rglob("*") if p.is_dir()]) <= q_items._FOLDERS + 2
+    texts = {p.stem: p.read_text() for p in files}
+    assert texts["page_id=7"] == "t7\nt7\n" and texts["page_id=8"] == "t8\n" and texts["page_id=None"] == "\n"
