@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.text import school_name_or_null, split_major, text_or_empty, text_or_null, to_float, to_int, with_split_school
 from .dictionary import Group, by_distinct
+from .settle import settled
 
 SCHOOL = (
     "year", "province", "subject_type", "admission_category", "batch", "school_code", "school_name", "major_group",
@@ -91,18 +92,19 @@ def normalize_school(
         }
         return table.select("*", *[c.alias(f"_{name}") for name, c in found.items()])
 
-    def names(table: DataFrame) -> DataFrame:
-        split = with_split_school(table.withColumn("_raw", school_name_or_null(F.col("school_name"))), "school_code", "_raw", "_code", "_name")
-        # A row with a name and no code: the name becomes the code and the name is empty.
-        return split.select("school_code", "school_name", F.coalesce("_code", "_name").alias("_school_code"), F.when(F.col("_code").isNotNull(), F.col("_name")).alias("_school_name"))
-
     def majors(table: DataFrame) -> DataFrame:
         code, name = split_major(F.col("major_code"), F.col("major_name"))
         return table.select("major_code", "major_name", F.nullif(F.concat_ws("-", code, name), F.lit("")).alias("_major"))
 
     scores = Group(("min_score",), lambda table: table.select("min_score", to_float(F.col("min_score")).alias("_min_score")))
-    more = [Group(("school_code", "school_name"), names), Group(("major_code", "major_name"), majors), scores, _whole("min_rank"), _whole("plan_count")]
+    more = [Group(("major_code", "major_name"), majors), scores, _whole("min_rank"), _whole("plan_count")]
     work = _by_text(df, (*SCHOOL, "major_code", "major_name"), options, standing, *more, keep=keep)
+    # Pairs of code and name grow with the schools: a table of them outgrows a broadcast, and its join shuffles every row. They are read row by row.
+    kept = [*keep, *[f"_{c}" for c in ("year", "province", "subject_type", "admission_category", "batch", "major", "min_score", "min_rank", "plan_count")], "major_group", "tie_breaker_text"]
+    work = work.withColumns({"_given_code": F.col("school_code").cast("string"), "_raw": school_name_or_null(F.col("school_name").cast("string"))})
+    split = with_split_school(work, "_given_code", "_raw", "_code", "_name")
+    # A row with a name and no code: the name becomes the code and the name is empty.
+    work = settled(split, [F.coalesce("_code", "_name").alias("_school_code"), F.when(F.col("_code").isNotNull(), F.col("_name")).alias("_school_name")], keep=kept)
     group = F.coalesce(text_or_null(F.col("major_group")), F.col("_major"))
     special = group.isNotNull() & F.col("_admission_category").isin("艺术类", "体育类")
     unnamed = F.col("_school_name").isNull() | (F.col("_school_name") == F.col("_school_code"))

@@ -42,6 +42,16 @@ def test_table_summary_reads_its_tables_once(spark, monkeypatch):
     assert got == {"one": (3, "2022,2023,2024", "A,B"), "two": (2, "2022,2023,2024", "A,B")}
 
 
+def test_names_and_codes_are_no_table_of_texts(spark, monkeypatch):
+    calls = spied(monkeypatch, normalize, "by_distinct")
+    rows = [(1, "A001北京大学", None, " 500(文化478) ", "12.9"), (2, "（a b）", "7", "-3", None), (3, None, "A002武汉大学", "x", "1"), (4, "1234", "", None, "x")]
+    df = spark.createDataFrame(rows, "n int, school_name string, school_code string, min_score string, min_rank string")
+    out = normalize.normalize_school(df, year=2024, province="广东", keep=("n",))
+    assert not any("school_code" in g.inputs or "school_name" in g.inputs for _, groups in calls for g in groups)
+    got = {r.n: (r.school_code, r.school_name, r.min_score, r.min_rank, r.year) for r in out.collect()}
+    assert got == {1: ("A001", "北京大学", 500.0, 12, 2024), 2: ("7", "(ab)", 3.0, None, 2024), 3: ("A002", "武汉大学", None, 1, 2024), 4: ("1234", None, None, None, 2024)}
+
+
 def test_rules_of_a_loaded_row_run_once(spark, monkeypatch):
     calls = spied(monkeypatch, load, "written")
     df = spark.createDataFrame([(1, 2024, "A", "s", "b", "x"), (2, 2024, "A", "s", "b", "5"), (3, 2024, "A", "s", "b", "6")], "n int, year int, province string, subject_type string, batch string, score string")
