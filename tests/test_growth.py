@@ -52,6 +52,16 @@ def test_names_and_codes_are_no_table_of_texts(spark, monkeypatch):
     assert got == {1: ("A001", "北京大学", 500.0, 12, 2024), 2: ("7", "(ab)", 3.0, None, 2024), 3: ("A002", "武汉大学", None, 1, 2024), 4: ("1234", None, None, None, 2024)}
 
 
+def test_numbers_of_sheets_are_no_table_of_texts(spark, monkeypatch):
+    calls = spied(monkeypatch, cells, "by_distinct")
+    lines = [["院校代号", "院校名称", "投档最低分", "计划数"], ["A1", "甲 大学", "512(文化478)", "3人"], ["A2", "乙大学", None, "x"]]
+    grid = [(1, r, c, v) for r, line in enumerate(lines) for c, v in enumerate(line)]
+    files = spark.createDataFrame([(1, "f.xlsx", "S", 2024, "物理")], "file_id int, file_name string, sheet_name string, default_year int, subject_hint string")
+    out = cells.parse_sheets(spark.createDataFrame(grid, "file_id int, row_idx int, col_idx int, value string"), ["file_id"], "school", files)
+    assert {c for _, groups in calls for g in groups for c in g.inputs} == {"province", "subject_type", "batch"}
+    assert sorted((r.row_idx, r.school_code, r.school_name, r.min_score, r.plan_count, r.avg_score) for r in out.collect()) == [(1, "A1", "甲大学", 512.0, 3.0, None), (2, "A2", "乙大学", None, None, None)]
+
+
 def test_rules_of_a_loaded_row_run_once(spark, monkeypatch):
     calls = spied(monkeypatch, load, "written")
     df = spark.createDataFrame([(1, 2024, "A", "s", "b", "x"), (2, 2024, "A", "s", "b", "5"), (3, 2024, "A", "s", "b", "6")], "n int, year int, province string, subject_type string, batch string, score string")
