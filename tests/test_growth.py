@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rankline.operators import announce, cells, load, normalize, stats
+from rankline.operators import announce, cells, grids, load, normalize, stats
 from rankline.plans import q_items
 from rankline.sources import html
 
@@ -62,6 +62,25 @@ def test_numbers_of_sheets_are_no_table_of_texts(spark, monkeypatch):
     assert sorted((r.row_idx, r.school_code, r.school_name, r.min_score, r.plan_count, r.avg_score) for r in out.collect()) == [(1, "A1", "甲大学", 512.0, 3.0, None), (2, "A2", "乙大学", None, None, None)]
 
 
+def test_control_tables_read_their_cells_once(spark):
+    tables = {
+        1: [["公告", None, None], ["科目类别", "录取批次", "控制分数线"], ["不分文理", None, "480分"], [None, "艺术本科", "４５０"], [None, " ", "1"], ["文史", "x", "无"]],
+        2: [["科类", "本科 批次", ""], ["历史组", "500", "1.5.2"], [" 科类 ", "1", "2"], ["物理组", "490分", "9"]],
+        3: [["a", "b"], ["物理类", "3"]],  # no score column
+        4: [["科类", "分数线"]],  # no body
+        None: [["科类", "分数线"], ["物理", "5"]],
+    }
+    grid = [(f, r, c, v) for f, lines in tables.items() for r, line in enumerate(lines) for c, v in enumerate(line)]
+    grid += [(2, 3, 1, "490分"), (5, 40, 0, "科类"), (5, 41, 0, "物理"), (1, None, 0, "历史")]  # a repeated cell, a table that begins too late, a cell without row
+    df = spark.createDataFrame(grid, "file_id int, row_idx int, col_idx int, value string").where("row_idx < 987654 OR row_idx IS NULL")
+    out = grids.control_tables(df, ["file_id"])
+    assert "987654" not in plan(out)
+    assert sorted(map(tuple, out.collect())) == [
+        (1, 2, "综合改革", "普通类本科", 480.0), (1, 3, "综合改革", "本科批", 450.0), (2, 1, "历史类", "本科批", 500.0),
+        (2, 3, "物理类", "col_2", 9.0), (2, 3, "物理类", "本科批", 490.0), (2, 3, "物理类", "本科批", 490.0),
+    ]
+
+
 def test_rules_of_a_loaded_row_run_once(spark, monkeypatch):
     calls = spied(monkeypatch, load, "written")
     df = spark.createDataFrame([(1, 2024, "A", "s", "b", "x"), (2, 2024, "A", "s", "b", "5"), (3, 2024, "A", "s", "b", "6")], "n int, year int, province string, subject_type string, batch string, score string")
