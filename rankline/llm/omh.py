@@ -27,7 +27,8 @@ BANDS = 48
 SKETCHES = 4  # per band
 MINIMA = 2  # per sketch
 WHOLE = 32  # buckets of at most so many texts are compared fully
-SPARE_PAIRS = 16  # and all that are left, once that makes at most so many pairs per text
+HEADS = 4  # of a larger bucket that its texts meet first
+SPARE_PAIRS = 256  # pairs per text, of which the bits are compared in blocks
 BLOCK = 128  # texts, or so, of a bucket that are compared at once with as many of other components
 SALTS = 16
 SHORT = 15  # symbols; texts of at most so many get exact keys as well
@@ -258,6 +259,9 @@ def across(large: DataFrame, classes: DataFrame, symbols: DataFrame, threshold:
         nodes, own = group["node"].to_pylist(), group["component"].to_pylist()
         shared = [set(k) for k in group["keys"].to_pylist()]
         texts = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in group["symbols"]]
+        sizes = np.array([len(t) for t in texts])
+        numbers = np.split(np.unique(np.concatenate(texts), return_inverse=True)[1], np.cumsum(sizes)[:-1])
+        inside = np.zeros(sizes.sum(), dtype=bool)
         parent: dict[int, int] = {}
         found = []
 
@@ -267,7 +271,11 @@ def across(large: DataFrame, classes: DataFrame, symbols: DataFrame, threshold:
             return c
 
         for x, near in alike(group):
-            for y in near.tolist():
+            inside[numbers[x]] = True
+            common = np.add.reduceat(inside[np.concatenate([numbers[y] for y in near])].astype(np.int64), np.cumsum(sizes[near]) - sizes[near])
+            inside[numbers[x]] = False
+            # Too few symbols in common, in whatever order, cannot align to the threshold.
+            for y in near[common >= threshold * (sizes[x] + sizes[near]) / (1 + threshold) - 1e-9].tolist():
                 p, q = root(own[x]), root(own[y])
                 if p != q and min(shared[x] & shared[y]) == key and aligned(texts[x], texts[y], threshold) > 0:
                     parent[max(p, q)] = min(p, q)
@@ -280,27 +288,36 @@ def across(large: DataFrame, classes: DataFrame, symbols: DataFrame, threshold:
     return found
 
 
+def ranked(entries: DataFrame, bits: DataFrame) -> DataFrame:
+    """Entries (key, node and n, the texts of the bucket) with the bits of their text and its rank ``shared``, the sum of n over its buckets."""
+    texts = entries.groupBy("node").agg(F.sum("n").alias("shared"), F.collect_list(F.struct("key", "n")).alias("at"))
+    # Texts grow with the input: the same shuffle join at every size.
+    return texts.join(bits.hint("merge"), "node").select("node", "bits", "shared", F.explode("at").alias("at")).select("at.key", "node", "bits", "at.n", "shared")
+
+
 def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, whole: int, most: int) -> DataFrame:
-    """Edges (a, b) with the connected components of all links between texts that share a bucket (columns key, node, bits). Texts whose bits differ in more than ``most`` places are not aligned.
+    """Edges of ``bucket_links`` for buckets with the columns key, node, bits."""
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
+    bits = buckets.groupBy("node").agg(F.first("bits").alias("bits"))
+    return bucket_links(stored(ranked(buckets.select("key", "node").join(sizes, "key"), bits)), symbols, threshold, whole, most)
+
 
-    Buckets of at most ``whole`` texts are compared fully. From a larger one, texts leave that link to a text of higher rank in it; what stays
-    is compared with a few heads, the texts of highest rank, and texts that link to one leave. The next round takes four times as many heads, until what is
-    left makes at most ``SPARE_PAIRS`` pairs per text and is compared fully. The rows of a round grow with the sizes of its buckets, not with their squares.
+def bucket_links(buckets: DataFrame, symbols: DataFrame, threshold: float, whole: int, most: int) -> DataFrame:
+    """Edges (a, b) with the connected components of all links between texts that share a bucket (columns of ``ranked``). Texts whose bits differ in more than ``most`` places are not aligned.
+
+    Buckets of at most ``whole`` texts are compared fully. The texts of a larger one meet its heads, those of highest rank. Heads leave, and so do texts
+    that link to one or to a text of higher rank. The next round takes four times as many heads, until what is left makes at most ``SPARE_PAIRS`` pairs per
+    text. The rows of a round grow with the sizes of its buckets, not with their squares.
     At last all texts of large buckets, those that left too, are compared across the components that have come out, so each pair of a bucket is
     compared or known to be of one component.
     """
-    sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
-    ranks = buckets.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("shared"))
-    whole_buckets = active = stored(buckets.join(sizes, "key").join(ranks, "node"))
-    links, tested, heads, spare = None, None, 0, SPARE_PAIRS * symbols.count()
+    active, links, tested, heads, spare = buckets, None, None, HEADS, SPARE_PAIRS * symbols.count()
+    total = buckets.agg(F.coalesce(F.sum(F.when(F.col("n") > whole, (F.col("n") - 1) / 2)), F.lit(0))).first()[0]  # pairs of large buckets
     while True:
-        total = active.groupBy("key").agg(F.first("n").alias("n")).agg(F.coalesce(F.sum(F.when(F.col("n") > whole, F.col("n") * (F.col("n") - 1) / 2)), F.lit(0))).first()[0]
-        last = total <= spare
-        fits = F.lit(True) if last else F.col("n") <= whole
-        small, large = active.where(fits).select("key", "node", "bits", "shared"), active.where(~fits)
+        small, large = active.where(F.col("n") <= whole).select("key", "node", "bits", "shared"), active.where(F.col("n") > whole)
         wanted = small.alias("x").join(small.alias("y"), "key").where("x.node < y.node").where(_alike(F.col("x.bits"), F.col("y.bits"), most))
         wanted = wanted.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.shared").alias("ra"), F.col("y.shared").alias("rb"))
-        if heads and not last:
+        if total:
             place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("shared"), "node"))
             top = large.withColumn("place", place).where(F.col("place") <= heads).select("key", F.col("node").alias("head"), F.col("bits").alias("head_bits"), F.col("shared").alias("head_shared"))
             rest = large.join(top, "key").where("node <> head").where(_alike(F.col("bits"), F.col("head_bits"), most)).select("key", "node", *_pair("node", "head", "shared", "head_shared"))
@@ -311,19 +328,18 @@ def candidate_links(buckets: DataFrame, symbols: DataFrame, threshold: float, wh
         needed = wanted.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         found = stored(verified(wanted, symbols.join(needed, "node", "left_semi"), threshold))
         links = found if links is None else links.unionByName(found)
-        if last:
-            break
-        gone = represented(large, found)
-        if heads:  # the heads have met all others
-            gone = gone.unionByName(rest.join(links, ["a", "b"], "left_semi").select("key", "node")).unionByName(top.select("key", F.col("head").alias("node")))
+        if not total:  # all pairs have been compared
+            return links.select("a", "b")
+        gone = represented(large, found)  # the heads have met all others
+        gone = gone.unionByName(rest.join(links, ["a", "b"], "left_semi").select("key", "node")).unionByName(top.select("key", F.col("head").alias("node")))
         left = stored(large.join(gone.distinct(), ["key", "node"], "left_anti").select("key", "node", "bits", "shared"))
         sizes = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        active, heads = stored(left.join(sizes, "key")), max(4, heads * 4)
-    if active is whole_buckets:  # all pairs have been compared
-        return links.select("a", "b")
+        if sizes.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0))).first()[0] <= spare:
+            break
+        active, heads = stored(left.join(sizes, "key")), heads * 4
     classes = stored(components(links))
     stars = classes.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
-    return stars.unionByName(across(whole_buckets.where(F.col("n") > whole), classes, symbols, threshold, most))
+    return stars.unionByName(across(buckets.where(F.col("n") > whole), classes, symbols, threshold, most))
 
 
 def near_duplicates(
@@ -345,11 +361,11 @@ def near_duplicates(
     # Most bands are of one text only; the others get their bits once those are gone.
     rows = sketches.select("node", F.explode("bands").alias("key"))
     several = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stored(rows.join(several.select("key").hint("merge"), "key", "left_semi"))
-    buckets = stored(shared.join(sketches.select("node", "bits").hint("merge"), "node"))
-    discard(sketches, shared)
+    shared = rows.join(several.hint("merge"), "key")
+    buckets = stored(ranked(shared, sketches.select("node", "bits")))
+    discard(sketches)
     symbols = stored(symbol_table(df, buckets.select("node").distinct(), id_column, text_column, shingle))
-    links = stored(components(candidate_links(buckets, symbols, threshold, whole, most_different_bits(threshold, bands * SKETCHES))))
+    links = stored(components(bucket_links(buckets, symbols, threshold, whole, most_different_bits(threshold, bands * SKETCHES))))
     discard(buckets, symbols)
 
     classes = texts.select("d1", "d2", "node", "copies").join(links, "node", "left").withColumn("class_id", F.coalesce("component", "node"))

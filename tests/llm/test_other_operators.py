@@ -90,6 +90,19 @@ def test_drifting_copies_agree_with_brute_force(spark):
     assert got == brute_classes(rows)
 
 
+def test_large_buckets_are_settled_in_few_written_steps(spark, monkeypatch):
+    """Each written table has a file per partition, so every further round costs as much on small tables as on large ones."""
+    steps, write = [], omh.stored
+    monkeypatch.setattr(omh, "stored", lambda df: steps.append(df.columns) or write(df))
+    rng = np.random.default_rng(4)
+    text, rows = words(9, 150), drifting(5, 120)
+    rows += [(120 + i, edited(text, rng, i % 3) if i else text, "a") for i in range(60)]
+    rows += [(180 + i, words(300 + i, 20) + " " + words(9, 60), "a") for i in range(40)]  # a common passage: alike, not linked
+    got = {r.doc_id: r.class_id for r in omh.near_duplicates(docs(spark, rows), whole=8).collect()}
+    assert got == brute_classes(rows)
+    assert len(steps) <= 15, steps
+
+
 def test_text_classes_of_awkward_rows(spark):
     got = [(r.doc_id, r.class_id, r.kept) for r in omh.near_duplicates(docs(spark, AWKWARD)).collect()]
     key = lambda r: (r[0] is None, r[0] or 0)
