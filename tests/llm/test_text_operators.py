@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from rankline.llm import linededup, omh, packing, pieces, quality, sharding
@@ -119,6 +120,26 @@ def test_verdicts_of_documents(spark, awkward, empty):
     assert quality.keep_good(awkward, labels.limit(0)).columns == awkward.columns
 
 
+def test_only_texts_of_kept_documents_go_to_python(spark, monkeypatch):
+    plans, write = [], quality.stored
+    monkeypatch.setattr(quality, "stored", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    rows = [(i, words(i, 80) + (" ###" * 40 if i % 4 == 0 else ""), "a") for i in range(80)] + [(None, words(5, 90), "b"), (7, None, "c"), (9, "short", None)]
+    table = docs(spark, rows).withColumn("n_words", F.lit("own"))
+    labels = spark.createDataFrame([(i, int(i % 4 != 0), 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    kept = quality.keep_good(table, labels)
+    assert "MapInArrow" not in plans[0] and "ArrowEvalPython" in plans[0]
+    assert kept.columns == table.columns
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in table.collect() if r.text and len(r.text) > 20 and "###" not in r.text)
+
+
+def test_few_texts_are_strings_of_python_at_once(monkeypatch):
+    texts = pa.array([None if i % 7 == 0 else words(i, 60) for i in range(1000)])
+    monkeypatch.setattr(quality, "PIECE", 64)
+    found = np.array([c.to_pylist() for c in quality._measured(texts)]).T
+    assert [tuple(r) for r in found] == [quality.text_statistics(t) for t in texts.to_pylist()]
+    assert [len(c) for c in quality._measured(texts[:0])] == [0] * len(quality._STAT_FIELDS)
+
+
 # ---- sharding
 
 
