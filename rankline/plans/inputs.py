@@ -145,24 +145,34 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._kept: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
+        if name in self._kept:
+            return self._kept[name]
         return _BUILT[name](self) if name in _BUILT else self.sql(f"SELECT * FROM {name}")
 
     def once(self, name: str) -> DataFrame:
         """A derived table that a query reads several times, written once."""
         return written(self.view(name))
 
+    def kept(self, name: str, *columns: str) -> Inputs:
+        """The same tables, with a derived one written once, all its columns or those that are needed; all tables derived from it read the written rows."""
+        out = Inputs(self.spark, self.folder)
+        out._kept = {**self._kept, name: written(self.view(name).select(*columns or "*"))}
+        return out
+
     def sql(self, body: str) -> DataFrame:
         """Input shaping written in SQL over given and derived tables."""
-        names = _closure(_named(body), stop=tuple(_BUILT))
+        ready = (*_BUILT, *self._kept)
+        names = _closure(_named(body), stop=ready)
         ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
         text = f"WITH {ctes}\n{body}" if ctes else body
         used = {b: self.base(b) for b in BASE if "{%s}" % b in text}
-        for built in (v for v in _named(text) if v in _BUILT):
+        for built in (v for v in _named(text) if v in ready):
             text = re.sub(rf"\b{built}\b", "{%s}" % built, text)
             used[built] = self.view(built)
         return self.spark.sql(text, **used)

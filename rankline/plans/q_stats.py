@@ -96,6 +96,7 @@ SELECT year, province, mode AS query_mode FROM modes
 UNION ALL SELECT DISTINCT CAST(NULL AS INT), province, 'mixed' FROM mode_request
 UNION ALL SELECT DISTINCT year, '山东', 'rank' FROM mode_request""")
 def query_mode(t):
+    t = t.kept("school_fx", "year", "province", "min_score", "min_rank").kept("mode_request")
     extra = t.sql("""SELECT year, province FROM mode_request UNION ALL SELECT DISTINCT CAST(NULL AS INT), province FROM mode_request
                      UNION ALL SELECT DISTINCT year, '山东' FROM mode_request""")
     return stats.resolved_modes(extra, t.school_fx)

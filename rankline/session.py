@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,10 +54,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go as soon as it is written, not when the driver happens to collect its garbage."""
+    if not spark.conf.isModifiable(_CLEANUP):  # a Spark without the setting
+        yield
+        return
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends there, and the planner knows the table's size. The files go when the session ends."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     context = df.sparkSession.sparkContext
     raw = context._jvm.org.apache.hadoop.fs.Path(path)
     raw.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(raw)
