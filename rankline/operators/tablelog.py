@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shuffles_freed
+
 _ENTRY = "batch string, action string, file string, rows long"
 
 
@@ -75,7 +77,8 @@ class TableLog:
         """Write an attempt; nothing of it is in the table until a commit names its files."""
         attempt = uuid.uuid4().hex
         salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in self.by]), F.lit(files))
-        rows.select(*self.schema.names).repartition(*self.by, salt).write.partitionBy(*self.by).parquet(f"{self.root}/data/_attempt={attempt}")
+        with shuffles_freed(self.spark):
+            rows.select(*self.schema.names).repartition(*self.by, salt).write.partitionBy(*self.by).parquet(f"{self.root}/data/_attempt={attempt}")
         return attempt
 
     def _named(self) -> Column:
