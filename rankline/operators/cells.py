@@ -86,17 +86,23 @@ def _on(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner"
     return df.join(other, list(keys), how)
 
 
+def _word_counts(cells: DataFrame, sheet: Sequence[str], scan_rows: int, **flags: Column) -> DataFrame:
+    """Rows among the first of a sheet with their number of header words, and flags of their cells (true if one cell has it). All bits of a row are one number."""
+    bits = [F.contains("value", F.lit(w)) for w in HEADER_WORDS] + list(flags.values())
+    mask = sum((F.when(b, F.lit(1 << i)).otherwise(0) for i, b in enumerate(bits[1:], 1)), F.when(bits[0], F.lit(1)).otherwise(0))
+    rows = cells.where(F.col("row_idx") < scan_rows).groupBy(*sheet, "row_idx").agg(F.bit_or(mask).alias("mask"))
+    words = len(HEADER_WORDS)
+    told = [(F.col("mask").bitwiseAND(F.lit(1 << (words + i))) != 0).alias(name) for i, name in enumerate(flags)]
+    return rows.select(*sheet, "row_idx", F.bit_count(F.col("mask").bitwiseAND(F.lit((1 << words) - 1))).alias("hits"), *told)
+
+
 def header_rows(cells: DataFrame, sheet: Sequence[str], scan_rows: int = HEADER_SCAN_ROWS) -> DataFrame:
     """Header row per sheet: most header words among the first rows; the first row wins ties, row 0 if none.
 
     The words hold no blanks, so a word is in the joined row text exactly when it is in a cell;
-    one flag per word and row replaces the text.
+    one bit per word and row replaces the text.
     """
-    head = cells.where(F.col("row_idx") < scan_rows)
-    flags = [F.bool_or(F.contains("value", F.lit(w))).alias(f"w{i}") for i, w in enumerate(HEADER_WORDS)]
-    rows = head.groupBy(*sheet, "row_idx").agg(*flags)
-    hits = sum((F.coalesce(F.col(f"w{i}").cast("int"), F.lit(0)) for i in range(1, len(HEADER_WORDS))), F.coalesce(F.col("w0").cast("int"), F.lit(0)))
-    rows = settled(rows.select(*sheet, "row_idx", hits.alias("hits")))
+    rows = _word_counts(cells, sheet, scan_rows)
     best = rows.groupBy(*sheet).agg(F.max(F.struct(F.col("hits"), (-F.col("row_idx")).alias("neg"))).alias("b"))
     return best.select(*sheet, F.when(F.col("b.hits") > 0, -F.col("b.neg")).otherwise(0).cast("int").alias("header_row"), F.col("b.hits").alias("header_hits"))
 
@@ -347,5 +353,8 @@ def sheet_profile(cells: DataFrame, sheet: Sequence[str], preview_rows: int = 20
 
 def looks_like_school(cells: DataFrame, sheet: Sequence[str]) -> DataFrame:
     """Per sheet, whether its header names school columns (used to keep such files out of other imports)."""
-    headers = _on(cells, header_rows(cells, sheet), sheet).where("row_idx = header_row")
-    return headers.groupBy(*sheet).agg(F.coalesce(F.bool_or(rules.any_in(F.col("value"), SCHOOL_HEADER_WORDS)), F.lit(False)).alias("is_school"))
+    rows = _word_counts(cells.dropna(subset=list(sheet)), sheet, HEADER_SCAN_ROWS, school=rules.any_in(F.col("value"), SCHOOL_HEADER_WORDS))
+    # One pass: the flag of the row with most header words, and that of row 0, which is the header of a sheet without such words.
+    best = F.max(F.struct("hits", (-F.col("row_idx")).alias("neg"), "school"))
+    found = rows.groupBy(*sheet).agg(best.alias("b"), F.max(F.when(F.col("row_idx") == 0, F.col("school"))).alias("first"))
+    return found.select(*sheet, F.when(F.col("b.hits") > 0, F.col("b.school")).otherwise(F.col("first")).alias("is_school")).where("is_school IS NOT NULL")

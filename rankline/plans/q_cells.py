@@ -44,10 +44,12 @@ UNION ALL SELECT file_id, r, c, v FROM (SELECT DISTINCT file_id FROM rank_rows),
 # Lines in one task of the window below; their number sets the number of tasks, so that a task stays as small as it is on little input.
 _LINES_A_TASK = 250_000
 
+# What the lines below are made of.
+_RAW = ("src_order", "src_line", "src_supp", "school_code", "school_name", "major_group", "min_score", "min_rank", "plan_count", "subject_type", "year", "province")
 
 def _school_lines(t):
     """The lines shuffled once by the file they belong to, before texts are made of them; later groups and joins by file need no other shuffle."""
-    raw = t.sql("""SELECT src_order AS file_id, src_line, src_supp, school_code, school_name, major_group, min_score, min_rank, plan_count, subject_type, year, province FROM school_raw""")
+    raw = t.view("school_raw").select(*_RAW).withColumnRenamed("src_order", "file_id")
     tasks = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), -(-t.lineitem.count() // _LINES_A_TASK))
     order = ["src_line", "src_supp", "school_code", "min_score", "min_rank", "plan_count", "subject_type"]
     place = F.row_number().over(Window.partitionBy("file_id").orderBy(*order))
@@ -524,3 +526,4 @@ def wrong_type_files(t):
     return found.withColumn("file_id", F.when(F.col("file_id") < 0, -F.col("file_id")).otherwise(F.col("file_id")))
 
 
+    t = t.kept("school_raw", *_RAW)
